@@ -31,7 +31,7 @@ def channel_pairs(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
 
 
 def _both(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
-    """Rows of both jobs with their numbering block (NULL u and k count as -1: first in order)."""
+    """Rows of both jobs with their numbering block (NULL u and k come first in order)."""
     sides = [
         rows.select(
             F.lit(job).alias("job"),
@@ -39,7 +39,7 @@ def _both(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
             "channel_id",
             "jobname",
             "u",
-            F.coalesce(F.col("u"), F.lit(-1)).alias("_u"),
+            F.coalesce(F.col("u").cast("double"), F.lit(float("-inf"))).alias("_u"),
             F.coalesce(F.col("k"), F.lit(-1)).alias("_k"),
             F.shiftright(F.coalesce(F.col("k"), F.lit(-1)), BLOCK_BITS).alias("_block"),
             "pert",

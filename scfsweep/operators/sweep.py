@@ -9,6 +9,7 @@ from scfsweep.functions import (
     default_if_blank,
     fixed_text,
     is_integer_text,
+    is_number_text,
     is_signed_decimal_text,
     job_path,
     normalise_job,
@@ -34,8 +35,10 @@ _CHECKS = {
     "u_step": is_integer_text,
     "u_end": is_integer_text,
     "pert_start": is_signed_decimal_text,
-    "pert_step": is_signed_decimal_text,
+    "pert_step": is_number_text,
     "pert_end": is_signed_decimal_text,
+    "base_value": is_number_text,
+    "energy_tol": is_number_text,
 }
 
 
@@ -54,12 +57,8 @@ def sweep_arguments(runs: DataFrame) -> DataFrame:
     faults.append(F.when(job.isNull(), F.lit("job")))
 
     def typed(name: str) -> Column:
-        if name == "energy_tol":
-            return given[name].try_cast("double").alias(name)
-        # By way of double so that 1e-7 reads like 0.0000001.
-        if name in _CHECKS:
-            return F.when(_CHECKS[name](given[name]), given[name].try_cast(SWEEP_DECIMAL)).alias(name)
-        return given[name].try_cast("double").try_cast(SWEEP_DECIMAL).alias(name)
+        kind = "double" if name == "energy_tol" else SWEEP_DECIMAL
+        return F.when(_CHECKS[name](given[name]), given[name].try_cast(kind)).alias(name)
 
     return runs.select(
         "run_id",

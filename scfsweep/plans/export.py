@@ -1,7 +1,8 @@
 """CSV outputs. Every table is one write of all runs and channels, split by partition folders.
 
 Rows are range-sorted on the full key first: files come out in order, each folder gets few files,
-and a run or channel that holds much of the data is shared by many tasks.
+and a run or channel that holds much of the data is shared by many tasks. ``folders`` names the
+partition folders; with very many runs pass fewer, or none: those columns then stay in the files.
 """
 
 from __future__ import annotations
@@ -27,34 +28,37 @@ PLOT_FOLDERS = {"u": "plot_U", "alpha": "plot_Alpha", "both": "plot"}
 JOB_LABELS = {"u": "U", "alpha": "Alpha"}
 
 
-def _csv(table: DataFrame, path: str, folders: list[str]) -> None:
+RUN = ("run_id",)
+RUN_CHANNEL = ("run_id", "channel_id")
+
+
+def _csv(table: DataFrame, path: str, folders: tuple[str, ...]) -> None:
     table.write.mode("overwrite").option("header", True).partitionBy(*folders).csv(path)
 
 
-def _renamed(table: DataFrame, names: dict[str, str], extra: list[str]) -> DataFrame:
-    columns = [F.col(c).alias(names.get(c, c)) for c in table.columns if c not in extra]
-    return table.select(*extra, *columns)
+def _headed(table: DataFrame, names: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Published header names; columns in ``keep`` hold their own."""
+    return table.select(*[F.col(c).alias(c if c in keep else names.get(c, c)) for c in table.columns])
 
 
-def write_total_view(rows: DataFrame, job: str, path: str) -> None:
+def write_total_view(rows: DataFrame, job: str, path: str, folders: tuple[str, ...] = RUN) -> None:
     """All channels of each run, in sweep order, under their published headers."""
-    _csv(_renamed(total_view(in_sweep_order(rows)), export_names(job), ["run_id"]), path, ["run_id"])
+    _csv(_headed(total_view(in_sweep_order(rows)), export_names(job)), path, folders)
 
 
-def write_channel_views(rows: DataFrame, job: str, path: str) -> None:
-    """One folder per (run, channel); the channel id also stays in the files."""
+def write_channel_views(rows: DataFrame, job: str, path: str, folders: tuple[str, ...] = RUN_CHANNEL) -> None:
+    """Perturbation and response of each channel; the channel's id also stays in the files."""
     view = channel_view(rows, job).orderBy("run_id", "channel_id", "u", perturbation_column(job))
-    names = CHANNEL_EXPORT_NAMES | {"id": "Channel ID"}
-    view = view.withColumn("id", F.col("channel_id")).select(
-        "run_id", "channel_id", "id", *[c for c in view.columns if c not in ("run_id", "channel_id")]
-    )
-    _csv(_renamed(view, names, ["run_id", "channel_id"]), path, ["run_id", "channel_id"])
+    if "channel_id" in folders:
+        first, rest = list(RUN_CHANNEL), [c for c in view.columns if c not in RUN_CHANNEL]
+        view = view.select(*first, F.col("channel_id").alias("Channel ID"), *rest)
+    _csv(_headed(view, CHANNEL_EXPORT_NAMES, folders), path, folders)
 
 
-def write_means(means: DataFrame, path: str) -> None:
-    """Mean responses, one folder per (run, channel), sorted by u."""
+def write_means(means: DataFrame, path: str, folders: tuple[str, ...] = RUN_CHANNEL) -> None:
+    """Mean responses, sorted by u."""
     ordered = means.orderBy("run_id", "channel_id", "u")
-    _csv(_renamed(ordered, CHANNEL_EXPORT_NAMES, ["run_id", "channel_id"]), path, ["run_id", "channel_id"])
+    _csv(_headed(ordered, CHANNEL_EXPORT_NAMES, folders), path, folders)
 
 
 def export_analysis(analysis: Analysis, root: str) -> str:

@@ -105,7 +105,7 @@ def _result_oracles() -> dict[str, str]:
             n1_nf AS n1_nf_alpha FROM rows_alpha""",
         "mean_u": _mean("u"),
         "mean_alpha": _mean("alpha"),
-        "channel_pairs": f"{_POSITIONAL} SELECT run_id, pair, channel_u, channel_alpha FROM pairs",
+        "channel_pairs": f"{_POSITIONAL} SELECT run_id, CAST(pair AS INT) AS pair, channel_u, channel_alpha FROM pairs",
         "merged_positional": f"{_POSITIONAL} SELECT * FROM merged",
         "merged_by_key": f"{_BY_KEY} SELECT * FROM merged",
         "merged_mean": f"{_POSITIONAL} {_MEANS}",
