@@ -21,9 +21,9 @@ def species_count(files: DataFrame) -> DataFrame:
 def explode_items(cells: DataFrame) -> DataFrame:
     """(file, items, ...) -> one row per item, in long form."""
     rest = [c for c in cells.columns if c != "items"]
-    return cells.select(*rest, F.explode("items").alias("_item")).select(
-        *rest, *[F.col(f"_item.{f}").alias(f) for f in ITEM_FIELDS]
-    )
+    # An outer explode, because a plain one adds a size test that parses every text a second time.
+    items = cells.select(*rest, F.explode_outer("items").alias("_item")).filter(F.col("_item").isNotNull())
+    return items.select(*rest, *[F.col(f"_item.{f}").alias(f) for f in ITEM_FIELDS])
 
 
 def _valued(item: Column, value: Column) -> Column:

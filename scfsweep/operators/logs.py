@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scfsweep.functions import file_stem
@@ -41,24 +41,26 @@ def pick_observations(tagged: DataFrame) -> DataFrame:
         .withColumn("_n", F.count(F.lit(1)).over(in_block))
         .filter((F.col("_nth") <= 2) | (F.col("_nth") == F.col("_n")))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("block", "row", "value")))
-    per_series = survivors.groupBy(*SERIES).agg(
-        ordered.alias("_obs"),
+    in_file = Window.partitionBy(*SERIES)
+    ordered = survivors.withColumn(
+        "_place", F.row_number().over(in_file.orderBy("block", "row"))
+    ).withColumn("_places", F.count(F.lit(1)).over(in_file))
+
+    def value_at(place) -> Column:
+        return F.max(F.when(F.col("_place") == place, F.col("value")))
+
+    per_series = ordered.groupBy(*SERIES).agg(
+        value_at(1).alias("before_scf"),
+        value_at(2).alias("first_scf"),
+        value_at(F.col("_places")).alias("last_scf"),
         F.sum(F.when(F.col("_nth") == 1, F.col("_n"))).alias("n_obs"),
         F.bool_or("finished").alias("_finished"),
     )
     finished = F.bool_or("_finished").over(Window.partitionBy("file"))
     return (
         per_series.withColumn("converged", finished)
+        .drop("_finished")
         .filter(F.col("species").isNotNull())
-        .select(
-            *SERIES,
-            F.get("_obs", F.lit(0))["value"].alias("before_scf"),
-            F.get("_obs", F.lit(1))["value"].alias("first_scf"),
-            F.try_element_at("_obs", F.lit(-1))["value"].alias("last_scf"),
-            "n_obs",
-            "converged",
-        )
     )
 
 

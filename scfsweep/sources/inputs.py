@@ -105,8 +105,10 @@ def number_or_null(text: Column) -> Column:
 
 def param_settings(files: DataFrame) -> DataFrame:
     """(file, text) -> (file, pos, key, value, value_num), one row per setting."""
+    # An outer explode, because a plain one adds a size test that parses every text a second time.
     return (
-        files.select("file", F.explode(settings_of(F.col("text"))).alias("s"))
+        files.select("file", F.explode_outer(settings_of(F.col("text"))).alias("s"))
+        .filter(F.col("s").isNotNull())
         .select("file", "s.pos", "s.key", "s.value")
         .withColumn("value_num", number_or_null(F.col("value")))
     )

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scfsweep.sources.paths import file_path
 
 # An occupation line, and the words of a finished run.
-OCCUPATION_PATTERN = r"(?i)[ \t]+(\d+)[ \t]+(\d+) Total\S*\s+(\S+)"
+OCCUPATION_PATTERN = r"(?i)[ \t]\d+[ \t]+\d+ Total\S*\s+\S+"
 FINISHED_TEXT = "Finalisation time"
 
 
@@ -25,24 +25,26 @@ def log_lines(spark: SparkSession, paths: str | list[str], pattern: str = "*.cas
     )
 
 
-def _field(line: Column, group: int) -> Column:
-    return F.nullif(F.regexp_extract(line, OCCUPATION_PATTERN, group), F.lit(""))
-
-
 def tag_lines(lines: DataFrame) -> DataFrame:
     """Occupation and finish lines only, as (file, block, row, species, spin, value, finished)."""
     line = F.col("line")
+    finished = line.contains(FINISHED_TEXT)
+    # A plain substring test first: nearly every line of a log fails it.
+    occupation = F.lower(line).contains(" total") & line.rlike(OCCUPATION_PATTERN)
+    # One search gives "species spin Total: value", whose parts are then cheap to split. Finish lines
+    # give NULL: casting '' would raise and catch an error for each of them.
+    text = F.nullif(F.regexp_extract(line, OCCUPATION_PATTERN, 0), F.lit(""))
+    found = F.split(F.trim(text), r"\s+")
     return (
-        # A plain substring test first: nearly every line of a log fails it.
-        lines.filter(F.lower(line).contains(" total") | line.contains(FINISHED_TEXT))
+        lines.filter(occupation | finished)
+        .select("file", "block", "row", found.alias("_found"), finished.alias("finished"))
         .select(
             "file",
             "block",
             "row",
-            _field(line, 1).try_cast("int").alias("species"),
-            _field(line, 2).try_cast("int").alias("spin"),
-            _field(line, 3).try_cast("double").alias("value"),
-            line.contains(FINISHED_TEXT).alias("finished"),
+            F.get("_found", F.lit(0)).try_cast("int").alias("species"),
+            F.get("_found", F.lit(1)).try_cast("int").alias("spin"),
+            F.element_at("_found", -1).try_cast("double").alias("value"),
+            "finished",
         )
-        .filter(F.col("species").isNotNull() | F.col("finished"))
     )
