@@ -105,10 +105,9 @@ def log_text_lines(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
         "cast(floor(l_orderkey / 1000) as bigint) as block",
         "struct(l_orderkey, l_linenumber, l_extendedprice) as row",
     )
-    occupation = F.format_string(
-        "   %11d %11d Total: %19.14f       Mz:", "channel_id", "spin", "first_scf"
-    )
-    noise = F.format_string("   %11d %11d Charge: %18.14f", "channel_id", "spin", "last_scf")
+    numbers = F.concat(F.lpad(F.col("channel_id").cast("string"), 12, " "), F.lpad(F.col("spin").cast("string"), 12, " "))
+    occupation = F.concat(numbers, F.lit(" Total: "), F.lpad(F.col("first_scf").cast("string"), 19, " "), F.lit("       Mz:"))
+    noise = F.concat(numbers, F.lit(" Charge: "), F.lpad(F.col("last_scf").cast("string"), 18, " "))
     finish = F.when(F.col("converged"), F.lit("Finalisation time =     1.00 s"))
     return rows.select(
         F.expr(path).alias("file"),

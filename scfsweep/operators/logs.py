@@ -74,14 +74,16 @@ def expected_series(species_counts: DataFrame) -> DataFrame:
 
 def complete_series(picked: DataFrame, species_counts: DataFrame) -> DataFrame:
     """``picked`` limited to the expected species, absent ones as rows of NULL with ``n_obs`` 0."""
-    flags = picked.groupBy("file").agg(F.bool_or("converged").alias("_file_converged"))
+    of_file = Window.partitionBy("file")
     return (
         expected_series(species_counts)
-        .join(picked, SERIES, "left")
-        .join(flags, "file", "left")
+        .withColumn("_expected", F.lit(True))
+        # Outer on both sides: a species nobody expected still tells whether its log finished.
+        .join(picked, SERIES, "full_outer")
+        .withColumn("converged", F.coalesce(F.bool_or("converged").over(of_file), F.lit(False)))
+        .filter(F.col("_expected"))
+        .drop("_expected")
         .withColumn("n_obs", F.coalesce("n_obs", F.lit(0)))
-        .withColumn("converged", F.coalesce("converged", "_file_converged", F.lit(False)))
-        .drop("_file_converged")
     )
 
 

@@ -13,9 +13,9 @@ from scfsweep.operators import merge as M
 from scfsweep.operators import response as R
 from scfsweep.operators import views as V
 from scfsweep.plans.analyze import analyze, analyze_single
-from scfsweep.plans.export import append_results, export_analysis, reset_results
+from scfsweep.plans.export import append_results, export_analysis, reset_results, write_total_view
 from scfsweep.scratch import scratch_folder
-from scfsweep.schema import RESULT_FILE_SCHEMA, RESULT_HEADER
+from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER, export_names
 from scfsweep.sources import append_parts, cell_items, conform, param_settings, parse_folders, tag_lines
 from scfsweep.streaming import append_stream, latest, running_rows, running_spin_sums, running_spins
 
@@ -281,14 +281,22 @@ def _output_queries() -> dict[str, Query]:
             F.col("`n1-nF_Alpha`").alias("n1_nf_alpha"),
         )
 
+    def total_files(spark, sf):
+        one = analyze_single(A.results(spark, sf, "u"), "u", STEP)
+        path = scratch_folder(spark, "export")
+        write_total_view(one.rows["u"], "u", path)
+        names = {new: old for old, new in export_names("u").items()}
+        fields = ", ".join(f"`{new}` {'int' if new in ('Channel ID', 'U') else 'double'}" for new in names)
+        back = spark.read.option("header", True).schema(f"{fields}, run_id string").csv(path)
+        return back.select("run_id", *[F.col(f"`{new}`").alias(old) for new, old in names.items()])
+
     def appended(spark, sf):
         path = scratch_folder(spark, "results")
         reset_results(spark, path)
         for job in ("u", "alpha"):
             append_results(A.results(spark, sf, job), path)
         back = spark.read.option("header", True).schema(RESULT_FILE_SCHEMA).csv(path)
-        names = ("jobname", "channel_id", "spin", "before_scf", "first_scf", "last_scf", "converged")
-        return back.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(RESULT_HEADER, names)])
+        return back.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(RESULT_HEADER, RESULT_COLUMNS)])
 
     def streamed(run: Callable, job: str = "alpha") -> Callable[[SparkSession, str], str]:
         def start(spark, sf):
@@ -306,6 +314,7 @@ def _output_queries() -> dict[str, Query]:
         "chart_series_arrays": lambda s, d: _joined_text(series.series_arrays(means(s, d))),
         "write_read_merged": merged_files,
         "write_read_channels": single_files,
+        "write_read_total": total_files,
         "append_results": appended,
         "stream_append": lambda s, d: s.read.parquet(append(s, d)),
         "stream_spin_sums": lambda s, d: latest(s, sums(s, d)),

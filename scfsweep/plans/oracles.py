@@ -337,6 +337,7 @@ def _output_oracles() -> dict[str, str]:
         "write_read_merged": f"{_BY_KEY} {_MEANS}",
         "write_read_channels": f"""{alpha} SELECT run_id, channel_id, u, pert AS alpha_pert, n1_nf AS n1_nf_alpha
             FROM rows_alpha""",
+        "write_read_total": f"WITH {_chain('u')} SELECT {_TOTAL} FROM rows_u",
         "append_results": f"SELECT {values} FROM ({_results('u')} UNION ALL {_results('alpha')})",
         "stream_append": _results("alpha"),
         "stream_spin_sums": f"{alpha} SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_alpha",
