@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scfsweep.functions import seed_of
@@ -30,6 +30,11 @@ def channel_pairs(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     return ranked[0].join(ranked[1], ["run_id", "pair"]).select("run_id", "pair", "channel_u", "channel_alpha")
 
 
+def _before_all(rows: DataFrame) -> Column:
+    """A value below every u: whole numbers in job names carry no sign, signed ones are doubles."""
+    return F.lit(-1) if dict(rows.dtypes)["u"] == "int" else F.lit(float("-inf"))
+
+
 def _both(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     """Rows of both jobs with their numbering block (NULL u and k come first in order).
 
@@ -43,7 +48,7 @@ def _both(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
             "channel_id",
             "jobname",
             "u",
-            F.coalesce(F.col("u").cast("double"), F.lit(float("-inf"))).alias("_u"),
+            F.coalesce(F.col("u"), _before_all(rows)).alias("_u"),
             F.coalesce(F.col("k"), F.lit(-1)).alias("_k"),
             F.shiftright(F.coalesce(F.col("k"), F.lit(-1)), BLOCK_BITS).alias("_block"),
             "pert",
@@ -100,12 +105,13 @@ def merge_by_position(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     both = _both(rows_u, rows_alpha)
     block = ["run_id", "job", "channel_id", "_u", "_block"]
     in_block = Window.partitionBy(*block).orderBy("_k", "jobname")
-    placed = both.join(_block_offsets(both), block).withColumn(
-        "position", F.col("offset") + F.row_number().over(in_block)
-    )
+    # Numbered before the join, so that the rows' sort by block serves both.
+    numbered = both.withColumn("_nth", F.row_number().over(in_block))
+    placed = numbered.join(_block_offsets(both), block).withColumn("position", F.col("offset") + F.col("_nth"))
+
     # Each side has at most one row per position, so an aggregate does what a full outer join would,
     # with one exchange and no sort.
-    def of(job, column):
+    def of(job: str, column: str) -> Column:
         return F.max(F.when(F.col("job") == job, F.col(column)))
 
     return (
