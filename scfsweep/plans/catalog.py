@@ -209,7 +209,6 @@ def _settings_queries() -> dict[str, Query]:
         flat = cells(spark, sf).select("file", F.explode("items").alias("item"))
         return flat.select("file", "item.block", "item.pos", blocks.item_text(F.col("item")).alias("line"))
 
-    uranium = (lambda i: i["element"] == "U", F.lit(3.25))
     return {
         "species_count": lambda s, d: blocks.species_count(A.cell_texts(s, d)),
         "block_items": lambda s, d: blocks.explode_items(cells(s, d)),
@@ -218,7 +217,9 @@ def _settings_queries() -> dict[str, Query]:
         "perturbed_items": edited(
             lambda items: blocks.perturb(blocks.prepare_base(items, F.lit(2.0), F.lit(0.5)), F.lit(0.75))
         ),
-        "update_where": edited(lambda items: blocks.update_where(items, *uranium)),
+        "update_where": edited(
+            lambda items: blocks.update_where(items, lambda i: i["element"] == "U", F.lit(3.25))
+        ),
         "first_block_value": lambda s, d: cells(s, d).select(
             "file",
             blocks.first_value(F.col("items"), "U").alias("u_value"),
