@@ -17,6 +17,7 @@ from scfsweep.functions.numbers import (
     product,
     reciprocal,
     scientific_text,
+    short_text,
     signed_sum,
     steps_count,
     steps_list,
@@ -39,6 +40,7 @@ __all__ = [
     "reciprocal",
     "scientific_text",
     "seed_of",
+    "short_text",
     "signed_sum",
     "steps_count",
     "steps_list",

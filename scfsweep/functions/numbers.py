@@ -51,7 +51,17 @@ def default_if_blank(text: Column, default: str) -> Column:
 
 def fixed_text(value: Column) -> Column:
     """A set-point as input files hold it: 14 decimals and one more zero."""
-    return F.concat(value.cast(SWEEP_DECIMAL).cast("string"), F.lit("0"))
+    return F.concat(_decimal_text(value, "0.00000000000000"), F.lit("0"))
+
+
+def short_text(value: Column) -> Column:
+    """A decimal without trailing zeros: 2, 0.5, -1."""
+    return _decimal_text(value, "#0.##############")
+
+
+def _decimal_text(value: Column, form: str) -> Column:
+    # A cast to string would turn small decimals to exponent notation in sessions without ANSI mode.
+    return F.call_function("format_number", value.cast(SWEEP_DECIMAL), F.lit(form))
 
 
 def scientific_text(value: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scfsweep.functions import file_stem
+from scfsweep.operators.numbering import number_in_block, rows_before
 
 SERIES = ["file", "species", "spin"]
 PERTURBED_LOG_PATTERN = r"/U_[^/]+/U_[^/]+/[^/]+$"
@@ -14,11 +15,15 @@ PERTURBED_LOG_PATTERN = r"/U_[^/]+/U_[^/]+/[^/]+$"
 def observations(tagged: DataFrame) -> DataFrame:
     """Occupations in file order: ``position`` counts from 1 within (file, species, spin).
 
-    For looking at a log; :func:`pick_observations` needs no complete numbering.
+    For looking at logs; it reads them twice. :func:`pick_observations` needs no complete numbering.
     """
-    in_file = Window.partitionBy(*SERIES).orderBy("block", "row")
-    return tagged.filter(F.col("species").isNotNull()).select(
-        *SERIES, F.row_number().over(in_file).alias("position"), "value"
+    rows = tagged.filter(F.col("species").isNotNull())
+    counts = rows.groupBy(*SERIES, "block").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.withColumn("offset", rows_before(SERIES, ["block"])).drop("n")
+    return (
+        rows.withColumn("_nth", number_in_block(SERIES, ["block"], ["row"]))
+        .join(offsets, [*SERIES, "block"])
+        .select(*SERIES, (F.col("offset") + F.col("_nth")).alias("position"), "value")
     )
 
 
@@ -37,7 +42,7 @@ def pick_observations(tagged: DataFrame) -> DataFrame:
     """
     in_block = Window.partitionBy(*SERIES, "block")
     survivors = (
-        tagged.withColumn("_nth", F.row_number().over(in_block.orderBy("row")))
+        tagged.withColumn("_nth", number_in_block(SERIES, ["block"], ["row"]))
         .withColumn("_n", F.count(F.lit(1)).over(in_block))
         .filter((F.col("_nth") <= 2) | (F.col("_nth") == F.col("_n")))
     )

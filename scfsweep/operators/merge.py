@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scfsweep.functions import seed_of
+from scfsweep.operators.numbering import number_in_block, rows_before
 from scfsweep.operators.views import MEAN_KEYS, channels
 from scfsweep.schema import perturbation_column, response_column
 
 # 2**BLOCK_BITS steps share a numbering block in merge_by_position, which bounds what one task sorts.
 BLOCK_BITS = 10
+CHANNEL = ["run_id", "job", "channel_id"]
+BLOCK = ["_u", "_block"]
 
 
 def channel_pairs(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
@@ -68,15 +71,10 @@ def _block_offsets(both: DataFrame) -> DataFrame:
     rows themselves: Spark then reuses the shuffle of the spin sums and does not scan twice.
     """
     rows = F.count("n1_nf") + F.count_if(F.col("n1_nf").isNull())
-    blocks = both.groupBy("run_id", "job", "channel_id", "_u", "_block").agg(rows.alias("n"))
+    blocks = both.groupBy(*CHANNEL, *BLOCK).agg(rows.alias("n"))
     of_run = Window.partitionBy("run_id")
     of_job = Window.partitionBy("run_id", "job").orderBy("channel_id")
-    earlier = (
-        Window.partitionBy("run_id", "job", "channel_id")
-        .orderBy("_u", "_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = blocks.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))).withColumn(
+    ranked = blocks.withColumn("offset", rows_before(CHANNEL, BLOCK)).withColumn(
         "pair", F.dense_rank().over(of_job)
     )
     channels_of = {job: F.max(F.when(F.col("job") == job, F.col("pair"))).over(of_run) for job in ("u", "alpha")}
@@ -87,7 +85,7 @@ def _block_offsets(both: DataFrame) -> DataFrame:
             "channel_u",
             F.max(F.when(F.col("job") == "u", F.col("channel_id"))).over(Window.partitionBy("run_id", "pair")),
         )
-        .select("run_id", "job", "channel_id", "_u", "_block", "offset", "channel_u")
+        .select(*CHANNEL, *BLOCK, "offset", "channel_u")
     )
 
 
@@ -99,15 +97,15 @@ def merge_by_position(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     have no ``u``; :func:`merge_by_key` avoids both.
 
     A row's position is the offset of its block plus its number inside the block, so no task ever
-    sorts a whole channel. Blocks are counted first, which reads the inputs twice (the first time
-    only their names): persist costly inputs.
+    sorts a whole channel: a block holds 1,024 steps of one U value, times the seeds in the run.
+    Counting the blocks reads the spin sums' shuffle a second time, not the files.
     """
     both = _both(rows_u, rows_alpha)
-    block = ["run_id", "job", "channel_id", "_u", "_block"]
-    in_block = Window.partitionBy(*block).orderBy("_k", "jobname")
     # Numbered before the join, so that the rows' sort by block serves both.
-    numbered = both.withColumn("_nth", F.row_number().over(in_block))
-    placed = numbered.join(_block_offsets(both), block).withColumn("position", F.col("offset") + F.col("_nth"))
+    numbered = both.withColumn("_nth", number_in_block(CHANNEL, BLOCK, ["_k", "jobname"]))
+    placed = numbered.join(_block_offsets(both), [*CHANNEL, *BLOCK]).withColumn(
+        "position", F.col("offset") + F.col("_nth")
+    )
 
     # Each side has at most one row per position, so an aggregate does what a full outer join would,
     # with one exchange and no sort.

@@ -14,6 +14,7 @@ from scfsweep.functions import (
     job_path,
     normalise_job,
     scientific_text,
+    short_text,
     steps_count,
     steps_list,
 )
@@ -90,11 +91,6 @@ def perturbation_times(arguments: DataFrame) -> DataFrame:
     return arguments.withColumn("times", times)
 
 
-def whole_text(value: Column) -> Column:
-    """Decimal text without trailing zeros: 2, 0.5, -1."""
-    return F.regexp_replace(value.cast(SWEEP_DECIMAL).cast("string"), r"\.?0+$", "")
-
-
 def sweep_grid(arguments: DataFrame) -> DataFrame:
     """One row per job of every run: each U value with its base job (k = 0) and its steps (k = 1..n).
 
@@ -132,7 +128,7 @@ def with_tolerances(grid: DataFrame) -> DataFrame:
 
 def with_job_paths(grid: DataFrame) -> DataFrame:
     """Adds ``jobname``, spelled as the job's rows in the result tables."""
-    name = job_path(whole_text(F.col("u")), F.col("job"), F.col("k"), F.col("seed"))
+    name = job_path(short_text(F.col("u")), F.col("job"), F.col("k"), F.col("seed"))
     return grid.withColumn("jobname", name)
 
 

@@ -28,7 +28,7 @@ def alpha_columns(view: DataFrame) -> DataFrame:
 
 
 def channels(rows: DataFrame) -> DataFrame:
-    """Channels of every run."""
+    """Channels of every run. Selected result rows will do, which spares the spin sums."""
     return rows.select("run_id", "channel_id").distinct()
 
 

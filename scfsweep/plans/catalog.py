@@ -56,8 +56,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _result_queries() -> dict[str, Query]:
-    def selected(spark, sf):
-        return R.select_results(A.results(spark, sf, "u"))
+    def selected(spark, sf, job="u"):
+        return R.select_results(A.results(spark, sf, job))
 
     return {
         "scan_results": lambda s, d: conform(A.results(s, d, "u")),
@@ -72,12 +72,12 @@ def _result_queries() -> dict[str, Query]:
         "response_converged_deduped": lambda s, d: R.total_view(
             _rows(s, d, "u", converged_only=True, dedupe=True, perturbed_by="folder")
         ),
-        "channels": lambda s, d: V.channels(_rows(s, d, "u")),
+        "channels": lambda s, d: V.channels(selected(s, d)),
         "channel_view": lambda s, d: V.channel_view(_rows(s, d, "u"), "u", 2),
         "alpha_columns": lambda s, d: V.alpha_columns(V.channel_view(_rows(s, d, "alpha"), "alpha")),
         "mean_u": lambda s, d: _rounded(analyze_single(A.results(s, d, "u"), "u", STEP).means),
         "mean_alpha": lambda s, d: _rounded(analyze_single(A.results(s, d, "alpha"), "alpha", STEP).means),
-        "channel_pairs": lambda s, d: M.channel_pairs(*_both(s, d)),
+        "channel_pairs": lambda s, d: M.channel_pairs(selected(s, d), selected(s, d, "alpha")),
         "merged_positional": lambda s, d: M.merge_by_position(*_both(s, d)),
         "merged_by_key": lambda s, d: M.merge_by_key(*_both(s, d)),
         "merged_mean": flagship,

@@ -242,7 +242,7 @@ def _log_oracles() -> dict[str, str]:
     found = "run_id, jobname, species AS channel_id, spin, before_scf, first_scf, last_scf, converged"
     from_logs = _chain("alpha").replace(f"res_alpha AS ({_results('alpha')})", f"res_alpha AS (SELECT {found} FROM flagged)")
     return {
-        "log_observations": f"WITH {_log_chain('u')} SELECT file, species, spin, CAST(position AS INT) AS position, value FROM obs",
+        "log_observations": f"WITH {_log_chain('u')} SELECT file, species, spin, position, value FROM obs",
         "log_converged": f"WITH {_log_chain('u')} SELECT file, converged FROM files",
         "log_picks": f"WITH {_log_chain('u')} SELECT {picked} FROM flagged",
         "log_complete_series": f"""WITH {_log_chain('u')},

@@ -93,7 +93,10 @@ def test_number_text(spark):
     assert values(spark, fn.default_if_blank(text, "7"), [("",), (None,), ("3",), ("  ",)], "n string") == ["7", "7", "3", "7"]
 
 
-def test_fixed_and_scientific_text(spark):
+def test_fixed_and_scientific_text(spark, ansi):
+    decimals = [("10",), ("0.50",), ("0",), ("-2",), ("100.25",), ("0.00000001",)]
+    got = values(spark, fn.short_text(F.col("x")), decimals, "x string")
+    assert got == ["10", "0.5", "0", "-2", "100.25", "0.00000001"]
     got = values(spark, fn.fixed_text(F.col("x")), [(2.00000001,), (1e-8,), (0.15,)], "x double")
     assert got == ["2.000000010000000", "0.000000010000000", "0.150000000000000"]
     assert values(spark, fn.scientific_text(F.col("x")), [(1e-6,), (5e-8,)], "x double") == ["1.000000e-06", "5.000000e-08"]

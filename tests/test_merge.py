@@ -119,3 +119,13 @@ def test_key_merge_keeps_every_row_of_both_sides(spark):
 def test_channel_pairs(spark):
     got = M.channel_pairs(*responses(spark, *CASES["more u channels"])).orderBy("pair").collect()
     assert [tuple(r) for r in got] == [("r1", 1, 1, 5), ("r1", 2, 2, 7)]
+
+
+def test_both_readings_share_one_scan(spark, tmp_path):
+    for job, rows in zip(("u", "alpha"), CASES["complete"]):
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/{job}")
+    tables = [R.response_rows(spark.read.parquet(f"{tmp_path}/{job}"), job, 0.05) for job in ("u", "alpha")]
+    merged = M.merged_mean(M.merge_by_position(*tables))
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 2

@@ -1,5 +1,5 @@
+import pytest
 from brute import SCHEMA, sweep
-from pyspark.sql import functions as F
 
 from scfsweep.operators import coverage as C
 from scfsweep.operators import pairing as P
@@ -26,7 +26,17 @@ def test_defaults_and_rejections(spark):
     assert W.accepted(arguments(spark, rows, schema)).count() == 2
 
 
-def test_plan_of_one_run(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_plan_of_one_run(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_plan(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def check_plan(spark):
     plan = W.sweep_plan(arguments(spark, [("r", "S", "u"), ("r", "S", "Alpha")]))
     rows = {(p.job, int(p.u), p.k): p for p in plan.collect()}
     assert len(rows) == 2 * 7 * 6
@@ -49,13 +59,6 @@ def test_swept_values_and_times(spark):
     assert [float(v) for v in row.alpha_values] == [0.55, 0.6, 0.65, 0.7, 0.75]
 
 
-def test_whole_text(spark):
-    got = spark.createDataFrame([("10",), ("0.50",), ("0",), ("-2",), ("100.25",)], "x string").select(
-        W.whole_text(F.col("x"))
-    )
-    assert [r[0] for r in got.collect()] == ["10", "0.5", "0", "-2", "100.25"]
-
-
 def test_plan_has_no_join(spark):
     plan = W.sweep_plan(arguments(spark, [("r", "S", "u")]))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Cartesian" not in plan and "Exchange" not in plan
