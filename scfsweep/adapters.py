@@ -153,6 +153,15 @@ def cell_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("file", F.replace(text, F.lit("\n"), eol).alias("text"))
 
 
+def run_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, file, text): the cell text of each run's first part."""
+    keyed = cell_texts(spark, sf_dir).withColumn(
+        "key", F.regexp_extract("file", r"part_(\d+)", 1).cast("bigint")
+    )
+    run = F.concat(F.lit("run_"), F.floor(F.col("key") / PARTS_PER_RUN).cast("int").cast("string"))
+    return keyed.groupBy(run.alias("run_id")).agg(F.min_by("file", "key").alias("file"), F.min_by("text", "key").alias("text"))
+
+
 def param_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A settings text per part."""
     part = table(spark, sf_dir, "part").selectExpr(

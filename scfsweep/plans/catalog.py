@@ -209,7 +209,13 @@ def _settings_queries() -> dict[str, Query]:
         flat = cells(spark, sf).select("file", F.explode("items").alias("item"))
         return flat.select("file", "item.block", "item.pos", blocks.item_text(F.col("item")).alias("line"))
 
+    def planned(spark, sf):
+        plan = sweep.sweep_plan(_arguments(spark, sf))
+        items = blocks.planned_items(plan, cell_items(A.run_cells(spark, sf)))
+        return blocks.explode_items(items.select("run_id", "jobname", "items"))
+
     return {
+        "planned_items": planned,
         "species_count": lambda s, d: blocks.species_count(A.cell_texts(s, d)),
         "block_items": lambda s, d: blocks.explode_items(cells(s, d)),
         "alpha_block": edited(lambda items: blocks.derive_alpha(items, F.lit(0.125))),

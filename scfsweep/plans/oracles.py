@@ -300,6 +300,12 @@ def _settings_oracles() -> dict[str, str]:
             name AS key, value, TRY_CAST(value AS DOUBLE) AS value_num FROM {source}"""
 
     return {
+        "planned_items": f"""WITH {_GRID}, {_ITEMS},
+            firsts AS (SELECT concat('run_', CAST(floor(p_partkey / 40) AS INT)) AS run_id, min(p_partkey) AS key
+                       FROM part GROUP BY 1)
+            SELECT g.run_id, g.jobname, w.block, w.pos, w.element, w.atom_id, w.orbital,
+                   CASE WHEN w.block = 'U' THEN g.u_value ELSE g.alpha_value END AS value
+            FROM grid g JOIN firsts f ON g.run_id = f.run_id JOIN whole w ON w.key = f.key""",
         "species_count": """SELECT concat('/cells/part_', p_partkey, '.cell') AS file,
             CAST(1 + CASE WHEN p_partkey % 3 <> 0 THEN 1 ELSE 0 END
                    + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS INT) AS n_species FROM part""",

@@ -79,8 +79,9 @@ def items_of(text: Column) -> Column:
 
 
 def cell_items(files: DataFrame) -> DataFrame:
-    """(file, text) -> (file, items), one row per cell file."""
-    return files.select("file", items_of(F.col("text")).alias("items"))
+    """(file, text, ...) -> (file, ..., items), one row per cell file."""
+    rest = [c for c in files.columns if c != "text"]
+    return files.select(*rest, items_of(F.col("text")).alias("items"))
 
 
 def settings_of(text: Column) -> Column:
@@ -104,11 +105,12 @@ def number_or_null(text: Column) -> Column:
 
 
 def param_settings(files: DataFrame) -> DataFrame:
-    """(file, text) -> (file, pos, key, value, value_num), one row per setting."""
+    """(file, text, ...) -> (file, ..., pos, key, value, value_num), one row per setting."""
+    rest = [c for c in files.columns if c != "text"]
     # An outer explode, because a plain one adds a size test that parses every text a second time.
     return (
-        files.select("file", F.explode_outer(settings_of(F.col("text"))).alias("s"))
+        files.select(*rest, F.explode_outer(settings_of(F.col("text"))).alias("s"))
         .filter(F.col("s").isNotNull())
-        .select("file", "s.pos", "s.key", "s.value")
+        .select(*rest, "s.pos", "s.key", "s.value")
         .withColumn("value_num", number_or_null(F.col("value")))
     )

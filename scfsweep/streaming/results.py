@@ -35,10 +35,10 @@ def read_result_stream(
     )
 
 
-def append_stream(results: DataFrame, target: str, checkpoint: str) -> None:
-    """Appends arriving rows to a Parquet table, each exactly once."""
+def append_stream(results: DataFrame, target: str, checkpoint: str, form: str = "parquet") -> None:
+    """Appends arriving rows to a table of files (``parquet``, ``csv``, ...), each exactly once."""
     query = (
-        results.writeStream.format("parquet")
+        results.writeStream.format(form)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

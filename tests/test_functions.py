@@ -1,4 +1,6 @@
 import math
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,25 @@ def test_sequence_quotient_rounded_up_adds_no_member(spark):
     assert [len(x) for x in lists] == [3, 3]
 
 
+def test_random_sequences_match_exact_decimals(spark):
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(400):
+        digits = rnd.choice([0, 1, 2, 6, 13])
+        start, step = (Decimal(rnd.randrange(-500, 500)).scaleb(-digits) for _ in range(2))
+        end = start + step * rnd.randrange(0, 40) + Decimal(rnd.choice([-1, 0, 0, 1])).scaleb(-digits)
+        rows.append((str(start), str(step), str(end)))
+    want = []
+    for start, step, end in ([Decimal(x) for x in r] for r in rows):
+        members = []
+        while step and (start <= end if step > 0 else start >= end):
+            members.append(start)
+            start += step
+        want.append(members)
+    got = values(spark, fn.steps_list(F.col("a"), F.col("b"), F.col("c")), rows, "a string, b string, c string")
+    assert got == want
+
+
 def test_number_text(spark):
     rows = [("5",), ("-5",), ("5.",), ("+0.5",), (".5",), ("5e-7",), ("2d",), ("",), ("1 2",)]
     text = F.col("n")
