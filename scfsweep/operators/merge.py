@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scfsweep.functions import seed_of
 from scfsweep.operators.numbering import number_in_block, rows_before
-from scfsweep.operators.views import MEAN_KEYS, channels
+from scfsweep.operators.views import MEAN_KEYS, channels, with_channel
 from scfsweep.schema import perturbation_column, response_column
 
 # 2**BLOCK_BITS steps share a numbering block in merge_by_position, which bounds what one task sorts.
@@ -132,7 +132,7 @@ def merge_by_key(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     """
     keys = ["run_id", "channel_id", "u", "k", "seed"]
     left, right = (
-        rows.withColumn("seed", seed_of(F.col("jobname"))).select(
+        with_channel(rows).withColumn("seed", seed_of(F.col("jobname"))).select(
             *keys,
             F.col("pert").alias(perturbation_column(job)),
             F.col("n1_nf").alias(response_column(job)),

@@ -10,11 +10,15 @@ from scfsweep.schema import check_job, perturbation_column, response_column
 MEAN_KEYS = ("run_id", "channel_id", "u")
 
 
+def with_channel(rows: DataFrame) -> DataFrame:
+    """Rows that belong to a channel. A blank channel id shows in the total view only."""
+    return rows.filter(F.col("channel_id").isNotNull())
+
+
 def channel_view(rows: DataFrame, job: str, channel_id: int | None = None) -> DataFrame:
     """(run_id, channel_id, u, {job}_pert, n1_nf_{job}) of all channels, or of one."""
-    if channel_id is not None:
-        rows = rows.filter(F.col("channel_id") == channel_id)
-    return rows.select(
+    of_channel = with_channel(rows) if channel_id is None else rows.filter(F.col("channel_id") == channel_id)
+    return of_channel.select(
         *MEAN_KEYS,
         F.col("pert").alias(perturbation_column(job)),
         F.col("n1_nf").alias(response_column(job)),
@@ -29,9 +33,10 @@ def alpha_columns(view: DataFrame) -> DataFrame:
 
 def channels(rows: DataFrame) -> DataFrame:
     """Channels of every run. Selected result rows will do, which spares the spin sums."""
-    return rows.select("run_id", "channel_id").distinct()
+    return with_channel(rows).select("run_id", "channel_id").distinct()
 
 
 def mean_view(rows: DataFrame, job: str) -> DataFrame:
     """Mean response per (run, channel, u) of one job."""
-    return rows.groupBy(*MEAN_KEYS).agg(F.avg("n1_nf").alias(response_column(check_job(job))))
+    mean = F.avg("n1_nf").alias(response_column(check_job(job)))
+    return with_channel(rows).groupBy(*MEAN_KEYS).agg(mean)

@@ -5,6 +5,7 @@ from brute import SCHEMA, means, merged_by_position, response, same, sweep
 
 from scfsweep.operators import merge as M
 from scfsweep.operators import response as R
+from scfsweep.operators import views as V
 from scfsweep.plans import analyze
 
 
@@ -129,3 +130,19 @@ def test_both_readings_share_one_scan(spark, tmp_path):
     merged.collect()
     plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 2
+
+
+def test_blank_channel_ids_join_no_channel(spark):
+    blank = [("r1", "./U_2_u/U_2_u_1/S", None, s, 1.0, 2.0, 4.0, True) for s in (1, 2)]
+    rows_u, rows_alpha = CASES["complete"]
+    plain, odd = (responses(spark, u, rows_alpha) for u in (rows_u, rows_u + blank))
+    assert odd[0].filter("channel_id is null").count() == 1
+    for table in (
+        lambda r: M.channel_pairs(*r),
+        lambda r: M.merged_mean(M.merge_by_position(*r)),
+        lambda r: M.merged_mean(M.merge_by_key(*r)),
+        lambda r: V.mean_view(r[0], "u"),
+        lambda r: V.channel_view(r[0], "u"),
+    ):
+        assert table(odd).count() == table(plain).count()
+        assert table(odd).filter("channel_id is null" if "channel_id" in table(odd).columns else "pair is null").count() == 0
