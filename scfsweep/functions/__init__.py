@@ -2,6 +2,7 @@ from scfsweep.functions.jobs import (
     all_slashes,
     file_stem,
     is_perturbed,
+    job_folder,
     job_path,
     job_step,
     job_u,
@@ -32,6 +33,7 @@ __all__ = [
     "is_number_text",
     "is_perturbed",
     "is_signed_decimal_text",
+    "job_folder",
     "job_path",
     "job_step",
     "job_u",

@@ -55,6 +55,11 @@ def seed_of(jobname: Column) -> Column:
     return F.substring_index(jobname, "/", -1)
 
 
+def job_folder(jobname: Column) -> Column:
+    """Name of the folder a job ran in: ``U_2_u`` or ``U_2_u_3``, however much of the path is given."""
+    return F.substring_index(F.substring_index(jobname, "/", -2), "/", 1)
+
+
 def file_stem(path: Column) -> Column:
     """The path without its last extension."""
     return F.regexp_replace(path, r"\.[^./]+$", "")

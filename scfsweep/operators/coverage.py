@@ -5,41 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-JOB_KEYS = ["run_id", "jobname"]
+from scfsweep.functions import job_folder
 
+# How planned jobs meet results: by the full job name, or by run and job folder alone, for plans that
+# do not know the seed's name and for names re-read from logs.
+KEYS = {"name": ["run_id", "jobname"], "folder": ["run_id", "job_folder"]}
 
-def job_states(results: DataFrame) -> DataFrame:
+
+def _keyed(table: DataFrame, by: str) -> DataFrame:
+    if by not in KEYS:
+        raise ValueError(f"by must be one of {tuple(KEYS)}, not {by!r}")
+    return table if by == "name" else table.withColumn("job_folder", job_folder(F.col("jobname")))
+
+
+def job_states(results: DataFrame, by: str = "name") -> DataFrame:
     """One row per job that left results; a job re-run to convergence counts as converged.
 
     Aggregated before any join, so a job with very many rows reaches the join as one.
     """
-    return results.groupBy(*JOB_KEYS).agg(
+    return _keyed(results, by).groupBy(*KEYS[by]).agg(
         F.bool_or("converged").alias("converged"), F.count(F.lit(1)).alias("n_rows")
     )
 
 
-def _converged(results: DataFrame) -> DataFrame:
-    return results.filter(F.col("converged")).select(*JOB_KEYS).distinct()
+def _converged(results: DataFrame, by: str) -> DataFrame:
+    return _keyed(results.filter(F.col("converged")), by).select(*KEYS[by]).distinct()
 
 
-def pending_jobs(plan: DataFrame, results: DataFrame) -> DataFrame:
+def pending_jobs(plan: DataFrame, results: DataFrame, by: str = "name") -> DataFrame:
     """Planned jobs with no converged result."""
-    return plan.join(_converged(results), JOB_KEYS, "left_anti")
+    return _keyed(plan, by).join(_converged(results, by), KEYS[by], "left_anti")
 
 
-def done_jobs(plan: DataFrame, results: DataFrame) -> DataFrame:
+def done_jobs(plan: DataFrame, results: DataFrame, by: str = "name") -> DataFrame:
     """Planned jobs that need not run again."""
-    return plan.join(_converged(results), JOB_KEYS, "left_semi")
+    return _keyed(plan, by).join(_converged(results, by), KEYS[by], "left_semi")
 
 
-def coverage(plan: DataFrame, results: DataFrame) -> DataFrame:
+def coverage(plan: DataFrame, results: DataFrame, by: str = "name") -> DataFrame:
     """Every planned job with ``status``: done, not_converged or missing."""
     status = (
         F.when(F.col("n_rows").isNull(), F.lit("missing"))
         .when(F.col("converged"), F.lit("done"))
         .otherwise(F.lit("not_converged"))
     )
-    return plan.join(job_states(results), JOB_KEYS, "left").withColumn("status", status)
+    return _keyed(plan, by).join(job_states(results, by), KEYS[by], "left").withColumn("status", status)
 
 
 def coverage_summary(covered: DataFrame) -> DataFrame:

@@ -135,3 +135,16 @@ def with_job_paths(grid: DataFrame) -> DataFrame:
 def sweep_plan(arguments: DataFrame) -> DataFrame:
     """The full plan of the accepted runs: grid, set-points, tolerances and paths."""
     return with_job_paths(with_tolerances(with_setpoints(sweep_grid(accepted(arguments)))))
+
+
+def folder_plan(parsed: DataFrame) -> DataFrame:
+    """Plan of finished runs, from their parsed folder names: run_id, seed, job, u, k, jobname.
+
+    The folder tells how often each U was perturbed, not by how much, so there are no set-points.
+    The cell file may be named unlike the folder: compare with results by ``folder``.
+    """
+    u_values = steps_list(F.col("init_u"), F.col("step_u"), F.col("final_u"))
+    steps = F.sequence(F.lit(0), F.greatest(F.col("times"), F.lit(0)).cast("int"))
+    runs = parsed.filter("valid").select(F.col("folder").alias("run_id"), "seed", "job", u_values.alias("_u"), steps.alias("_k"))
+    per_value = runs.select("run_id", "seed", "job", "_k", F.explode("_u").alias("u"))
+    return with_job_paths(per_value.select("run_id", "seed", "job", "u", F.explode("_k").alias("k")))

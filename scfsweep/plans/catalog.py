@@ -158,6 +158,9 @@ def _folder_queries() -> dict[str, Query]:
     return {
         "run_folders": lambda s, d: parsed(s, d).filter("valid").drop("valid", "missing"),
         "rejected_folders": lambda s, d: parsed(s, d).filter("not valid").select("folder", "missing"),
+        "folder_plan": lambda s, d: _plain(
+            sweep.folder_plan(parsed(s, d)), "run_id", "seed", "job", "u", "k", "jobname"
+        ),
         "run_pairs": lambda s, d: pairing.pair_runs(parsed(s, d)),
         "unpaired_runs": lambda s, d: pairing.unpaired_runs(parsed(s, d)),
         "check_pairs": lambda s, d: pairing.check_pairs(A.folder_requests(s, d)),

@@ -206,6 +206,13 @@ def _folder_oracles() -> dict[str, str]:
         "run_folders": f"""{_FOLDERS} SELECT folder, seed, job, init_u, step_u, final_u, pert_init, pert_step,
             pert_final, times FROM checked WHERE missing = ''""",
         "rejected_folders": f"{_FOLDERS} SELECT folder, missing FROM checked WHERE missing <> ''",
+        "folder_plan": f"""{_FOLDERS},
+            us2 AS (SELECT folder, seed, job, CAST(final_u AS INT) AS final_u, times FROM checked WHERE missing = ''),
+            by_u AS (SELECT *, unnest(range(0, final_u + 1, 2)) AS ui FROM us2),
+            by_k AS (SELECT *, unnest(range(0, times + 1)) AS ki FROM by_u)
+            SELECT folder AS run_id, seed, job, CAST(ui AS DOUBLE) AS u, CAST(ki AS INT) AS k,
+              concat('./U_', ui, '_', job, '/', CASE WHEN ki = 0 THEN '' ELSE
+                     concat('U_', ui, '_', job, '_', ki, '/') END, seed) AS jobname FROM by_k""",
         "run_pairs": f"{_FOLDERS} SELECT {pair}, folder AS u_folder, alpha_folder FROM fits WHERE nth = 1",
         "unpaired_runs": f"""{_FOLDERS} SELECT folder AS u_folder, seed, CASE
               WHEN NOT EXISTS (SELECT 1 FROM alphas a WHERE a.seed = us.seed) THEN 'no alpha run'

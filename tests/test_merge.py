@@ -146,3 +146,13 @@ def test_blank_channel_ids_join_no_channel(spark):
     ):
         assert table(odd).count() == table(plain).count()
         assert table(odd).filter("channel_id is null" if "channel_id" in table(odd).columns else "pair is null").count() == 0
+
+
+def test_signed_values_merge_in_order(spark):
+    rows = {j: sweep(j, channels=(1,), us=(-4, -2, 0, 2), steps=2) for j in ("u", "alpha")}
+    tables = [
+        R.response_rows(spark.createDataFrame(rows[j], SCHEMA), j, 0.05, signed_u=True) for j in ("u", "alpha")
+    ]
+    merged = M.merge_by_position(*tables).orderBy("position").collect()
+    assert [r.u for r in merged] == [-4.0, -4.0, -2.0, -2.0, 0.0, 0.0, 2.0, 2.0]
+    assert all(r.n1_nf_u is not None and r.n1_nf_alpha is not None for r in merged)

@@ -141,3 +141,20 @@ def test_named_pairs(spark):
         "unreadable name",
         "unreadable name",
     ]
+
+
+def test_coverage_of_a_finished_run_by_its_folder_name(spark):
+    folder = "SLAB_u_0_2_4_0.05_0.05_0.15_STEPS_3"
+    rows = [(folder,) + r[1:-1] + (True,) for r in sweep("u", us=(0, 2), steps=2, seed="other")]
+    reread = [r[:1] + (r[1].split("/", 2)[2] if r[1].count("/") == 3 else r[1][2:],) + r[2:] for r in rows]
+    plan = W.folder_plan(folders(spark, [folder, "unreadable"]))
+    assert plan.count() == 3 * 4
+    for results in (rows, reread):
+        found = spark.createDataFrame(results, SCHEMA)
+        status = {(int(r.u), r.k): r.status for r in C.coverage(plan, found, by="folder").collect()}
+        assert len(status) == 12
+        assert {k for k, v in status.items() if v == "done"} == {(u, k) for u in (0, 2) for k in (0, 1, 2)}
+        assert C.pending_jobs(plan, found, by="folder").count() == 6 == C.done_jobs(plan, found, by="folder").count()
+    assert C.done_jobs(plan, spark.createDataFrame(rows, SCHEMA)).count() == 0
+    with pytest.raises(ValueError):
+        C.coverage(plan, found, by="u")
