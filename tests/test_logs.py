@@ -1,6 +1,5 @@
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from scfsweep.operators import blocks, logs
@@ -89,7 +88,8 @@ def test_absent_series_are_reported(spark, tmp_path):
     write_log(root, "a.castep", [(1, 1, 3.0), (1, 1, 4.0), (3, 1, 9.0)])
     tagged = tag_lines(log_lines(spark, root))
     file = tagged.first().file
-    counts = spark.createDataFrame([(file, 2), ("/logs/nowhere.castep", 1), ("/logs/zero.castep", 0)], "file string, n_species int")
+    expected = [(file, 2), ("/logs/nowhere.castep", 1), ("/logs/zero.castep", 0)]
+    counts = spark.createDataFrame(expected, "file string, n_species int")
     rows = logs.complete_series(logs.pick_observations(tagged), counts).collect()
     got = {(r.file == file, r.species, r.spin): (r.before_scf, r.n_obs, r.converged) for r in rows}
     assert got == {

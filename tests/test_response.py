@@ -2,7 +2,6 @@ import math
 
 import pytest
 from brute import SCHEMA, response, same, sweep
-from pyspark.sql import functions as F
 
 from scfsweep.operators import response as R
 from scfsweep.operators import views as V

@@ -70,7 +70,8 @@ def results(spark):
 
 
 def test_coverage(spark):
-    args = arguments(spark, [("r1", "SLAB", "u", "2", "0.15")], "run_id string, seed string, job string, u_end string, pert_end string")
+    schema = "run_id string, seed string, job string, u_end string, pert_end string"
+    args = arguments(spark, [("r1", "SLAB", "u", "2", "0.15")], schema)
     plan, found = W.sweep_plan(args), results(spark)
     status = {r.jobname: (r.status, r.n_rows) for r in C.coverage(plan, found).collect()}
     assert len(status) == 8
