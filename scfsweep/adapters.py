@@ -113,8 +113,8 @@ def log_text_lines(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
         F.expr(path).alias("file"),
         "block",
         "row",
-        F.explode(F.array_compact(F.array(noise, occupation, finish))).alias("line"),
-    )
+        F.explode(F.array(noise, occupation, finish)).alias("line"),
+    ).filter(F.col("line").isNotNull())
 
 
 def cell_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,16 @@ from scfsweep.operators import views as V
 from scfsweep.plans.analyze import analyze, analyze_single
 from scfsweep.plans.export import append_results, export_analysis, reset_results, write_total_view
 from scfsweep.scratch import scratch_folder
-from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER, export_names
-from scfsweep.sources import append_parts, cell_items, conform, param_settings, parse_folders, tag_lines
+from scfsweep.schema import export_names
+from scfsweep.sources import (
+    append_parts,
+    cell_items,
+    conform,
+    param_settings,
+    parse_folders,
+    read_results,
+    tag_lines,
+)
 from scfsweep.streaming import append_stream, latest, running_rows, running_spin_sums, running_spins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,8 +313,7 @@ def _output_queries() -> dict[str, Query]:
         reset_results(spark, path)
         for job in ("u", "alpha"):
             append_results(A.results(spark, sf, job), path)
-        back = spark.read.option("header", True).schema(RESULT_FILE_SCHEMA).csv(path)
-        return back.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(RESULT_HEADER, RESULT_COLUMNS)])
+        return read_results(spark, path).drop("run_id")
 
     def streamed(run: Callable, job: str = "alpha") -> Callable[[SparkSession, str], str]:
         def start(spark, sf):
