@@ -5,6 +5,7 @@ from scfsweep.streaming.results import (
     running_rows,
     running_spin_sums,
     running_spins,
+    take_snapshot,
 )
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "running_rows",
     "running_spin_sums",
     "running_spins",
+    "take_snapshot",
 ]

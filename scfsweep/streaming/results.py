@@ -16,6 +16,7 @@ from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER
 from scfsweep.sources.paths import folder_above
 
 _VERSION = "batch_id"
+_UPTO = "upto"
 
 
 def read_result_stream(
@@ -85,14 +86,40 @@ def running_spins(results: DataFrame, target: str, checkpoint: str) -> None:
     _write_updates(flat, target, checkpoint)
 
 
-def latest(spark: SparkSession, target: str, keys: tuple[str, ...] = SUM_KEYS) -> DataFrame:
-    """Current state of a running table: the newest version of every key."""
+def latest(
+    spark: SparkSession, target: str, keys: tuple[str, ...] = SUM_KEYS, snapshots: str | None = None
+) -> DataFrame:
+    """Current state of a running table: the newest version of every key.
+
+    With ``snapshots`` (see :func:`take_snapshot`) only batches after the last snapshot are read.
+    """
     versions = spark.read.parquet(target)
     values = [c for c in versions.columns if c not in (*keys, _VERSION)]
+    if snapshots is not None:
+        taken = spark.read.parquet(snapshots)
+        upto = taken.agg(F.max(_UPTO)).first()[0]
+        base = taken.filter(F.col(_UPTO) == upto).withColumnRenamed(_UPTO, _VERSION)
+        versions = versions.filter(F.col(_VERSION) > upto).unionByName(base)
     newest = F.max_by(F.struct(*values), _VERSION).alias("_v")
     return versions.groupBy(*keys).agg(newest).select(*keys, "_v.*")
 
 
-def running_rows(spark: SparkSession, target: str, job: str, step: float) -> DataFrame:
+def take_snapshot(
+    spark: SparkSession, target: str, snapshots: str, keys: tuple[str, ...] = SUM_KEYS, *, first: bool = False
+) -> int:
+    """Writes the state of a running table as of its last batch; returns that batch's number.
+
+    Versions pile up with every batch. After a snapshot, earlier ones are no longer read and their
+    folders may be archived. Pass ``first`` while there is no snapshot yet.
+    """
+    last = spark.read.parquet(target).agg(F.max(_VERSION)).first()[0]
+    state = latest(spark, target, keys, None if first else snapshots)
+    state.write.mode("overwrite").parquet(f"{snapshots}/{_UPTO}={last}")
+    return last
+
+
+def running_rows(
+    spark: SparkSession, target: str, job: str, step: float, snapshots: str | None = None
+) -> DataFrame:
     """Response rows of the spin sums as they stand; feed them to the views for running means."""
-    return slopes(differences(latest(spark, target), job), job, step)
+    return slopes(differences(latest(spark, target, snapshots=snapshots), job), job, step)

@@ -5,7 +5,7 @@ from brute import SCHEMA, same, sweep
 from scfsweep.operators import response as R
 from scfsweep.operators import views as V
 from scfsweep.schema import RESULT_HEADER
-from scfsweep.streaming import append_stream, latest, read_result_stream, running_rows, running_spin_sums, running_spins
+from scfsweep.streaming import append_stream, latest, read_result_stream, running_rows, running_spin_sums, running_spins, take_snapshot
 
 
 def drop_file(root, run, name, rows):
@@ -68,3 +68,20 @@ def test_repeated_rows(spark, tmp_path):
     assert bag(kept) == bag(R.drop_repeats(batch(spark, rows)))
     once = R.response_rows(kept, "u", 0.05).select(R.TOTAL_COLUMNS[1], "u", "k", "n1_nf")
     assert bag(once) == bag(R.response_rows(batch(spark, rows), "u", 0.05).select(R.TOTAL_COLUMNS[1], "u", "k", "n1_nf"))
+
+
+def test_snapshots_replace_old_versions(spark, tmp_path):
+    source, target, state, kept = (f"{tmp_path}/{n}" for n in ("in", "out", "state", "kept"))
+    rows = sweep("u", run="r1")
+    for i in range(4):
+        drop_file(source, "r1", f"part{i}.csv", rows[i::4])
+        running_spin_sums(read_result_stream(spark, f"{source}/*", files_per_batch=1), target, state)
+        if i in (1, 2):
+            assert take_snapshot(spark, target, kept, first=i == 1) == i
+    want = bag(R.spin_sums(R.select_results(batch(spark, rows))))
+    assert bag(latest(spark, target)) == want
+    current = latest(spark, target, snapshots=kept)
+    assert bag(current) == want
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert bag(running_rows(spark, target, "u", 0.05, kept)) == bag(R.response_rows(batch(spark, rows), "u", 0.05))
