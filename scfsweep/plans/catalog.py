@@ -273,7 +273,7 @@ def _output_queries() -> dict[str, Query]:
         both = analyze(u, alpha, u_step=STEP, alpha_step=STEP, align="key")
         folder = export_analysis(both, scratch_folder(spark, "export"))
         back = spark.read.option("header", True).schema(
-            "U int, `n1-nF_U` double, `n1-nF_Alpha` double, run_id string, channel_id int"
+            "run_id string, U int, `n1-nF_U` double, `n1-nF_Alpha` double, channel_id int"
         )
         return _rounded(
             back.csv(f"{folder}/channel_mean").select(
@@ -289,7 +289,7 @@ def _output_queries() -> dict[str, Query]:
         one = analyze_single(A.results(spark, sf, "alpha"), "alpha", STEP)
         folder = export_analysis(one, scratch_folder(spark, "export"))
         back = spark.read.option("header", True).schema(
-            "`Channel ID` int, U int, alpha_pert double, `n1-nF_Alpha` double, run_id string, channel_id int"
+            "run_id string, `Channel ID` int, U int, alpha_pert double, `n1-nF_Alpha` double, channel_id int"
         )
         return back.csv(f"{folder}/channel_total").select(
             "run_id",
@@ -305,7 +305,7 @@ def _output_queries() -> dict[str, Query]:
         write_total_view(one.rows["u"], "u", path)
         names = {new: old for old, new in export_names("u").items()}
         fields = ", ".join(f"`{new}` {'int' if new in ('Channel ID', 'U') else 'double'}" for new in names)
-        back = spark.read.option("header", True).schema(f"{fields}, run_id string").csv(path)
+        back = spark.read.option("header", True).schema(f"run_id string, {fields}").csv(path)
         return back.select("run_id", *[F.col(f"`{new}`").alias(old) for new, old in names.items()])
 
     def appended(spark, sf):

@@ -2,7 +2,8 @@
 
 Rows are range-sorted on the full key first: files come out in order, each folder gets few files,
 and a run or channel that holds much of the data is shared by many tasks. ``folders`` names the
-partition folders; with very many runs pass fewer, or none: those columns then stay in the files.
+partition folders; all other keys are columns of the files. By default runs share files, since there
+may be millions of them; ``RUN_CHANNEL`` gives each channel of each run a folder of its own.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ PLOT_FOLDERS = {"u": "plot_U", "alpha": "plot_Alpha", "both": "plot"}
 JOB_LABELS = {"u": "U", "alpha": "Alpha"}
 
 
-RUN = ("run_id",)
 RUN_CHANNEL = ("run_id", "channel_id")
+PER_CHANNEL = ("channel_id",)
 
 
 def _csv(table: DataFrame, path: str, folders: tuple[str, ...]) -> None:
@@ -41,27 +42,32 @@ def _headed(table: DataFrame, names: dict[str, str], keep: tuple[str, ...] = ())
     return table.select(*[F.col(c).alias(c if c in keep else names.get(c, c)) for c in table.columns])
 
 
-def write_total_view(rows: DataFrame, job: str, path: str, folders: tuple[str, ...] = RUN) -> None:
+def _sorted(table: DataFrame, folders: tuple[str, ...], *rest: str) -> DataFrame:
+    """Sorted by folder first, so that each task writes to few of them."""
+    keys = [*folders, *[c for c in RUN_CHANNEL if c not in folders], *rest]
+    return table.orderBy(*keys)
+
+
+def write_total_view(rows: DataFrame, job: str, path: str, folders: tuple[str, ...] = ()) -> None:
     """All channels of each run, in sweep order, under their published headers."""
     _csv(_headed(total_view(in_sweep_order(rows)), export_names(job)), path, folders)
 
 
-def write_channel_views(rows: DataFrame, job: str, path: str, folders: tuple[str, ...] = RUN_CHANNEL) -> None:
+def write_channel_views(rows: DataFrame, job: str, path: str, folders: tuple[str, ...] = PER_CHANNEL) -> None:
     """Perturbation and response of each channel; the channel's id also stays in the files."""
-    view = channel_view(rows, job).orderBy("run_id", "channel_id", "u", perturbation_column(job))
+    view = _sorted(channel_view(rows, job), folders, "u", perturbation_column(job))
     if "channel_id" in folders:
         first, rest = list(RUN_CHANNEL), [c for c in view.columns if c not in RUN_CHANNEL]
         view = view.select(*first, F.col("channel_id").alias("Channel ID"), *rest)
     _csv(_headed(view, CHANNEL_EXPORT_NAMES, folders), path, folders)
 
 
-def write_means(means: DataFrame, path: str, folders: tuple[str, ...] = RUN_CHANNEL) -> None:
+def write_means(means: DataFrame, path: str, folders: tuple[str, ...] = PER_CHANNEL) -> None:
     """Mean responses, sorted by u."""
-    ordered = means.orderBy("run_id", "channel_id", "u")
-    _csv(_headed(ordered, CHANNEL_EXPORT_NAMES, folders), path, folders)
+    _csv(_headed(_sorted(means, folders, "u"), CHANNEL_EXPORT_NAMES, folders), path, folders)
 
 
-def export_analysis(analysis: Analysis, root: str) -> str:
+def export_analysis(analysis: Analysis, root: str, folders: tuple[str, ...] = PER_CHANNEL) -> str:
     """Writes what the analysis' mode publishes below ``root``; returns the folder.
 
     Both jobs: merged means. One job: total view, channel views and means, which share one
@@ -69,14 +75,14 @@ def export_analysis(analysis: Analysis, root: str) -> str:
     """
     folder = f"{root}/{PLOT_FOLDERS[analysis.mode]}"
     if analysis.mode == "both":
-        write_means(analysis.means, f"{folder}/channel_mean")
+        write_means(analysis.means, f"{folder}/channel_mean", folders)
         return folder
     job = analysis.mode
     rows = analysis.rows[job].persist(StorageLevel.DISK_ONLY)
     try:
         write_total_view(rows, job, f"{folder}/sorted_{JOB_LABELS[job]}")
-        write_channel_views(rows, job, f"{folder}/channel_total")
-        write_means(mean_view(rows, job), f"{folder}/channel_mean_{JOB_LABELS[job]}")
+        write_channel_views(rows, job, f"{folder}/channel_total", folders)
+        write_means(mean_view(rows, job), f"{folder}/channel_mean_{JOB_LABELS[job]}", folders)
     finally:
         rows.unpersist()
     return folder
