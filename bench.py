@@ -38,6 +38,14 @@ HEADLINE = (
 )
 
 
+def _scale(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -69,7 +77,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 4),
                 "unit": "sec",
                 "queries": timings,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": _scale(sf_dir),
             }
         )
     )
