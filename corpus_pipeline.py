@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scfsweep.llm.common import staged, table
 from scfsweep.llm.decontaminate import drop_contaminated
+from scfsweep.llm.kneser_ney import drop_unlikely
 from scfsweep.llm.mixing import mixed
 from scfsweep.llm.sharding import sharded
 
 STAGES = [
+    ("quality", drop_unlikely),
     ("decontaminate", drop_contaminated),
     ("mix", mixed),
     ("shard", sharded),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scfsweep.llm import decontaminate, mixing, rules, sharding, toxicity, urls
+from scfsweep.llm import decontaminate, kneser_ney, mixing, pseudonyms, rules, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,7 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_kneser_ney": kneser_ney.op2_kneser_ney,
         "op3_winnowing": decontaminate.op3_winnowing,
+        "op5_pseudonyms": pseudonyms.op5_pseudonyms,
         "op7_rules": rules.op7_rules,
         "op8_mixing": mixing.op8_mixing,
         "op9_url_filter": urls.op9_url_filter,
