@@ -8,10 +8,12 @@ from scfsweep.llm.common import staged, table
 from scfsweep.llm.decontaminate import drop_contaminated
 from scfsweep.llm.kneser_ney import drop_unlikely
 from scfsweep.llm.mixing import mixed
+from scfsweep.llm.near_duplicates import drop_near_duplicates
 from scfsweep.llm.sharding import sharded
 
 STAGES = [
     ("quality", drop_unlikely),
+    ("near_duplicates", drop_near_duplicates),
     ("decontaminate", drop_contaminated),
     ("mix", mixed),
     ("shard", sharded),

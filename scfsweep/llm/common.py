@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scfsweep.scratch import scratch_folder
@@ -26,6 +27,30 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SLOTS = 1 << 22
+
+
+def rows_of(spark: SparkSession, docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of docs whose ``key`` (not null) is in ``keys``; docs' columns only.
+
+    A bitmap of SLOTS bits, whatever the number of keys, thins docs before they are shuffled for the join.
+    """
+    slot = f"cast(pmod(xxhash64({key}), {SLOTS}) as int)"
+    taken = keys.selectExpr(f"{slot} as slot").distinct().toPandas()["slot"].to_numpy()  # SLOTS numbers at most
+    bitmap = np.zeros(SLOTS, bool)
+    bitmap[taken] = True
+    shared = spark.sparkContext.broadcast(np.packbits(bitmap))
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(near[batch.column("slot").to_numpy()])).select(schema.names)
+
+    some = docs.filter(F.col(key).isNotNull()).withColumn("slot", F.expr(slot))
+    return some.mapInArrow(run, schema).join(keys.select(key).distinct(), key, "left_semi")
+
+
 def extended(
     df: DataFrame,
     fields: list[tuple[str, T.DataType]],

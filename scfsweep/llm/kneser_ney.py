@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scfsweep.llm.common import extended, staged, table
+from scfsweep.llm.common import extended, rows_of, staged, table
 from scfsweep.llm.words import Texts, mix, text_chunks
 
 ORDER = 5
 MAX_WINDOWS = 1 << 21
-SLOTS = 1 << 22
 PRIOR_BYTES = 200
 QUANTILE = 0.99
 SPREAD = 3.0
@@ -202,27 +201,10 @@ def with_bits(spark: SparkSession, docs: DataFrame, orders: list[dict[str, np.nd
     return extended(docs, [("bits", T.DoubleType()), ("bytes", T.LongType())], make)
 
 
-def trusted_texts(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs(doc_id, text) whose id is in ids(doc_id); a bitmap of fixed size thins docs before the join."""
-    slot = f"cast(pmod(xxhash64(doc_id), {SLOTS}) as int)"
-    taken = ids.selectExpr(f"{slot} as slot").distinct().toPandas()["slot"].to_numpy()  # SLOTS numbers at most
-    bitmap = np.zeros(SLOTS, bool)
-    bitmap[taken] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near = np.unpackbits(shared.value).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(near[batch.column("slot").to_numpy()])).select(["doc_id", "text"])
-
-    some = docs.filter("doc_id is not null and text is not null").select("doc_id", "text", F.expr(slot).alias("slot"))
-    return some.mapInArrow(run, docs.select("doc_id", "text").schema).join(ids, "doc_id", "left_semi")
-
-
 def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs(doc_id, text, lang) and labels(doc_id, quality; 1 is trusted) -> doc_id, lang, bytes, score, perplexity, threshold, kept."""
     ids = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    orders = model(spark, count_windows(trusted_texts(spark, docs, ids)))
+    orders = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
     lang = "coalesce(concat('=', lang), '') as named"
     scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang"), orders).drop("text").selectExpr("*", lang), "bits")
     means = scored.groupBy("named").agg(F.coalesce(F.sum("bits") / F.sum("bytes"), F.lit(8.0)).alias("mean"))

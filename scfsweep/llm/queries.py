@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scfsweep.llm import decontaminate, kneser_ney, mixing, pseudonyms, rules, sharding, toxicity, urls
+from scfsweep.llm import decontaminate, kneser_ney, mixing, near_duplicates, pseudonyms, rules, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_kneser_ney": kneser_ney.op2_kneser_ney,
         "op3_winnowing": decontaminate.op3_winnowing,
         "op5_pseudonyms": pseudonyms.op5_pseudonyms,
+        "op6_jaccard_join": near_duplicates.op6_jaccard_join,
         "op7_rules": rules.op7_rules,
         "op8_mixing": mixing.op8_mixing,
         "op9_url_filter": urls.op9_url_filter,
