@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scfsweep.llm import decontaminate, kneser_ney, mixing, near_duplicates, pseudonyms, rules, sharding, toxicity, urls
+from scfsweep.llm import decontaminate, kneser_ney, mixing, near_duplicates, pseudonyms, rules, sharding, suffix_dedup, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_kneser_ney": kneser_ney.op2_kneser_ney,
         "op3_winnowing": decontaminate.op3_winnowing,
+        "op4_suffix_array": suffix_dedup.op4_suffix_array,
         "op5_pseudonyms": pseudonyms.op5_pseudonyms,
         "op6_jaccard_join": near_duplicates.op6_jaccard_join,
         "op7_rules": rules.op7_rules,
