@@ -36,7 +36,7 @@ def rows_of(spark: SparkSession, docs: DataFrame, keys: DataFrame, key: str) ->
     A bitmap of SLOTS bits, whatever the number of keys, thins docs before they are shuffled for the join.
     """
     slot = f"cast(pmod(xxhash64({key}), {SLOTS}) as int)"
-    taken = keys.selectExpr(f"{slot} as slot").distinct().toPandas()["slot"].to_numpy()  # SLOTS numbers at most
+    taken = keys.selectExpr(f"{slot} as slot").distinct().toArrow()["slot"].to_numpy()  # SLOTS numbers at most
     bitmap = np.zeros(SLOTS, bool)
     bitmap[taken] = True
     shared = spark.sparkContext.broadcast(np.packbits(bitmap))

@@ -141,8 +141,8 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span:
     marks = staged(spark, _with_hits(items.select("item_id", "text"), span, k, None, None, False).select("item_id", F.explode("hits").alias("h")), "marks")
     slots = np.zeros(SLOTS, bool)
     # SLOTS numbers at most, whatever the benchmark holds
-    taken = marks.selectExpr(f"cast(pmod(pmod(h.fp, {SLOTS}) , {SLOTS}) as int) as slot").distinct().toPandas()["slot"]
-    slots[taken.to_numpy(dtype=np.int64)] = True
+    taken = marks.selectExpr(f"cast(pmod(pmod(h.fp, {SLOTS}) , {SLOTS}) as int) as slot").distinct().toArrow()["slot"]
+    slots[taken.to_numpy()] = True
     lengths = sorted(r.n for r in marks.filter("h.n > 0").select("h.n").distinct().collect())
     shared = spark.sparkContext.broadcast(slots)
     found = staged(spark, _with_hits(docs.select("doc_id", "text"), span, k, lengths, shared, True).drop("text"), "fingerprints")

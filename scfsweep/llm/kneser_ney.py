@@ -15,7 +15,7 @@ Thresholds: per language, from quantiles of the scores of trusted documents: the
 times the distance to the upper quantile. A language with too few trusted documents uses the threshold of
 all. Documents above it are rejected.
 
-Null and empty texts hold no byte and get the mean of their language (kept). A null language is a
+Null and empty texts hold no byte and are kept, with the mean of their language for a score. A null language is a
 language of its own. Without any trusted row nothing is rejected. Repeated rows count as often as they
 occur.
 """
@@ -129,9 +129,9 @@ def model(spark: SparkSession, counts: DataFrame, max_windows: int = MAX_WINDOWS
             joined = joined.join(below.select(F.col("key").alias("tail"), F.col("p").alias("lower")), "tail")
         below = staged(spark, joined.select("key", (F.expr("(n - off) / total") + F.col("backoff") * F.col("lower")).alias("p")), f"p{order}")
         # max_windows rows at most, of two numbers
-        p, c = below.toPandas().sort_values("key"), contexts.select("context", "backoff").toPandas().sort_values("context")
+        p, c = below.toArrow().sort_by("key"), contexts.select("context", "backoff").toArrow().sort_by("context")
         out.append(
-            {"keys": p["key"].to_numpy(np.uint64), "log_p": np.log2(p["p"].to_numpy()).astype(np.float32), "contexts": c["context"].to_numpy(np.uint64), "log_b": np.log2(c["backoff"].to_numpy()).astype(np.float32)}
+            {"keys": p["key"].to_numpy().astype(np.uint64), "log_p": np.log2(p["p"].to_numpy()).astype(np.float32), "contexts": c["context"].to_numpy().astype(np.uint64), "log_b": np.log2(c["backoff"].to_numpy()).astype(np.float32)}
         )
     return out
 
@@ -207,7 +207,7 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     orders = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
     lang = "coalesce(concat('=', lang), '') as named"
     scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang"), orders).drop("text").selectExpr("*", lang), "bits")
-    means = scored.groupBy("named").agg(F.coalesce(F.sum("bits") / F.sum("bytes"), F.lit(8.0)).alias("mean"))
+    means = scored.groupBy("named").agg(F.coalesce(F.try_divide(F.sum("bits"), F.sum("bytes")), F.lit(8.0)).alias("mean"))
     drawn = scored.join(means, "named").withColumn("score", F.expr(f"(bits + {PRIOR_BYTES} * mean) / (bytes + {PRIOR_BYTES})"))
     quantiles = lambda group: (
         drawn.join(ids, "doc_id", "left_semi")
@@ -220,7 +220,7 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     limits = means.select("named").join(own, "named", "left").join(every)  # a single row
     judged = drawn.join(limits, "named").withColumn("threshold", F.coalesce("own", "every"))
     return judged.select(
-        "doc_id", "lang", "bytes", "score", F.pow(F.lit(2.0), "score").alias("perplexity"), "threshold", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)).alias("kept")
+        "doc_id", "lang", "bytes", "score", F.pow(F.lit(2.0), "score").alias("perplexity"), "threshold", F.coalesce((F.col("bytes") == 0) | (F.col("score") <= F.col("threshold")), F.lit(True)).alias("kept")
     )
 
 

@@ -79,6 +79,8 @@ def balance(spark: SparkSession, histogram: DataFrame, goals: DataFrame, cap: fl
     state = goals.filter("source_size > 0").selectExpr(
         "source", "target", "source_size", "-1e6D as low", "1e6D as high", "0D as t", f"target >= {cap} * source_size or target <= 0 as done"
     )
+    # decimal sums don't depend on the order of addition, so reruns agree to the last copy
+    exact = lambda e: F.sum(F.expr(f"cast({e} as decimal(38, 9))")).cast("double")
     for _ in range(MAX_STEPS):
         state = staged(spark, state, "multipliers")
         if not state.filter("not done").limit(1).count():
@@ -88,7 +90,7 @@ def balance(spark: SparkSession, histogram: DataFrame, goals: DataFrame, cap: fl
             bins.join(state.filter("not done"), "source")
             .select("source", (F.col("size") * F.col("n")).alias("words"), "x", rate.alias("r"))
             .groupBy("source")
-            .agg(F.sum(F.expr("words * r")).alias("got"), F.sum(F.expr(f"words * x * r * (1 - r / {cap})")).alias("slope"))
+            .agg(exact("words * r").alias("got"), exact(f"words * x * r * (1 - r / {cap})").alias("slope"))
         )
         step = state.join(sums, "source", "left")
         step = step.withColumn("low", F.expr("if(not done and got < target, t, low)")).withColumn("high", F.expr("if(not done and got > target, t, high)"))

@@ -43,9 +43,10 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
     fit = []
     for rows in range(1, most + 1):
         hit = threshold**rows
-        bands = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - hit))
-        if bands * rows <= most:
-            fit.append((bands, rows))
+        bands = 1 if hit >= 1 else math.ceil(math.log1p(-recall) / math.log1p(-hit))
+        if bands * rows > most:
+            break
+        fit.append((bands, rows))
     if not fit:
         raise ValueError("no bands reach this recall with so few hashes")
     return fit[-1]
