@@ -72,18 +72,14 @@ def train_ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS)
     return w, b
 
 
-def train(spark: SparkSession, labelled: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, float]:
-    """Weights of all coordinates and the intercept, from labelled(doc_id, text, label)."""
-    known = labelled.filter("label is not null and doc_id is not null")
-    ids = known.select("doc_id", F.xxhash64("doc_id", "label").alias("h"))
-    shards = -(-ids.limit(max_rows).count() // SHARD_ROWS)
-    chosen = (
-        ids.orderBy("h", "doc_id")
-        .limit(max_rows)
-        .select("doc_id", F.pmod("h", F.lit(max(shards, 1))).cast("int").alias("shard"))
-        .distinct()
-    )
-    sample = known.join(chosen, "doc_id").select("doc_id", "text", F.col("label").cast("int").alias("label"), "shard")
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, float]:
+    """Weights of all coordinates and the intercept, from docs(doc_id, text) and labels(doc_id, label)."""
+    known = labels.filter("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label"))
+    known = known.withColumn("h", F.xxhash64("doc_id", "label"))
+    shards = max(1, -(-known.limit(max_rows).count() // SHARD_ROWS))
+    chosen = known.orderBy("h", "doc_id").limit(max_rows).selectExpr("doc_id", "label", f"cast(pmod(h, {shards}) as int) as shard").distinct()
+    # max_rows rows of three numbers at most, so documents stay where they are
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     schema = "coordinate int, weight double"
 
     def fit(group: pa.Table) -> pa.Table:
@@ -98,12 +94,13 @@ def train(spark: SparkSession, labelled: DataFrame, max_rows: int = MAX_ROWS) ->
 
     fitted = sample.groupBy("shard").applyInArrow(fit, schema)
     # DIMENSIONS + 1 rows at most
-    rows = fitted.groupBy("coordinate").agg((F.sum("weight")).alias("weight"), F.count("*").alias("n")).toPandas()
-    if rows.empty:
+    rows = fitted.groupBy("coordinate").agg((F.sum("weight")).alias("weight"), F.count("*").alias("n")).toArrow()
+    if not rows.num_rows:
         return np.zeros(DIMENSIONS, np.float32), -np.inf
-    parts = rows.loc[rows["coordinate"] == -1, "n"].iloc[0]
+    at = rows["coordinate"].to_numpy()
+    parts = rows["n"].to_numpy()[at == -1][0]
     weights = np.zeros(DIMENSIONS + 1)
-    weights[rows["coordinate"].to_numpy()] = rows["weight"].to_numpy() / parts
+    weights[at] = rows["weight"].to_numpy() / parts
     return weights[:-1].astype(np.float32), float(weights[-1])
 
 
@@ -140,7 +137,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learned from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    weights, intercept = train(spark, docs.join(labels.filter(~held_out()), "doc_id"))
+    weights, intercept = train(spark, docs, labels.filter(~held_out()))
     return score(spark, docs, weights, intercept).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
