@@ -35,10 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def as_results(lineitem: DataFrame, job: str, *extra: str) -> DataFrame:
-    """Result rows of one job from (streamed or static) lineitem rows."""
-    columns = [f"{e.format(job=check_job(job))} as {name}" for name, e in RESULT_EXPRESSIONS.items()]
-    return lineitem.filter(ROW_FILTERS[job]).selectExpr(*columns, *extra)
+def as_results(lineitem: DataFrame, job: str | None, *extra: str) -> DataFrame:
+    """Result rows of one job, or with None of both, from (streamed or static) lineitem rows."""
+    if job is None:
+        told = " ".join(f"when {test} then '{name}'" for name, test in ROW_FILTERS.items())
+        formed = {name: e.format(job="<job>") for name, e in RESULT_EXPRESSIONS.items()}
+        formed["jobname"] = f"replace({formed['jobname']}, '<job>', case {told} end)"
+        rows = lineitem.filter(" or ".join(f"({test})" for test in ROW_FILTERS.values()))
+    else:
+        formed = {name: e.format(job=check_job(job)) for name, e in RESULT_EXPRESSIONS.items()}
+        rows = lineitem.filter(ROW_FILTERS[job])
+    return rows.selectExpr(*[f"{e} as {name}" for name, e in formed.items()], *extra)
 
 
 def results(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
@@ -46,20 +53,53 @@ def results(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
 
 
 def all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of both jobs, the job told by the name alone."""
-    return results(spark, sf_dir, "u").unionByName(results(spark, sf_dir, "alpha"))
+    """Rows of both jobs in one scan, the job told by the name alone."""
+    return as_results(table(spark, sf_dir, "lineitem"), None)
 
 
-def result_stream(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem")
-    stream = (
-        spark.readStream.schema(lineitem.schema)
-        .option("pathGlobFilter", "lineitem.parquet")
-        .parquet(sf_dir)
-    )
+def result_stream(spark: SparkSession, sf_dir: str, job: str | None) -> DataFrame:
+    """The table's own path as a stream, be it a file or a folder of files.
+
+    It is given as a pattern, since a stream takes a plain path for a folder.
+    """
+    path = f"{sf_dir}/lineitem.parque[t]"
+    stream = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).parquet(path)
     return as_results(stream, job)
 
 
+# Run folders of a supplier whose jobs lie apart: equal names but for the job, two increments, and
+# some alpha folders that fit no U folder.
+PAIR_FOLDERS = {
+    "u": "concat('P', l_suppkey, '_u_0_2_12_0.05_', case when l_suppkey % 2 = 0 then '0.10' else '0.05' end, '_0.25_STEPS_5')",
+    "alpha": (
+        "concat('P', l_suppkey, '_alpha_0_2_', case when l_suppkey % 7 = 3 then 10 else 12 end, '_0.05_', "
+        "case when l_suppkey % 2 = 0 then '0.10' else '0.05' end, '_0.25_STEPS_5')"
+    ),
+}
+
+
+def paired_results(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
+    """Result rows whose run is the job's own folder of their supplier."""
+    rows = as_results(table(spark, sf_dir, "lineitem"), job, f"{PAIR_FOLDERS[job]} as folder")
+    return rows.drop("run_id").withColumnRenamed("folder", "run_id")
+
+
+# Sweep arguments of a supplier: rising, falling, fractional, empty and oversize ranges.
+VARIED = {
+    "u_start": "case s_suppkey % 5 when 0 then '4' when 1 then '9' else '0' end",
+    "u_step": "case s_suppkey % 4 when 0 then '2' when 1 then '3' when 2 then '0' else '1' end",
+    "u_end": "case s_suppkey % 6 when 0 then '10000000000' when 1 then '0' else cast(s_suppkey % 9 as string) end",
+    "pert_step": "case s_suppkey % 3 when 0 then '0.05' when 1 then '1e-15' else '-0.1' end",
+    "pert_end": "case s_suppkey % 3 when 2 then '-0.15' else '0.25' end",
+}
+
+
+def varied_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text arguments that differ from run to run."""
+    columns = [f"{e} as {name}" for name, e in VARIED.items()]
+    return table(spark, sf_dir, "supplier").selectExpr("concat('run_', s_suppkey) as run_id", f"'{SEED}' as seed", "'u' as job", *columns)
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text arguments of two sweeps (u and alpha) per run; their U range goes beyond the results."""
     per_run = table(spark, sf_dir, "part").selectExpr(
@@ -96,7 +136,7 @@ def run_folder_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_text_lines(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
+def log_text_lines(spark: SparkSession, sf_dir: str, job: str | None) -> DataFrame:
     """Simulator log lines: each lineitem is an occupation, a shipped one also a finish line."""
     path = "concat('/logs/', run_id, '/', substr(jobname, 3), '.castep')"
     rows = as_results(
@@ -105,9 +145,14 @@ def log_text_lines(spark: SparkSession, sf_dir: str, job: str) -> DataFrame:
         "cast(floor(l_orderkey / 1000) as bigint) as block",
         "struct(l_orderkey, l_linenumber, l_extendedprice) as row",
     )
-    numbers = F.concat(F.lpad(F.col("channel_id").cast("string"), 12, " "), F.lpad(F.col("spin").cast("string"), 12, " "))
-    occupation = F.concat(numbers, F.lit(" Total: "), F.lpad(F.col("first_scf").cast("string"), 19, " "), F.lit("       Mz:"))
-    noise = F.concat(numbers, F.lit(" Charge: "), F.lpad(F.col("last_scf").cast("string"), 18, " "))
+    def padded(column: str, width: int):
+        # longer numbers are never cut
+        text = F.col(column).cast("string")
+        return F.concat(F.repeat(F.lit(" "), F.greatest(F.lit(width) - F.length(text), F.lit(1))), text)
+
+    numbers = F.concat(padded("channel_id", 12), padded("spin", 12))
+    occupation = F.concat(numbers, F.lit(" Total:"), padded("first_scf", 20), F.lit("       Mz:"))
+    noise = F.concat(numbers, F.lit(" Charge:"), padded("last_scf", 19))
     finish = F.when(F.col("converged"), F.lit("Finalisation time =     1.00 s"))
     return rows.select(
         F.expr(path).alias("file"),
@@ -153,13 +198,16 @@ def cell_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("file", F.replace(text, F.lit("\n"), eol).alias("text"))
 
 
+def part_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text arguments of both sweeps of a run per part, its U range short."""
+    per_part = table(spark, sf_dir, "part").selectExpr("concat('part_', p_partkey) as run_id", f"'{SEED}' as seed", "'4' as u_end")
+    return per_part.withColumn("job", F.explode(F.array(F.lit("U"), F.lit("alpha"))))
+
+
 def run_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run_id, file, text): the cell text of each run's first part."""
-    keyed = cell_texts(spark, sf_dir).withColumn(
-        "key", F.regexp_extract("file", r"part_(\d+)", 1).cast("bigint")
-    )
-    run = F.concat(F.lit("run_"), F.floor(F.col("key") / PARTS_PER_RUN).cast("int").cast("string"))
-    return keyed.groupBy(run.alias("run_id")).agg(F.min_by("file", "key").alias("file"), F.min_by("text", "key").alias("text"))
+    """(run_id, file, text): a part's cell text is its run's cell; every tenth run has none."""
+    run = F.regexp_extract("file", r"(part_\d+)", 1)
+    return cell_texts(spark, sf_dir).withColumn("run_id", run).filter(~run.endswith("7"))
 
 
 def param_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

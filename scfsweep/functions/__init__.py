@@ -15,11 +15,9 @@ from scfsweep.functions.numbers import (
     is_integer_text,
     is_number_text,
     is_signed_decimal_text,
-    product,
     reciprocal,
     scientific_text,
     short_text,
-    signed_sum,
     steps_count,
     steps_list,
 )
@@ -38,12 +36,10 @@ __all__ = [
     "job_step",
     "job_u",
     "normalise_job",
-    "product",
     "reciprocal",
     "scientific_text",
     "seed_of",
     "short_text",
-    "signed_sum",
     "steps_count",
     "steps_list",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import mul
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,16 +19,6 @@ def reciprocal(value: Column) -> Column:
     return F.when(value == 0, F.lit(float("inf"))).otherwise(F.lit(1.0) / value)
 
 
-def signed_sum(plus: Column, minus: Column) -> Column:
-    """``plus - minus``; NULL as soon as either side is."""
-    return plus - minus
-
-
-def product(*factors: Column) -> Column:
-    """Factors multiplied from left to right (the order decides the last bits)."""
-    return reduce(mul, factors)
-
-
 def is_integer_text(text: Column) -> Column:
     return text.rlike(INTEGER_PATTERN)
 

@@ -60,11 +60,27 @@ def perturb(items: Column, alpha_value: Column) -> Column:
 
 
 def planned_items(plan: DataFrame, cells: DataFrame) -> DataFrame:
-    """Plan rows (with set-points) joined to their run's cell on ``run_id``, items at the set-points."""
-    joined = plan.join(cells.select("run_id", "items"), "run_id")
+    """Plan rows (with set-points) beside their run's cell, items at the set-points, and ``cell_status``.
+
+    Every plan row comes out once. A run should have one cell: with ``no cell`` the items are NULL,
+    with ``several cells`` they are those of the first file.
+    """
+    of_run = cells.groupBy("run_id").agg(
+        F.min(F.struct(*[c for c in ("file", "items") if c in cells.columns]))["items"].alias("items"),
+        F.count(F.lit(1)).alias("_cells"),
+    )
+    status = (
+        F.when(F.col("_cells").isNull(), F.lit("no cell")).when(F.col("_cells") > 1, F.lit("several cells")).otherwise(F.lit("ok"))
+    )
+    joined = plan.join(of_run, "run_id", "left").withColumn("cell_status", status).drop("_cells")
     return joined.withColumn("items", prepare_base(F.col("items"), F.col("u_value"), F.col("alpha_value")))
 
 
+def items_without_cell(items: DataFrame) -> DataFrame:
+    """Planned jobs whose run has no cell, or more than one."""
+    return items.filter(F.col("cell_status") != "ok").select("run_id", "jobname", "cell_status")
+
+
 def first_value(items: Column, block: str = "ALPHA") -> Column:
     """Value of the block's first item."""
     return F.get(F.filter(items, lambda i: i["block"] == block), F.lit(0))["value"]

@@ -9,7 +9,7 @@ from scfsweep.functions import file_stem
 from scfsweep.operators.numbering import number_in_block, rows_before
 
 SERIES = ["file", "species", "spin"]
-PERTURBED_LOG_PATTERN = r"/U_[^/]+/U_[^/]+/[^/]+$"
+PERTURBED_LOG_PATTERN = r"/U_-?\d+(?:\.\d+)?_(?:u|alpha)/U_-?\d+(?:\.\d+)?_(?:u|alpha)_\d+/[^/]+$"
 
 
 def observations(tagged: DataFrame) -> DataFrame:
@@ -92,6 +92,38 @@ def complete_series(picked: DataFrame, species_counts: DataFrame) -> DataFrame:
     )
 
 
+def complete_by_run(picked: DataFrame, species_counts: DataFrame) -> DataFrame:
+    """``picked`` limited to species 1..n of its run's cell, spins 1 and 2, absent ones as rows of NULL.
+
+    species_counts has (run_id, n_species). Every log becomes one row that holds its few series, so
+    picks are read once; logs of runs without a count keep what they name.
+    """
+    of_series = F.struct("species", "spin", "before_scf", "first_scf", "last_scf", "n_obs")
+    per_log = picked.groupBy("file").agg(F.collect_list(of_series).alias("_series"), F.bool_or("converged").alias("converged"))
+    counted = per_log.withColumn("run_id", log_run(F.col("file"))).join(species_counts, "run_id", "left")
+    wanted = F.expr(
+        "flatten(transform(sequence(1, greatest(n_species, 1)), s -> transform(array(1, 2), p -> struct(s as species, p as spin))))"
+    )
+    named = F.expr("transform(_series, s -> struct(s.species as species, s.spin as spin))")
+    pairs = F.when(F.col("n_species").isNull(), named).when(F.col("n_species") > 0, wanted)
+    rows = counted.select("file", "_series", "converged", F.explode(pairs).alias("_pair"))
+    found = F.get(F.filter("_series", lambda s: (s["species"] == F.col("_pair.species")) & (s["spin"] == F.col("_pair.spin"))), F.lit(0))
+    return rows.withColumn("_found", found).select(
+        "file", "_pair.species", "_pair.spin", "_found.before_scf", "_found.first_scf", "_found.last_scf",
+        F.coalesce("_found.n_obs", F.lit(0)).alias("n_obs"), "converged",
+    )
+
+
+def _levels(file: Column) -> Column:
+    return F.when(file.rlike(PERTURBED_LOG_PATTERN), F.lit(3)).otherwise(F.lit(2))
+
+
+def log_run(file: Column) -> Column:
+    """Name of the run folder a log lies in."""
+    run = F.call_function("substring_index", file, F.lit("/"), -(_levels(file) + 1))
+    return F.substring_index(run, "/", 1)
+
+
 def log_results(picked: DataFrame, *, keep_incomplete: bool = True) -> DataFrame:
     """Picked occupations as result rows; run and job name come from the log's path.
 
@@ -99,11 +131,9 @@ def log_results(picked: DataFrame, *, keep_incomplete: bool = True) -> DataFrame
     ``keep_incomplete=False`` leaves out logs too short to hold all three values.
     """
     rows = picked if keep_incomplete else picked.filter(F.col("n_obs") >= 2)
-    levels = F.when(F.col("file").rlike(PERTURBED_LOG_PATTERN), F.lit(3)).otherwise(F.lit(2))
-    inside = F.call_function("substring_index", F.col("file"), F.lit("/"), -levels)
-    run = F.call_function("substring_index", F.col("file"), F.lit("/"), -(levels + 1))
+    inside = F.call_function("substring_index", F.col("file"), F.lit("/"), -_levels(F.col("file")))
     return rows.select(
-        F.substring_index(run, "/", 1).alias("run_id"),
+        log_run(F.col("file")).alias("run_id"),
         F.concat(F.lit("./"), file_stem(inside)).alias("jobname"),
         F.col("species").alias("channel_id"),
         "spin",

@@ -14,6 +14,8 @@ from scfsweep.schema import perturbation_column, response_column
 BLOCK_BITS = 10
 CHANNEL = ["run_id", "job", "channel_id"]
 BLOCK = ["_u", "_block"]
+# U as a job's own folder spells it.
+WRITTEN_U_PATTERN = r"U_([^_/]*)_[a-z]+(?:_[0-9]+)?/[^/]*$"
 
 
 def channel_pairs(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
@@ -33,6 +35,18 @@ def channel_pairs(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     return ranked[0].join(ranked[1], ["run_id", "pair"]).select("run_id", "pair", "channel_u", "channel_alpha")
 
 
+def cut_channels(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
+    """(run_id, job, channel_id) that have no partner in :func:`channel_pairs` and so no merged row."""
+    pairs = channel_pairs(rows_u, rows_alpha)
+    cut = [
+        channels(rows)
+        .join(pairs.select("run_id", F.col(f"channel_{job}").alias("channel_id")), ["run_id", "channel_id"], "left_anti")
+        .select("run_id", F.lit(job).alias("job"), "channel_id")
+        for job, rows in (("u", rows_u), ("alpha", rows_alpha))
+    ]
+    return cut[0].unionByName(cut[1])
+
+
 def _before_all(rows: DataFrame) -> Column:
     """A value below every u: whole numbers in job names carry no sign, signed ones are doubles."""
     return F.lit(-1) if dict(rows.dtypes)["u"] == "int" else F.lit(float("-inf"))
@@ -44,6 +58,14 @@ def _both(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     The filter states what the join on these keys implies anyway. Stated here, it stands in both
     readings of the inputs and keeps their shuffles identical; see :func:`_block_offsets`.
     """
+    seen = "seen" in rows_u.columns and "seen" in rows_alpha.columns
+
+    def place(rows: DataFrame) -> tuple[Column, Column]:
+        # as first seen, where that was kept: by the file's split, then by line
+        if seen:
+            return F.col("seen.block"), F.col("seen.row")
+        return F.coalesce(F.col("u"), _before_all(rows)), F.coalesce(F.col("k"), F.lit(-1))
+
     sides = [
         rows.select(
             F.lit(job).alias("job"),
@@ -51,9 +73,9 @@ def _both(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
             "channel_id",
             "jobname",
             "u",
-            F.coalesce(F.col("u"), _before_all(rows)).alias("_u"),
-            F.coalesce(F.col("k"), F.lit(-1)).alias("_k"),
-            F.shiftright(F.coalesce(F.col("k"), F.lit(-1)), BLOCK_BITS).alias("_block"),
+            place(rows)[0].alias("_u"),
+            place(rows)[1].alias("_k"),
+            F.shiftright(place(rows)[1], BLOCK_BITS).alias("_block"),
             "pert",
             "n1_nf",
         )
@@ -92,7 +114,8 @@ def _block_offsets(both: DataFrame) -> DataFrame:
 def merge_by_position(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     """n-th U row of a channel beside the n-th row of its alpha partner; the shorter side is NULL.
 
-    Rows count in (u, step, job name) order and carry the U channel's id. Pairing follows position
+    Rows count in (u, step, job name) order, or as first seen in the files if both sides kept that
+    (``keep_order``), and carry the U channel's id. Pairing follows position
     alone, so with unequal sweeps alpha responses land beside another U value and surplus alpha rows
     have no ``u``; :func:`merge_by_key` avoids both.
 
@@ -125,21 +148,28 @@ def merge_by_position(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
 
 
 def merge_by_key(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
-    """Rows of equal (run, channel, u, step, seed) side by side; unmatched rows of both sides stay.
+    """Rows of equal (run, channel, U as written, step, seed) side by side; unmatched rows of both sides stay.
 
-    Equals :func:`merge_by_position` when both sweeps are complete, and needs no ordering at all.
-    A job name fixes the whole key, so a key has one row per side and the join cannot fan out.
+    Equals :func:`merge_by_position` when both sweeps are complete, and needs no ordering at all. Both
+    sides are one union that is summed up per key, so nothing can fan out: U_0.5 and U_0.25 stay apart
+    although both read as u = 0, and a job that stands in the rows twice, in two spellings, is one row
+    (of differing responses the larger).
     """
-    keys = ["run_id", "channel_id", "u", "k", "seed"]
-    left, right = (
-        with_channel(rows).withColumn("seed", seed_of(F.col("jobname"))).select(
-            *keys,
-            F.col("pert").alias(perturbation_column(job)),
-            F.col("n1_nf").alias(response_column(job)),
-        )
+    keys = ["run_id", "channel_id", "u", "k", "seed", "_written"]
+    sides = [
+        with_channel(rows)
+        .withColumn("seed", seed_of(F.col("jobname")))
+        .withColumn("_written", F.regexp_extract("jobname", WRITTEN_U_PATTERN, 1))
+        .select(*keys, "pert", "n1_nf", F.lit(job).alias("job"))
         for job, rows in (("u", rows_u), ("alpha", rows_alpha))
-    )
-    return left.join(right, keys, "full_outer")
+    ]
+
+    def of(job: str, column: str) -> Column:
+        return F.max(F.when(F.col("job") == job, F.col(column)))
+
+    merged = sides[0].unionByName(sides[1]).filter(F.col("run_id").isNotNull()).groupBy(*keys)
+    columns = [of(job, c).alias(name) for job in ("u", "alpha") for c, name in (("pert", perturbation_column(job)), ("n1_nf", response_column(job)))]
+    return merged.agg(*columns).drop("_written")
 
 
 def merged_mean(merged: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scfsweep.schema import check_job
 from scfsweep.sources.folders import parse_folders
 
 # Runs may be analysed together when these agree ...
@@ -62,6 +63,30 @@ def unpaired_runs(parsed: DataFrame) -> DataFrame:
     )
 
 
+def unpaired_alpha_runs(parsed: DataFrame) -> DataFrame:
+    """Alpha runs that :func:`pair_runs` gives to no U run: no U run fits, or another one was taken."""
+    taken = pair_runs(parsed).select(F.col("alpha_folder").alias("folder")).distinct().withColumn("_taken", F.lit(True))
+    fitting = _side(parsed, "u").select(*PAIR_KEYS).distinct().withColumn("_fits", F.lit(True))
+    rows = _side(parsed, "alpha").join(taken, "folder", "left").join(fitting, PAIR_KEYS, "left")
+    reason = F.when(F.col("_fits").isNull(), F.lit("no U run fits")).otherwise(F.lit("another one was taken"))
+    return rows.filter(F.col("_taken").isNull()).select(F.col("folder").alias("alpha_folder"), "seed", reason.alias("reason"))
+
+
+def relabelled(results: DataFrame, pairs: DataFrame, job: str) -> DataFrame:
+    """Results of one job's folders under the run id of their pair, which is the U folder.
+
+    An alpha folder that serves several U folders is read for each of them.
+    """
+    names = pairs.select(F.col(f"{check_job(job)}_folder").alias("_folder"), F.col("u_folder").alias("_pair"))
+    rest = [c for c in results.columns if c != "run_id"]
+    return results.join(names, results["run_id"] == names["_folder"]).select(F.col("_pair").alias("run_id"), *rest)
+
+
+def increments(pairs: DataFrame) -> DataFrame:
+    """(run_id, step): every pair's own perturbation increment."""
+    return pairs.select(F.col("u_folder").alias("run_id"), F.col("pert_step").cast("double").alias("step"))
+
+
 def check_pairs(requests: DataFrame) -> DataFrame:
     """Judges given (u_folder, alpha_folder) rows by name alone: ``reason`` is NULL for a fit.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scfsweep.functions import is_perturbed, job_step, job_u, product, reciprocal, signed_sum
+from scfsweep.functions import is_perturbed, job_step, job_u, reciprocal
+from scfsweep.functions.jobs import SIGNED_U_PATTERN
 from scfsweep.schema import check_job
 
 SUM_KEYS = ("run_id", "jobname", "channel_id")
@@ -43,6 +44,17 @@ def base_results(results: DataFrame, *, perturbed_by: str = "depth") -> DataFram
     return results.filter(~is_perturbed(F.col("jobname"), perturbed_by))
 
 
+def unread_u(results: DataFrame) -> DataFrame:
+    """Jobs whose U is no whole number (a sign, a fraction, none at all): (run_id, jobname, u_text).
+
+    Without ``signed_u`` these are read by their leading digits or not at all, so U_0.5 and U_0.25
+    meet in the mean of U = 0. Look here before trusting means of such runs.
+    """
+    text = F.regexp_extract("jobname", SIGNED_U_PATTERN, 1)
+    odd = results.filter(~text.rlike("^[0-9]{1,9}$"))
+    return odd.select("run_id", "jobname", text.alias("u_text")).distinct()
+
+
 def drop_repeats(results: DataFrame) -> DataFrame:
     """One row per (run, job, channel, spin) when a job's rows were appended more than once.
 
@@ -74,25 +86,35 @@ def differences(sums: DataFrame, job: str, *, signed_u: bool = False) -> DataFra
         *SUM_KEYS,
         job_u(name, signed_u).alias("u"),
         job_step(name, check_job(job)).alias("k"),
-        signed_sum(F.col("s1"), F.col("s0")).alias("d_first"),
-        signed_sum(F.col("sf"), F.col("s0")).alias("d_last"),
+        (F.col("s1") - F.col("s0")).alias("d_first"),
+        (F.col("sf") - F.col("s0")).alias("d_last"),
         *([F.col("seen")] if "seen" in sums.columns else []),
     )
 
 
-def slopes(diffs: DataFrame, job: str, step: float, *, alpha_includes_u: bool = True) -> DataFrame:
+def slopes(diffs: DataFrame, job: str, step: float | DataFrame, *, alpha_includes_u: bool = True) -> DataFrame:
     """Adds slope_first, slope_last, their difference n1_nf and the perturbation ``k * step``.
 
+    ``step`` is one increment for all runs, or a table (run_id, step) with each run's own.
     The alpha job perturbs on top of the swept value, so its numerator is ``k * step + u``;
     ``alpha_includes_u=False`` leaves ``u`` out.
     """
-    pert = product(F.col("k"), F.lit(float(step)))
+    if isinstance(step, DataFrame):
+        own = step.select("run_id", F.col("step").cast("double").alias("_step"))
+        with_own = slopes_of(diffs.join(own, "run_id"), job, F.col("_step"), alpha_includes_u)
+        return with_own.drop("_step")
+    return slopes_of(diffs, job, F.lit(float(step)), alpha_includes_u)
+
+
+def slopes_of(diffs: DataFrame, job: str, step: Column, alpha_includes_u: bool) -> DataFrame:
+    """:func:`slopes` with the increment as a column of each row."""
+    pert = F.col("k") * step
     shifted = check_job(job) == "alpha" and alpha_includes_u
     numerator = pert + F.col("u") if shifted else pert
     return (
-        diffs.withColumn("slope_first", product(numerator, reciprocal(F.col("d_first"))))
-        .withColumn("slope_last", product(numerator, reciprocal(F.col("d_last"))))
-        .withColumn("n1_nf", signed_sum(F.col("slope_first"), F.col("slope_last")))
+        diffs.withColumn("slope_first", numerator * reciprocal(F.col("d_first")))
+        .withColumn("slope_last", numerator * reciprocal(F.col("d_last")))
+        .withColumn("n1_nf", F.col("slope_first") - F.col("slope_last"))
         .withColumn("pert", pert)
     )
 
@@ -100,7 +122,7 @@ def slopes(diffs: DataFrame, job: str, step: float, *, alpha_includes_u: bool =
 def response_rows(
     results: DataFrame,
     job: str,
-    step: float,
+    step: float | DataFrame,
     *,
     perturbed_by: str = "depth",
     converged_only: bool = False,

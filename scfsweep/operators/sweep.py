@@ -31,6 +31,8 @@ DEFAULTS = {
     "pert_step": "0.05",
     "pert_end": "0.25",
 }
+# A sequence with more members than this is taken for a mistake.
+MAX_MEMBERS = 1_000_000
 _CHECKS = {
     "u_start": is_integer_text,
     "u_step": is_integer_text,
@@ -47,27 +49,44 @@ def sweep_arguments(runs: DataFrame) -> DataFrame:
     """Text arguments -> checked and typed ones, one row per run.
 
     Input columns: run_id, seed, job and any of the names in ``DEFAULTS``, all text. Blanks take the
-    default. ``rejected`` names the arguments that are malformed (their columns are NULL).
+    default. ``rejected`` names the arguments that are malformed, do not fit the sweep's decimals as
+    written (their columns are NULL), or whose step leads nowhere: zero, away from the end, or beyond
+    MAX_MEMBERS members. Runs in = accepted + rejected.
     """
     given = {
         name: default_if_blank(F.col(name), default) if name in runs.columns else F.lit(default)
         for name, default in DEFAULTS.items()
     }
     job = normalise_job(F.col("job"))
-    faults = [F.when(~check(given[name]), F.lit(name)) for name, check in _CHECKS.items()]
-    faults.append(F.when(job.isNull(), F.lit("job")))
 
     def typed(name: str) -> Column:
-        kind = "double" if name == "energy_tol" else SWEEP_DECIMAL
-        return F.when(_CHECKS[name](given[name]), given[name].try_cast(kind)).alias(name)
-
-    return runs.select(
-        "run_id",
-        "seed",
-        job.alias("job"),
-        *[typed(name) for name in DEFAULTS],
-        F.array_join(F.array_compact(F.array(*faults)), ",").alias("rejected"),
-    )
+        text = F.when(_CHECKS[name](given[name]), given[name])
+        if name == "energy_tol":
+            return text.try_cast("double")
+        value, exact = text.try_cast(SWEEP_DECIMAL), text.try_cast("double")
+        return F.when(F.abs(value.cast("double") - exact) <= F.abs(exact) * 1e-14, value)
+
+    values = runs.select("run_id", "seed", job.alias("job"), *[typed(name).alias(name) for name in DEFAULTS])
+
+    def step_fault(name: str) -> Column:
+        start, step, end = (F.col(f"{name}_{part}").cast("double") for part in ("start", "step", "end"))
+        members = F.try_divide(end - start, step)
+        return F.coalesce(members, F.when(start.isNotNull() & step.isNotNull() & end.isNotNull(), F.lit(-1.0)))
+
+    faults = []
+    for name in _CHECKS:
+        fault = F.col(name).isNull()
+        if name in ("u_step", "pert_step"):
+            members = step_fault(name.removesuffix("_step"))
+            fault = fault | F.coalesce((members < 0) | (members >= MAX_MEMBERS), F.lit(False))
+        faults.append(F.when(fault, F.lit(name)))
+    faults.append(F.when(F.col("job").isNull(), F.lit("job")))
+    return values.withColumn("rejected", F.array_join(F.array_compact(F.array(*faults)), ","))
+
+
+def rejected(arguments: DataFrame) -> DataFrame:
+    """Runs that get no plan, and why."""
+    return arguments.filter(F.col("rejected") != "").select("run_id", "rejected")
 
 
 def accepted(arguments: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-from scfsweep.plans.analyze import Analysis, analyze, analyze_single, perturbation_values
+from scfsweep.plans.analyze import Analysis, analyze, analyze_folders, analyze_pairs, analyze_single, perturbation_values
 from scfsweep.plans.export import (
     append_results,
     export_analysis,
@@ -11,6 +11,8 @@ from scfsweep.plans.export import (
 __all__ = [
     "Analysis",
     "analyze",
+    "analyze_folders",
+    "analyze_pairs",
     "analyze_single",
     "append_results",
     "export_analysis",

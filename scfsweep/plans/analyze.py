@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from scfsweep.operators.merge import merge_by_key, merge_by_position, merged_mean
+from scfsweep.operators.pairing import increments, pair_runs, relabelled
 from scfsweep.operators.response import response_rows
 from scfsweep.operators.views import mean_view
 from scfsweep.schema import check_job
+from scfsweep.sources import parse_folders, read_run_results, run_folders
 
 MODES = ("both", "u", "alpha")
 _MERGES = {"position": merge_by_position, "key": merge_by_key}
@@ -42,6 +44,26 @@ def analyze_single(results: DataFrame, job: str, step: float, **options) -> Anal
     return Analysis(job, {job: rows}, mean_view(rows, job))
 
 
+def analyze_pairs(results_u: DataFrame, results_alpha: DataFrame, pairs: DataFrame, *, align: str = "position", **options) -> Analysis:
+    """Both jobs of runs that lie in folders of their own, paired by :func:`pair_runs`.
+
+    Both sides come under the U folder's name, each pair with its own perturbation increment.
+    """
+    if align not in _MERGES:
+        raise ValueError(f"align must be one of {tuple(_MERGES)}, not {align!r}")
+    steps = increments(pairs)
+    tables = {"u": results_u, "alpha": results_alpha}
+    rows = {job: response_rows(relabelled(table, pairs, job), job, steps, **options) for job, table in tables.items()}
+    return Analysis("both", rows, merged_mean(_MERGES[align](rows["u"], rows["alpha"])))
+
+
+def analyze_folders(spark: SparkSession, root: str | list[str], *, align: str = "position", **options) -> Analysis:
+    """:func:`analyze_pairs` of all run folders below one or several roots."""
+    pairs = pair_runs(parse_folders(run_folders(spark, root)))
+    u, alpha = (read_run_results(spark, root, job) for job in ("u", "alpha"))
+    return analyze_pairs(u, alpha, pairs, align=align, **options)
+
+
 def analyze(
     results_u: DataFrame | None,
     results_alpha: DataFrame | None,

@@ -12,7 +12,7 @@ from scfsweep.operators import blocks, coverage, logs, pairing, series, settings
 from scfsweep.operators import merge as M
 from scfsweep.operators import response as R
 from scfsweep.operators import views as V
-from scfsweep.plans.analyze import analyze, analyze_single
+from scfsweep.plans.analyze import analyze, analyze_pairs, analyze_single
 from scfsweep.plans.export import append_results, export_analysis, reset_results, write_total_view
 from scfsweep.scratch import scratch_folder
 from scfsweep.schema import export_names
@@ -25,13 +25,13 @@ from scfsweep.sources import (
     read_results,
     tag_lines,
 )
-from scfsweep.streaming import append_stream, latest, running_rows, running_spin_sums, running_spins
+from scfsweep.streaming import append_stream, latest, read_result_stream, running_rows, running_spin_sums, running_spins
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STEP = 0.05
 ENERGY_TOL = "1e-5"
-MEAN_DIGITS = 6
+MEAN_DIGITS = 9
 
 
 def _rounded(table: DataFrame) -> DataFrame:
@@ -64,15 +64,33 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _result_queries() -> dict[str, Query]:
+    def both_jobs(spark, sf):
+        return R.select_results(A.all_results(spark, sf))
+
     def selected(spark, sf, job="u"):
         return R.select_results(A.results(spark, sf, job))
 
+    def paired(spark, sf):
+        results = [A.paired_results(spark, sf, job) for job in ("u", "alpha")]
+        folders = results[0].select(F.col("run_id").alias("folder")).union(results[1].select("run_id")).distinct()
+        return _rounded(analyze_pairs(*results, pairing.pair_runs(parse_folders(folders)), align="key").means)
+
+    def uneven(spark, sf):
+        """Alpha rows without channel 4, and of every other run without channel 1."""
+        alpha = A.results(spark, sf, "alpha").filter("channel_id < 4 and (channel_id > 1 or right(run_id, 1) < '5')")
+        return M.cut_channels(selected(spark, sf), R.select_results(alpha))
+
+    def fractional(spark, sf, job):
+        """Jobs of U = 2, 4 and 6 renamed to fractions of 0, which all read as u = 0."""
+        name = F.regexp_replace("jobname", r"U_([246])_", "U_0.$1_")
+        return R.response_rows(A.results(spark, sf, job).withColumn("jobname", name), job, STEP)
+
     return {
-        "scan_results": lambda s, d: conform(A.results(s, d, "u")),
-        "perturbed_only": selected,
-        "base_only": lambda s, d: R.base_results(A.results(s, d, "u")),
-        "dedupe_results": lambda s, d: R.drop_repeats(A.results(s, d, "alpha")),
-        "spin_sum": lambda s, d: R.spin_sums(selected(s, d)),
+        "scan_results": lambda s, d: conform(A.all_results(s, d)),
+        "perturbed_only": both_jobs,
+        "base_only": lambda s, d: R.base_results(A.all_results(s, d)),
+        "dedupe_results": lambda s, d: R.drop_repeats(A.all_results(s, d)),
+        "spin_sum": lambda s, d: R.spin_sums(both_jobs(s, d)),
         "delta_scf": lambda s, d: R.differences(R.spin_sums(selected(s, d)), "u"),
         "response_u": lambda s, d: R.total_view(_rows(s, d, "u")),
         "response_alpha": lambda s, d: R.total_view(_rows(s, d, "alpha")),
@@ -80,7 +98,7 @@ def _result_queries() -> dict[str, Query]:
         "response_converged_deduped": lambda s, d: R.total_view(
             _rows(s, d, "u", converged_only=True, dedupe=True, perturbed_by="folder")
         ),
-        "channels": lambda s, d: V.channels(selected(s, d)),
+        "channels": lambda s, d: V.channels(both_jobs(s, d)),
         "channel_view": lambda s, d: V.channel_view(_rows(s, d, "u"), "u", 2),
         "alpha_columns": lambda s, d: V.alpha_columns(V.channel_view(_rows(s, d, "alpha"), "alpha")),
         "mean_u": lambda s, d: _rounded(analyze_single(A.results(s, d, "u"), "u", STEP).means),
@@ -90,6 +108,10 @@ def _result_queries() -> dict[str, Query]:
         "merged_by_key": lambda s, d: M.merge_by_key(*_both(s, d)),
         "merged_mean": flagship,
         "merged_mean_by_key": lambda s, d: _rounded(_merged_means(s, d, "key")),
+        "merged_fractional_u": lambda s, d: M.merge_by_key(fractional(s, d, "u"), fractional(s, d, "alpha")),
+        "unread_u_jobs": lambda s, d: R.unread_u(fractional(s, d, "u")),
+        "cut_channels": uneven,
+        "paired_means": paired,
         "union_parts": lambda s, d: append_parts([A.results(s, d, "u"), A.results(s, d, "alpha")]),
     }
 
@@ -140,6 +162,10 @@ def _sweep_queries() -> dict[str, Query]:
         return coverage.coverage(_plan(spark, sf), A.all_results(spark, sf))
 
     return {
+        "rejected_sweeps": lambda s, d: sweep.rejected(sweep.sweep_arguments(A.varied_runs(s, d))),
+        "varied_grid": lambda s, d: _plain(
+            sweep.sweep_grid(sweep.accepted(sweep.sweep_arguments(A.varied_runs(s, d)))), *keys, "shift"
+        ),
         "sweep_arguments": checked,
         "swept_values": values,
         "sweep_grid": lambda s, d: _plain(grid(s, d), *keys, "shift"),
@@ -170,6 +196,7 @@ def _folder_queries() -> dict[str, Query]:
             sweep.folder_plan(parsed(s, d)), "run_id", "seed", "job", "u", "k", "jobname"
         ),
         "run_pairs": lambda s, d: pairing.pair_runs(parsed(s, d)),
+        "unpaired_alpha_runs": lambda s, d: pairing.unpaired_alpha_runs(parsed(s, d)),
         "unpaired_runs": lambda s, d: pairing.unpaired_runs(parsed(s, d)),
         "check_pairs": lambda s, d: pairing.check_pairs(A.folder_requests(s, d)),
     }
@@ -179,7 +206,7 @@ def _folder_queries() -> dict[str, Query]:
 
 
 def _log_queries() -> dict[str, Query]:
-    def tagged(spark, sf, job="u"):
+    def tagged(spark, sf, job=None):
         return tag_lines(A.log_text_lines(spark, sf, job))
 
     def completed(spark, sf):
@@ -187,6 +214,12 @@ def _log_queries() -> dict[str, Query]:
         counts = picked.groupBy("file").agg(F.max("species").alias("n_species"))
         return logs.complete_series(picked, counts)
 
+    def by_cells(spark, sf):
+        """Species of a run's logs from the cell of the part that has the run's number."""
+        named = F.concat(F.lit("run_"), F.regexp_extract("file", r"part_(\d+)", 1)).alias("run_id")
+        counts = blocks.species_count(A.cell_texts(spark, sf)).select(named, "n_species")
+        return logs.complete_by_run(logs.pick_observations(tagged(spark, sf)), counts)
+
     def from_logs(spark, sf):
         found = logs.log_results(logs.pick_observations(tagged(spark, sf, "alpha")))
         return _rounded(V.mean_view(R.response_rows(found, "alpha", STEP), "alpha"))
@@ -196,6 +229,7 @@ def _log_queries() -> dict[str, Query]:
         "log_converged": lambda s, d: logs.finished_logs(tagged(s, d)),
         "log_picks": lambda s, d: logs.pick_observations(tagged(s, d)),
         "log_complete_series": completed,
+        "log_rows_by_cell": by_cells,
         "log_results": lambda s, d: logs.log_results(logs.pick_observations(tagged(s, d))),
         "mean_from_logs": from_logs,
     }
@@ -220,13 +254,16 @@ def _settings_queries() -> dict[str, Query]:
         flat = cells(spark, sf).select("file", F.explode("items").alias("item"))
         return flat.select("file", "item.block", "item.pos", blocks.item_text(F.col("item")).alias("line"))
 
+    def placed(spark, sf):
+        plan = sweep.sweep_plan(sweep.sweep_arguments(A.part_runs(spark, sf)))
+        return blocks.planned_items(plan, cell_items(A.run_cells(spark, sf)))
+
     def planned(spark, sf):
-        plan = sweep.sweep_plan(_arguments(spark, sf))
-        items = blocks.planned_items(plan, cell_items(A.run_cells(spark, sf)))
-        return blocks.explode_items(items.select("run_id", "jobname", "items"))
+        return blocks.explode_items(placed(spark, sf).select("run_id", "jobname", "items"))
 
     return {
         "planned_items": planned,
+        "items_without_cell": lambda s, d: blocks.items_without_cell(placed(s, d)),
         "species_count": lambda s, d: blocks.species_count(A.cell_texts(s, d)),
         "block_items": lambda s, d: blocks.explode_items(cells(s, d)),
         "alpha_block": edited(lambda items: blocks.derive_alpha(items, F.lit(0.125))),
@@ -315,7 +352,17 @@ def _output_queries() -> dict[str, Query]:
             append_results(A.results(spark, sf, job), path)
         return read_results(spark, path).drop("run_id")
 
-    def streamed(run: Callable, job: str = "alpha") -> Callable[[SparkSession, str], str]:
+    def in_batches(spark, sf):
+        """Result files that arrive one by one, so that state grows from batch to batch."""
+        files, target, checkpoint = (scratch_folder(spark, n) for n in ("arriving", "stream", "checkpoint"))
+        for turn in range(3):
+            part = A.all_results(spark, sf).filter(F.col("spin") == turn if turn else F.lit(False))
+            append_results(part.coalesce(1), files)
+            stream = read_result_stream(spark, files, files_per_batch=1)
+            running_spin_sums(stream.withColumn("run_id", F.lit("all")), target, checkpoint)
+        return latest(spark, target).drop("run_id")
+
+    def streamed(run: Callable, job: str | None = None) -> Callable[[SparkSession, str], str]:
         def start(spark, sf):
             target = scratch_folder(spark, "stream")
             run(A.result_stream(spark, sf, job), target, scratch_folder(spark, "checkpoint"))
@@ -339,7 +386,11 @@ def _output_queries() -> dict[str, Query]:
             s, spins(s, d), ("run_id", "jobname", "channel_id", "spin")
         ),
         "stream_running_mean": lambda s, d: _rounded(
-            V.mean_view(running_rows(s, sums(s, d), "alpha", STEP), "alpha")
+            V.mean_view(running_rows(s, streamed(running_spin_sums, "alpha")(s, d), "alpha", STEP), "alpha")
+        ),
+        "stream_in_batches": in_batches,
+        "stream_deduped_mean": lambda s, d: _rounded(
+            V.mean_view(running_rows(s, streamed(running_spins, "alpha")(s, d), "alpha", STEP, deduped=True), "alpha")
         ),
     }
 

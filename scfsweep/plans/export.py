@@ -8,7 +8,6 @@ may be millions of them; ``RUN_CHANNEL`` gives each channel of each run a folder
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +22,7 @@ from scfsweep.schema import (
     export_names,
     perturbation_column,
 )
+from scfsweep.scratch import scratch_folder
 
 # Folder of each mode's outputs.
 PLOT_FOLDERS = {"u": "plot_U", "alpha": "plot_Alpha", "both": "plot"}
@@ -71,20 +71,20 @@ def export_analysis(analysis: Analysis, root: str, folders: tuple[str, ...] = PE
     """Writes what the analysis' mode publishes below ``root``; returns the folder.
 
     Both jobs: merged means. One job: total view, channel views and means, which share one
-    computation of the response rows (kept on executor disks, recomputed where an executor is lost).
+    computation of the response rows, written to the shared scratch folder.
     """
     folder = f"{root}/{PLOT_FOLDERS[analysis.mode]}"
     if analysis.mode == "both":
         write_means(analysis.means, f"{folder}/channel_mean", folders)
         return folder
     job = analysis.mode
-    rows = analysis.rows[job].persist(StorageLevel.DISK_ONLY)
-    try:
-        write_total_view(rows, job, f"{folder}/sorted_{JOB_LABELS[job]}")
-        write_channel_views(rows, job, f"{folder}/channel_total", folders)
-        write_means(mean_view(rows, job), f"{folder}/channel_mean_{JOB_LABELS[job]}", folders)
-    finally:
-        rows.unpersist()
+    spark, kept = analysis.rows[job].sparkSession, analysis.rows[job]
+    path = scratch_folder(spark, "rows")
+    kept.write.parquet(path)
+    rows = spark.read.schema(kept.schema).parquet(path)
+    write_total_view(rows, job, f"{folder}/sorted_{JOB_LABELS[job]}")
+    write_channel_views(rows, job, f"{folder}/channel_total", folders)
+    write_means(mean_view(rows, job), f"{folder}/channel_mean_{JOB_LABELS[job]}", folders)
     return folder
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scfsweep.adapters import ALPHA_FOLDER, RESULT_EXPRESSIONS, ROW_FILTERS, U_FOLDER
+from scfsweep.adapters import ALPHA_FOLDER, PAIR_FOLDERS, RESULT_EXPRESSIONS, ROW_FILTERS, U_FOLDER, VARIED
 
 _JOBS = ("u", "alpha")
 
@@ -71,26 +71,62 @@ _BY_KEY = f"""{_BOTH},
                  a.pert AS u_pert, a.n1_nf AS n1_nf_u, b.pert AS alpha_pert, b.n1_nf AS n1_nf_alpha
                FROM rows_u a FULL JOIN rows_alpha b
                  ON a.run_id = b.run_id AND a.channel_id = b.channel_id AND a.u = b.u AND a.k = b.k)"""
-_MEANS = """SELECT run_id, channel_id, u, round(avg(n1_nf_u), 6) AS n1_nf_u, round(avg(n1_nf_alpha), 6) AS n1_nf_alpha
+_MEANS = """SELECT run_id, channel_id, u, round(avg(n1_nf_u), 9) AS n1_nf_u, round(avg(n1_nf_alpha), 9) AS n1_nf_alpha
     FROM merged GROUP BY run_id, channel_id, u"""
 
 
 def _mean(job: str) -> str:
-    return f"""WITH {_chain(job)} SELECT run_id, channel_id, u, round(avg(n1_nf), 6) AS n1_nf_{job}
+    return f"""WITH {_chain(job)} SELECT run_id, channel_id, u, round(avg(n1_nf), 9) AS n1_nf_{job}
     FROM rows_{job} GROUP BY ALL"""
 
 
+_ALL = f"({_results('u')} UNION ALL {_results('alpha')})"
+_FRACTIONS = "regexp_replace(jobname, 'U_([246])_', 'U_0.\\1_', 'g')"
+_WRITTEN = "regexp_extract(jobname, 'U_([^_/]*)_[a-z]+(?:_[0-9]+)?/[^/]*$', 1)"
+
+
+def _renamed(job: str) -> str:
+    """The chain of a job whose names have some U replaced by fractions."""
+    return _chain(job).replace(f"({_results(job)})", f"(SELECT * REPLACE ({_FRACTIONS} AS jobname) FROM ({_results(job)}))")
+
+
+def _in_pairs(job: str) -> str:
+    """The chain of a job under its pair's run id, with the pair's own increment."""
+    rows = f"SELECT * REPLACE ({PAIR_FOLDERS['u']} AS run_id) FROM (SELECT l_suppkey, {_results(job).removeprefix('SELECT ')} AND l_suppkey % 7 <> 3)"
+    step = "(CASE WHEN contains(run_id, '_0.10_0.25') THEN CAST(0.1 AS DOUBLE) ELSE CAST(0.05 AS DOUBLE) END)"
+    return _chain(job).replace("CAST(0.05 AS DOUBLE)", step).replace(f"({_results(job)})", f"(SELECT * EXCLUDE (l_suppkey) FROM ({rows}))")
+
+
+_CHANNELS_LEFT = f"""WITH found AS (
+      SELECT DISTINCT 'u' AS job, run_id, channel_id FROM ({_results('u')}) WHERE {_PERTURBED}
+      UNION SELECT DISTINCT 'alpha', run_id, channel_id FROM ({_results('alpha')})
+        WHERE {_PERTURBED} AND channel_id < 4 AND (channel_id > 1 OR right(run_id, 1) < '5')),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY run_id, job ORDER BY channel_id) AS pair FROM found)"""
+
+
 def _result_oracles() -> dict[str, str]:
     values = "before_scf, first_scf, last_scf"
     spin_sums = f"SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_"
     return {
-        "scan_results": _results("u"),
-        "perturbed_only": f"SELECT run_id, jobname, channel_id, {values} FROM ({_results('u')}) WHERE {_PERTURBED}",
-        "base_only": f"SELECT * FROM ({_results('u')}) WHERE NOT ({_PERTURBED})",
-        "dedupe_results": f"""WITH res_alpha AS ({_results('alpha')})
+        "scan_results": f"SELECT * FROM {_ALL}",
+        "perturbed_only": f"SELECT run_id, jobname, channel_id, {values} FROM {_ALL} WHERE {_PERTURBED}",
+        "base_only": f"SELECT * FROM {_ALL} WHERE NOT ({_PERTURBED})",
+        "merged_fractional_u": f"""WITH {_renamed('u')}, {_renamed('alpha')},
+            keyed_u AS (SELECT *, {_WRITTEN} AS w FROM rows_u), keyed_alpha AS (SELECT *, {_WRITTEN} AS w FROM rows_alpha)
+            SELECT coalesce(a.run_id, b.run_id) AS run_id, coalesce(a.channel_id, b.channel_id) AS channel_id,
+              coalesce(a.u, b.u) AS u, coalesce(a.k, b.k) AS k, 'SLAB' AS seed,
+              a.pert AS u_pert, a.n1_nf AS n1_nf_u, b.pert AS alpha_pert, b.n1_nf AS n1_nf_alpha
+            FROM keyed_u a FULL JOIN keyed_alpha b
+              ON a.run_id = b.run_id AND a.channel_id = b.channel_id AND a.u = b.u AND a.k = b.k AND a.w = b.w""",
+        "unread_u_jobs": f"""WITH {_renamed('u')} SELECT DISTINCT run_id, jobname, {_WRITTEN} AS u_text
+            FROM rows_u WHERE contains(jobname, 'U_0.')""",
+        "cut_channels": f"""{_CHANNELS_LEFT} SELECT run_id, job, channel_id FROM ranked a WHERE NOT EXISTS
+            (SELECT 1 FROM ranked b WHERE a.run_id = b.run_id AND a.pair = b.pair AND a.job <> b.job)""",
+        "paired_means": f"WITH {_in_pairs('u')}, {_in_pairs('alpha')}, {_BY_KEY.split('rows_alpha AS (SELECT *, slope_first - slope_last AS n1_nf FROM slope_alpha),')[1]} {_MEANS}",
+        "dedupe_results": f"""WITH res_alpha AS {_ALL}
             SELECT run_id, jobname, channel_id, spin, {values}, converged
             FROM {_CONVERGED_REPEATS.format(job='alpha')} WHERE nth = 1""",
-        "spin_sum": f"WITH {_chain('u')} {spin_sums}u",
+        "spin_sum": f"{_BOTH} {spin_sums}u UNION ALL {spin_sums}alpha",
         "delta_scf": f"WITH {_chain('u')} SELECT run_id, jobname, channel_id, u, k, d_first, d_last FROM diff_u",
         "response_u": f"WITH {_chain('u')} SELECT {_TOTAL} FROM rows_u",
         "response_alpha": f"WITH {_chain('alpha')} SELECT {_TOTAL} FROM rows_alpha",
@@ -98,7 +134,7 @@ def _result_oracles() -> dict[str, str]:
         "response_converged_deduped": "WITH "
         + _chain("u", source=_CONVERGED_REPEATS, where=f"nth = 1 AND converged AND {_PERTURBED}")
         + f" SELECT {_TOTAL} FROM rows_u",
-        "channels": f"WITH {_chain('u')} SELECT DISTINCT run_id, channel_id FROM rows_u",
+        "channels": f"SELECT DISTINCT run_id, channel_id FROM {_ALL} WHERE {_PERTURBED}",
         "channel_view": f"""WITH {_chain('u')} SELECT run_id, channel_id, u, pert AS u_pert, n1_nf AS n1_nf_u
             FROM rows_u WHERE channel_id = 2""",
         "alpha_columns": f"""WITH {_chain('alpha')} SELECT run_id, channel_id, pert AS alpha_pert,
@@ -142,18 +178,35 @@ _PLAN = f"""WITH {_GRID}, res AS ({_results('u')} UNION ALL {_results('alpha')})
                 FROM grid g LEFT JOIN states s ON g.run_id = s.run_id AND g.jobname = s.jobname)"""
 
 
+_VARIED = f"""WITH given AS (SELECT concat('run_', s_suppkey) AS run_id, {', '.join(f'{e} AS {n}' for n, e in VARIED.items())} FROM supplier),
+    typed AS (SELECT run_id, CAST(u_start AS BIGINT) AS u_start, CAST(u_step AS BIGINT) AS u_step,
+                CASE WHEN u_end <> '10000000000' THEN CAST(u_end AS BIGINT) END AS u_end, pert_step FROM given),
+    judged AS (SELECT *, array_to_string(list_filter([
+        CASE WHEN u_end IS NOT NULL AND (u_step = 0 OR (u_end - u_start) * u_step < 0) THEN 'u_step' END,
+        CASE WHEN u_end IS NULL THEN 'u_end' END, CASE WHEN pert_step = '1e-15' THEN 'pert_step' END],
+        lambda x: x IS NOT NULL), ',') AS rejected FROM typed)"""
+
+
 def _sweep_oracles() -> dict[str, str]:
     keys = "run_id, job, u, k"
     return {
+        "rejected_sweeps": f"{_VARIED} SELECT run_id, rejected FROM judged WHERE rejected <> ''",
+        "varied_grid": f"""{_VARIED}, by_u AS (SELECT *, unnest(range(0, CAST((u_end - u_start) // u_step AS BIGINT) + 1)) AS i
+              FROM judged WHERE rejected = ''),
+            by_k AS (SELECT *, unnest(CASE WHEN pert_step = '0.05' THEN range(0, 6) ELSE range(0, 4) END) AS k FROM by_u)
+            SELECT run_id, 'u' AS job, CAST(u_start + i * u_step AS DOUBLE) AS u, CAST(k AS INT) AS k,
+              CASE WHEN k = 0 THEN CAST(0 AS DOUBLE)
+                   ELSE CAST(0.05 + (k - 1) * CAST(pert_step AS DECIMAL(9,2)) AS DOUBLE) END AS shift
+            FROM by_k""",
         "sweep_arguments": """
             WITH given AS (SELECT concat('run_', s_suppkey) AS run_id,
                 CASE s_suppkey % 4 WHEN 0 THEN 'u' WHEN 3 THEN NULL ELSE 'alpha' END AS job,
                 CASE s_suppkey % 3 WHEN 0 THEN CAST(12 AS DOUBLE) WHEN 1 THEN CAST(4 AS DOUBLE) END AS u_end,
                 s_acctbal AS pert_end FROM supplier)
             SELECT run_id, job, u_end, pert_end,
-                concat(CASE WHEN u_end IS NULL THEN 'u_end' ELSE '' END,
-                       CASE WHEN u_end IS NULL AND job IS NULL THEN ',' ELSE '' END,
-                       CASE WHEN job IS NULL THEN 'job' ELSE '' END) AS rejected
+                array_to_string(list_filter([CASE WHEN u_end IS NULL THEN 'u_end' END,
+                    CASE WHEN pert_end < 0.05 THEN 'pert_step' END,
+                    CASE WHEN job IS NULL THEN 'job' END], lambda x: x IS NOT NULL), ',') AS rejected
             FROM given""",
         "swept_values": f"""WITH {_RUN_JOBS},
             vals AS (SELECT CAST(i AS INT) AS i, CAST(2 * i + CAST('0.00000001' AS DECIMAL(20,14)) AS DOUBLE) AS v
@@ -214,6 +267,11 @@ def _folder_oracles() -> dict[str, str]:
               concat('./U_', ui, '_', job, '/', CASE WHEN ki = 0 THEN '' ELSE
                      concat('U_', ui, '_', job, '_', ki, '/') END, seed) AS jobname FROM by_k""",
         "run_pairs": f"{_FOLDERS} SELECT {pair}, folder AS u_folder, alpha_folder FROM fits WHERE nth = 1",
+        "unpaired_alpha_runs": f"""{_FOLDERS} SELECT folder AS alpha_folder, seed, CASE
+              WHEN NOT EXISTS (SELECT 1 FROM us u WHERE u.seed = a.seed AND u.init_u = a.init_u AND u.step_u = a.step_u
+                AND u.final_u = a.final_u AND u.pert_step = a.pert_step) THEN 'no U run fits'
+              ELSE 'another one was taken' END AS reason
+            FROM alphas a WHERE folder NOT IN (SELECT alpha_folder FROM fits WHERE nth = 1)""",
         "unpaired_runs": f"""{_FOLDERS} SELECT folder AS u_folder, seed, CASE
               WHEN NOT EXISTS (SELECT 1 FROM alphas a WHERE a.seed = us.seed) THEN 'no alpha run'
               WHEN NOT EXISTS (SELECT 1 FROM alphas a WHERE a.seed = us.seed AND a.init_u = us.init_u
@@ -227,12 +285,12 @@ def _folder_oracles() -> dict[str, str]:
     }
 
 
-def _log_chain(job: str) -> str:
+def _log_chain(*jobs: str) -> str:
     order = "ORDER BY l_orderkey, l_linenumber, l_extendedprice"
-    columns = ", ".join(f"{e.format(job=job)} AS {name}" for name, e in RESULT_EXPRESSIONS.items())
-    return f"""log AS (SELECT *, concat('/logs/', run_id, '/', substr(jobname, 3), '.castep') AS file
-        FROM (SELECT {columns}, l_orderkey, l_linenumber, l_extendedprice
-              FROM lineitem WHERE {ROW_FILTERS[job]})),
+    rows = " UNION ALL ".join(
+        "SELECT l_orderkey, l_linenumber, l_extendedprice, " + _results(job).removeprefix("SELECT ") for job in jobs
+    )
+    return f"""log AS (SELECT *, concat('/logs/', run_id, '/', substr(jobname, 3), '.castep') AS file FROM ({rows})),
     obs AS (SELECT run_id, jobname, file, channel_id AS species, spin, converged, first_scf AS value,
         row_number() OVER (PARTITION BY file, channel_id, spin {order}) AS position FROM log),
     files AS (SELECT file, bool_or(converged) AS converged FROM log GROUP BY file),
@@ -249,19 +307,28 @@ def _log_oracles() -> dict[str, str]:
     found = "run_id, jobname, species AS channel_id, spin, before_scf, first_scf, last_scf, converged"
     from_logs = _chain("alpha").replace(f"res_alpha AS ({_results('alpha')})", f"res_alpha AS (SELECT {found} FROM flagged)")
     return {
-        "log_observations": f"WITH {_log_chain('u')} SELECT file, species, spin, position, value FROM obs",
-        "log_converged": f"WITH {_log_chain('u')} SELECT file, converged FROM files",
-        "log_picks": f"WITH {_log_chain('u')} SELECT {picked} FROM flagged",
-        "log_complete_series": f"""WITH {_log_chain('u')},
+        "log_observations": f"WITH {_log_chain(*_JOBS)} SELECT file, species, spin, position, value FROM obs",
+        "log_converged": f"WITH {_log_chain(*_JOBS)} SELECT file, converged FROM files",
+        "log_picks": f"WITH {_log_chain(*_JOBS)} SELECT {picked} FROM flagged",
+        "log_complete_series": f"""WITH {_log_chain(*_JOBS)},
             expected AS (SELECT m.file, CAST(unnest(range(1, n + 1)) AS INT) AS species
                          FROM (SELECT file, max(species) AS n FROM picks GROUP BY file) m),
             pairs AS (SELECT file, species, spin FROM expected, (VALUES (1), (2)) s(spin))
             SELECT p.file, p.species, p.spin, before_scf, first_scf, last_scf, coalesce(n_obs, 0) AS n_obs,
                    files.converged
             FROM pairs p LEFT JOIN picks USING (file, species, spin) JOIN files ON p.file = files.file""",
-        "log_results": f"WITH {_log_chain('u')} SELECT {found} FROM flagged",
+        "log_rows_by_cell": f"""WITH {_log_chain(*_JOBS)},
+            counts AS (SELECT concat('run_', p_partkey) AS run_id, 1 + CASE WHEN p_partkey % 3 <> 0 THEN 1 ELSE 0 END
+                         + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS n FROM part),
+            known AS (SELECT DISTINCT file, n FROM picks LEFT JOIN counts USING (run_id)),
+            pairs AS (SELECT file, CAST(unnest(range(1, n + 1)) AS INT) AS species, CAST(spin AS INT) AS spin
+                        FROM known, (VALUES (1), (2)) s(spin) WHERE n IS NOT NULL
+                      UNION ALL SELECT p.file, species, spin FROM picks p JOIN known k ON p.file = k.file WHERE n IS NULL)
+            SELECT p.file, p.species, p.spin, before_scf, first_scf, last_scf, coalesce(n_obs, 0) AS n_obs, files.converged
+            FROM pairs p LEFT JOIN picks USING (file, species, spin) JOIN files ON p.file = files.file""",
+        "log_results": f"WITH {_log_chain(*_JOBS)} SELECT {found} FROM flagged",
         "mean_from_logs": f"""WITH {_log_chain('alpha')}, {from_logs}
-            SELECT run_id, channel_id, u, round(avg(n1_nf), 6) AS n1_nf_alpha FROM rows_alpha GROUP BY ALL""",
+            SELECT run_id, channel_id, u, round(avg(n1_nf), 9) AS n1_nf_alpha FROM rows_alpha GROUP BY ALL""",
     }
 
 
@@ -295,6 +362,11 @@ _SETTINGS = """lines AS (
                   FROM before UNION ALL SELECT p_partkey, 1, 'continuation', 'default' FROM part)"""
 
 
+_PART_GRID = _GRID.replace(
+    _RUN_JOBS, "runs AS (SELECT concat('part_', p_partkey) AS run_id, job FROM part, (VALUES ('u'), ('alpha')) j(job))"
+).replace("range(0, 15, 2)", "range(0, 5, 2)")
+
+
 def _settings_oracles() -> dict[str, str]:
     head = "file, block, pos, element, atom_id, orbital"
 
@@ -307,12 +379,11 @@ def _settings_oracles() -> dict[str, str]:
             name AS key, value, TRY_CAST(value AS DOUBLE) AS value_num FROM {source}"""
 
     return {
-        "planned_items": f"""WITH {_GRID}, {_ITEMS},
-            firsts AS (SELECT concat('run_', CAST(floor(p_partkey / 40) AS INT)) AS run_id, min(p_partkey) AS key
-                       FROM part GROUP BY 1)
+        "planned_items": f"""WITH {_PART_GRID}, {_ITEMS}
             SELECT g.run_id, g.jobname, w.block, w.pos, w.element, w.atom_id, w.orbital,
                    CASE WHEN w.block = 'U' THEN g.u_value ELSE g.alpha_value END AS value
-            FROM grid g JOIN firsts f ON g.run_id = f.run_id JOIN whole w ON w.key = f.key""",
+            FROM grid g JOIN whole w ON g.run_id = concat('part_', w.key) WHERE w.key % 10 <> 7""",
+        "items_without_cell": f"WITH {_PART_GRID} SELECT run_id, jobname, 'no cell' AS cell_status FROM grid WHERE right(run_id, 1) = '7'",
         "species_count": """SELECT concat('/cells/part_', p_partkey, '.cell') AS file,
             CAST(1 + CASE WHEN p_partkey % 3 <> 0 THEN 1 ELSE 0 END
                    + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS INT) AS n_species FROM part""",
@@ -335,14 +406,14 @@ def _settings_oracles() -> dict[str, str]:
 
 
 def _output_oracles() -> dict[str, str]:
-    unpivoted = f"""{_BY_KEY}, means AS ({_MEANS.replace('round(avg(n1_nf_u), 6)', 'avg(n1_nf_u)')
-        .replace('round(avg(n1_nf_alpha), 6)', 'avg(n1_nf_alpha)')}),
+    unpivoted = f"""{_BY_KEY}, means AS ({_MEANS.replace('round(avg(n1_nf_u), 9)', 'avg(n1_nf_u)')
+        .replace('round(avg(n1_nf_alpha), 9)', 'avg(n1_nf_alpha)')}),
         points AS (SELECT run_id, channel_id, 'n1-nF_U' AS series, u, n1_nf_u AS y FROM means
                    UNION ALL SELECT run_id, channel_id, 'n1-nF_Alpha', u, n1_nf_alpha FROM means)"""
     alpha = f"WITH {_chain('alpha')}"
     values = "jobname, channel_id, spin, before_scf, first_scf, last_scf, converged"
     return {
-        "chart_series_long": f"{unpivoted} SELECT run_id, channel_id, series, u, round(y, 6) AS y FROM points",
+        "chart_series_long": f"{unpivoted} SELECT run_id, channel_id, series, u, round(y, 9) AS y FROM points",
         "chart_series_arrays": f"""{unpivoted} SELECT run_id, channel_id, series,
             string_agg(CAST(u AS VARCHAR), ',' ORDER BY u) AS xs,
             string_agg(coalesce(printf('%.4f', y), '-'), ',' ORDER BY u) AS ys
@@ -352,9 +423,14 @@ def _output_oracles() -> dict[str, str]:
             FROM rows_alpha""",
         "write_read_total": f"WITH {_chain('u')} SELECT {_TOTAL} FROM rows_u",
         "append_results": f"SELECT {values} FROM ({_results('u')} UNION ALL {_results('alpha')})",
-        "stream_append": _results("alpha"),
-        "stream_spin_sums": f"{alpha} SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_alpha",
-        "stream_dedupe": f"""WITH res_alpha AS ({_results('alpha')})
+        "stream_append": f"SELECT * FROM {_ALL}",
+        "stream_spin_sums": f"{_BOTH} SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_u UNION ALL SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_alpha",
+        "stream_in_batches": f"""SELECT jobname, channel_id, sum(before_scf) AS s0, sum(first_scf) AS s1, sum(last_scf) AS sf
+            FROM {_ALL} WHERE {_PERTURBED} GROUP BY ALL""",
+        "stream_deduped_mean": _mean("alpha").replace(
+            _chain("alpha"), _chain("alpha", source=_CONVERGED_REPEATS, where=f"nth = 1 AND {_PERTURBED}")
+        ),
+        "stream_dedupe": f"""WITH res_alpha AS {_ALL}
             SELECT run_id, {values} FROM {_CONVERGED_REPEATS.format(job='alpha')} WHERE nth = 1""",
         "stream_running_mean": _mean("alpha"),
     }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,11 +10,10 @@ from pyspark.sql import SparkSession
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session that names none falls back to a temporary folder of this machine.
+    A session that names none gets one below its warehouse, which executors share, too. Folders are
+    not removed here: they go with the checkpoint folder, which the cluster's owner clears.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="scfsweep-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

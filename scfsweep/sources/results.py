@@ -9,11 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER, RESULT_SCHEMA, check_job
-from scfsweep.sources.paths import folder_above
+from scfsweep.sources.paths import named_apart, one_folder, roots_of, run_key
 
 _BAD_ROWS = {"fail": "FAILFAST", "null": "PERMISSIVE", "drop": "DROPMALFORMED"}
 
 
+def csv_options(header: bool, on_bad: str) -> dict[str, object]:
+    """How result files are read, in batch and as a stream."""
+    return {
+        "header": header,
+        "enforceSchema": not header,
+        "ignoreLeadingWhiteSpace": True,
+        "ignoreTrailingWhiteSpace": True,
+        "mode": _BAD_ROWS[on_bad],
+    }
+
+
 def read_results(
     spark: SparkSession,
     paths: str | list[str],
@@ -22,23 +33,19 @@ def read_results(
     run_level: int = 1,
     on_bad: str = "fail",
     keep_order: bool = False,
+    by_name: bool | None = None,
 ) -> DataFrame:
-    """Result CSVs as rows with ``run_id``, the name of the folder ``run_level`` above each file.
+    """Result CSVs as rows with ``run_id``, the folder ``run_level`` above each file.
 
+    A run is named by that folder's name; where several paths or a pattern are given, and so two
+    folders may have one name, by the folder's whole path. ``by_name`` decides otherwise.
     A header is checked against the expected names. Blanks after commas are accepted. A value that
     is no number fails the read unless ``on_bad`` is ``null`` or ``drop``. ``keep_order`` adds the
     orderable column ``seen``, which follows the line order of each file.
     """
-    raw = (
-        spark.read.schema(RESULT_FILE_SCHEMA)
-        .option("header", header)
-        .option("enforceSchema", not header)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("mode", _BAD_ROWS[on_bad])
-        .csv(paths)
-    )
-    columns = [folder_above(run_level).alias("run_id")]
+    raw = spark.read.schema(RESULT_FILE_SCHEMA).options(**csv_options(header, on_bad)).csv(paths)
+    by_name = named_apart(paths) if by_name is None else by_name
+    columns = [run_key(by_name, run_level).alias("run_id")]
     columns += [F.col(f"`{old}`").alias(new) for old, new in zip(RESULT_HEADER, RESULT_COLUMNS)]
     if keep_order:
         # Row ids only order lines of one split; the split's offset orders splits of a file.
@@ -51,15 +58,16 @@ def read_results(
     return raw.select(*columns)
 
 
-def read_run_results(spark: SparkSession, root: str, job: str, **options) -> DataFrame:
-    """Final tables of one job from every run folder below ``root``."""
-    return read_results(spark, f"{root}/*/result_{check_job(job)}_final.csv", **options)
+def read_run_results(spark: SparkSession, root: str | list[str], job: str, **options) -> DataFrame:
+    """Final tables of one job from every run folder below one or several roots."""
+    paths = [f"{r}/*/result_{check_job(job)}_final.csv" for r in roots_of(root)]
+    return read_results(spark, paths, **{"by_name": one_folder(root), **options})
 
 
-def read_run_parts(spark: SparkSession, root: str, job: str, **options) -> DataFrame:
-    """Headerless per-value tables ``U_*_{job}/result_{job}.csv`` of every run below ``root``."""
-    pattern = f"{root}/*/U_*_{check_job(job)}/result_{job}.csv"
-    return read_results(spark, pattern, header=False, run_level=2, **options)
+def read_run_parts(spark: SparkSession, root: str | list[str], job: str, **options) -> DataFrame:
+    """Headerless per-value tables ``U_*_{job}/result_{job}.csv`` of every run below the roots."""
+    paths = [f"{r}/*/U_*_{check_job(job)}/result_{job}.csv" for r in roots_of(root)]
+    return read_results(spark, paths, header=False, run_level=2, **{"by_name": one_folder(root), **options})
 
 
 def append_parts(parts: Iterable[DataFrame]) -> DataFrame:

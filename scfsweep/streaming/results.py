@@ -3,7 +3,8 @@
 Result rows carry no event time, so state cannot expire: it holds one entry per distinct key seen,
 kept by the state store's partitions, never by one task. Every query here runs
 ``trigger(availableNow=True)``: it takes what has arrived and ends; run it again to go on from its
-checkpoint.
+checkpoint. Production sessions should keep state in RocksDB, off the executors' heap:
+``spark.sql.streaming.stateStore.providerClass`` = ``org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``.
 """
 
 from __future__ import annotations
@@ -11,27 +12,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scfsweep.operators.response import SUM_KEYS, differences, select_results, slopes
+from scfsweep.operators.response import SUM_KEYS, differences, drop_repeats, select_results, slopes, spin_sums
 from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER
-from scfsweep.sources.paths import folder_above
+from scfsweep.sources.paths import named_apart, run_key
+from scfsweep.sources.results import csv_options
 
+SPIN_KEYS = (*SUM_KEYS, "spin")
 _VERSION = "batch_id"
 _UPTO = "upto"
 
 
 def read_result_stream(
-    spark: SparkSession, path: str, *, header: bool = True, run_level: int = 1, files_per_batch: int = 1000
+    spark: SparkSession,
+    path: str,
+    *,
+    header: bool = True,
+    run_level: int = 1,
+    files_per_batch: int = 1000,
+    on_bad: str = "fail",
+    by_name: bool | None = None,
 ) -> DataFrame:
-    """Result CSVs as a stream; each new file is read once."""
+    """Result CSVs as a stream; each new file is read once, as strictly as in batch."""
     raw = (
         spark.readStream.schema(RESULT_FILE_SCHEMA)
-        .option("header", header)
-        .option("ignoreLeadingWhiteSpace", True)
+        .options(**csv_options(header, on_bad))
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
     return raw.select(
-        folder_above(run_level).alias("run_id"),
+        run_key(named_apart(path) if by_name is None else by_name, run_level).alias("run_id"),
         *[F.col(f"`{old}`").alias(new) for old, new in zip(RESULT_HEADER, RESULT_COLUMNS)],
     )
 
@@ -63,27 +72,20 @@ def _write_updates(updates: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def running_spin_sums(results: DataFrame, target: str, checkpoint: str, *, perturbed_by: str = "depth") -> None:
+def running_spin_sums(
+    results: DataFrame, target: str, checkpoint: str, *, perturbed_by: str = "depth", converged_only: bool = False
+) -> None:
     """Keeps spin sums per (run, job, channel); each batch writes the sums it changed.
 
     Rows that arrive again are added again, as in the batch form; see :func:`running_spins`.
     """
-    sums = [
-        F.coalesce(F.sum(source), F.lit(0.0)).alias(name)
-        for source, name in (("before_scf", "s0"), ("first_scf", "s1"), ("last_scf", "sf"))
-    ]
-    selected = select_results(results, perturbed_by=perturbed_by)
-    _write_updates(selected.groupBy(*SUM_KEYS).agg(*sums), target, checkpoint)
+    selected = select_results(results, perturbed_by=perturbed_by, converged_only=converged_only)
+    _write_updates(spin_sums(selected), target, checkpoint)
 
 
 def running_spins(results: DataFrame, target: str, checkpoint: str) -> None:
     """Keeps one row per (run, job, channel, spin), so rows that arrive again change nothing."""
-    best = F.max(F.struct("converged", "last_scf", "first_scf", "before_scf")).alias("best")
-    kept = results.groupBy(*SUM_KEYS, "spin").agg(best)
-    flat = kept.select(
-        *SUM_KEYS, "spin", "best.before_scf", "best.first_scf", "best.last_scf", "best.converged"
-    )
-    _write_updates(flat, target, checkpoint)
+    _write_updates(drop_repeats(results), target, checkpoint)
 
 
 def latest(
@@ -119,7 +121,26 @@ def take_snapshot(
 
 
 def running_rows(
-    spark: SparkSession, target: str, job: str, step: float, snapshots: str | None = None
+    spark: SparkSession,
+    target: str,
+    job: str,
+    step: float | DataFrame,
+    snapshots: str | None = None,
+    *,
+    deduped: bool = False,
+    perturbed_by: str = "depth",
+    converged_only: bool = False,
+    alpha_includes_u: bool = True,
+    signed_u: bool = False,
 ) -> DataFrame:
-    """Response rows of the spin sums as they stand; feed them to the views for running means."""
-    return slopes(differences(latest(spark, target, snapshots=snapshots), job), job, step)
+    """Response rows of a running table as it stands; feed them to the views for running means.
+
+    ``target`` holds spin sums, or with ``deduped`` the rows of :func:`running_spins`, whose selection
+    is then made here.
+    """
+    if deduped:
+        rows = latest(spark, target, SPIN_KEYS, snapshots)
+        sums = spin_sums(select_results(rows, perturbed_by=perturbed_by, converged_only=converged_only))
+    else:
+        sums = latest(spark, target, snapshots=snapshots)
+    return slopes(differences(sums, job, signed_u=signed_u), job, step, alpha_includes_u=alpha_includes_u)

@@ -105,16 +105,20 @@ def test_scratch_folder_follows_the_session(spark):
     assert one != two and one.startswith(base)
 
 
-def test_scratch_folder_needs_a_shared_place_on_a_cluster():
+def test_scratch_folders_lie_in_the_named_folder_or_the_warehouse():
     class Conf:
-        def get(self, name, default):
-            return default
+        def __init__(self, values):
+            self.values = values
 
-    class Session:
-        conf = Conf()
+        def get(self, name, *default):
+            return self.values.get(name, *default)
 
-        class sparkContext:
-            master = "yarn"
+    def folder(**values):
+        class Session:
+            conf = Conf({k.replace("_", "."): v for k, v in values.items()})
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(Session(), "x")
+        return scratch_folder(Session(), "x").rpartition("/")[0]
+
+    warehouse = {"spark_sql_warehouse_dir": "s3a://lake/warehouse"}
+    assert folder(spark_checkpoint_dir="hdfs:///tmp/", **warehouse) == "hdfs:///tmp"
+    assert folder(**warehouse) == "s3a://lake/warehouse/_scratch"
