@@ -26,12 +26,33 @@ def set_values(settings: DataFrame, values: dict[str, Column]) -> DataFrame:
     return settings.withColumn("value", value).withColumn("value_num", number_or_null(F.col("value")))
 
 
-def settings_before(settings: DataFrame, energy_tol: str) -> DataFrame:
-    """Settings of a base job: two keys dropped, tolerance and grid set."""
-    kept = settings.filter(~_key().isin(*DROPPED_KEYS))
-    return set_values(
-        kept, {ENERGY_TOL_KEY: F.lit(energy_tol), "grid_scale": F.lit(BASE_GRID_SCALE)}
+def with_missing(settings: DataFrame, values: dict[str, str]) -> DataFrame:
+    """Settings, and after each file's last line those of ``values`` whose keys it lacks, in their order.
+
+    A file must hold one setting at least to be known here.
+    """
+    rest = [c for c in settings.columns if c not in ("pos", "key", "value", "value_num")]
+    of_file = settings.groupBy(*rest).agg(F.collect_set(_key()).alias("_keys"), F.max("pos").alias("_last"))
+    offered = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in values.items()])
+    lacking = F.filter(offered, lambda s: ~F.array_contains(F.col("_keys"), s["key"]))
+    added = of_file.select(*rest, "_last", F.posexplode(lacking).alias("_i", "_s")).select(
+        *rest,
+        (F.col("_last") + F.col("_i") + 1).alias("pos"),
+        F.col("_s.key").alias("key"),
+        F.col("_s.value").alias("value"),
+        number_or_null(F.col("_s.value")).alias("value_num"),
     )
+    return settings.unionByName(added)
+
+
+def settings_before(settings: DataFrame, energy_tol: str, *, add_missing: bool = False) -> DataFrame:
+    """Settings of a base job: two keys dropped, tolerance and grid set.
+
+    Only settings that the file has are set, unless ``add_missing`` also writes absent ones.
+    """
+    new = {ENERGY_TOL_KEY: energy_tol, "grid_scale": BASE_GRID_SCALE}
+    kept = set_values(settings.filter(~_key().isin(*DROPPED_KEYS)), {k: F.lit(v) for k, v in new.items()})
+    return with_missing(kept, new) if add_missing else kept
 
 
 def settings_perturbed(before: DataFrame) -> DataFrame:

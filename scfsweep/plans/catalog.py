@@ -281,6 +281,9 @@ def _settings_queries() -> dict[str, Query]:
         ),
         "item_text": texts,
         "settings_long": params,
+        "settings_completed": lambda s, d: settings.with_missing(
+            params(s, d), {"continuation": "default", "spin": "0", "max_scf_cycles": "100"}
+        ),
         "settings_before": before,
         "settings_perturbed": lambda s, d: settings.settings_perturbed(before(s, d)),
     }

@@ -400,6 +400,11 @@ def _settings_oracles() -> dict[str, str]:
                    lpad(concat(CAST(CAST(value AS DECIMAL(18,3)) AS VARCHAR), '000000000000'), 20, ' ')) AS line
             FROM cells""",
         "settings_long": settings("lines"),
+        "settings_completed": settings(
+            """(SELECT * FROM lines
+                UNION ALL SELECT p_partkey, 9 + 1, 'continuation', 'default' FROM shifted WHERE extra = 0
+                UNION ALL SELECT p_partkey, CASE WHEN extra = 0 THEN 9 + 2 ELSE 10 + 1 END, 'max_scf_cycles', '100' FROM shifted)"""
+        ),
         "settings_before": settings("before"),
         "settings_perturbed": settings("perturbed"),
     }

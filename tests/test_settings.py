@@ -88,3 +88,11 @@ def test_settings_before_and_after(spark):
     assert after.count() == before.count() + 2
     plan = after._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("Scan") == 1
+
+
+def test_absent_settings_are_written_on_request(spark):
+    table = param_settings(spark.createDataFrame([("a", "task : SinglePoint\ncomment : x"), ("b", PARAM)], "file string, text string"))
+    before = P.settings_before(table, "1e-5", add_missing=True)
+    rows = [(r.key, r.value) for r in before.filter("file = 'a'").orderBy("pos").collect()]
+    assert rows == [("task", "SinglePoint"), ("comment", "x"), ("elec_energy_tol", "1e-5"), ("grid_scale", "1.750000000000000")]
+    assert before.filter("file = 'b'").count() == 4
