@@ -106,9 +106,9 @@ def repeated_grams(docs: DataFrame, length: int, k: int) -> np.ndarray:
     twice = grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
     # 2 ** (BITS - 6) rows at most
     slots = twice.selectExpr(f"gram & {(1 << BITS) - 1} as slot").groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
-    found = slots.toPandas()
+    found = slots.toArrow()
     bitmap = np.zeros(1 << (BITS - 6), np.uint64)
-    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return bitmap
 
 
