@@ -15,11 +15,12 @@ from scfsweep.operators import views as V
 from scfsweep.plans.analyze import analyze, analyze_pairs, analyze_single
 from scfsweep.plans.export import append_results, export_analysis, reset_results, write_total_view
 from scfsweep.scratch import scratch_folder
-from scfsweep.schema import export_names
+from scfsweep.schema import RESULT_COLUMNS, RESULT_HEADER, export_names
 from scfsweep.sources import (
     append_parts,
     cell_items,
     conform,
+    log_lines,
     param_settings,
     parse_folders,
     read_results,
@@ -348,6 +349,24 @@ def _output_queries() -> dict[str, Query]:
         back = spark.read.option("header", True).schema(f"run_id string, {fields}").csv(path)
         return back.select("run_id", *[F.col(f"`{new}`").alias(old) for new, old in names.items()])
 
+    def from_files(spark, sf):
+        """Result files of every run with blanks after the commas, read as run folders are."""
+        root = scratch_folder(spark, "runs")
+        rows = A.all_results(spark, sf)
+        headed = rows.select("run_id", *[F.col(c).alias(h) for c, h in zip(RESULT_COLUMNS, RESULT_HEADER)])
+        headed.repartition("run_id").write.partitionBy("run_id").option("header", True).option("sep", ", ").csv(root)
+        back = read_results(spark, f"{root}/*")
+        return back.withColumn("run_id", F.substring_index("run_id", "=", -1))
+
+    def logs_of_files(spark, sf):
+        """One log file per run, read line by line."""
+        root = scratch_folder(spark, "logs")
+        lines = A.log_text_lines(spark, sf, None).withColumn("run_id", F.split("file", "/")[2])
+        ordered = lines.repartition("run_id").sortWithinPartitions("run_id", "block", "row")
+        ordered.select("run_id", "line").write.partitionBy("run_id").text(root)
+        picked = logs.pick_observations(tag_lines(log_lines(spark, root, "*.txt")))
+        return picked.withColumn("run_id", F.regexp_extract("file", "run_id=([^/]+)", 1)).drop("file")
+
     def appended(spark, sf):
         path = scratch_folder(spark, "results")
         reset_results(spark, path)
@@ -382,6 +401,8 @@ def _output_queries() -> dict[str, Query]:
         "write_read_merged": merged_files,
         "write_read_channels": single_files,
         "write_read_total": total_files,
+        "results_from_files": from_files,
+        "logs_from_files": logs_of_files,
         "append_results": appended,
         "stream_append": lambda s, d: s.read.parquet(append(s, d)),
         "stream_spin_sums": lambda s, d: latest(s, sums(s, d)),

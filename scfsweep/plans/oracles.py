@@ -427,6 +427,12 @@ def _output_oracles() -> dict[str, str]:
         "write_read_channels": f"""{alpha} SELECT run_id, channel_id, u, pert AS alpha_pert, n1_nf AS n1_nf_alpha
             FROM rows_alpha""",
         "write_read_total": f"WITH {_chain('u')} SELECT {_TOTAL} FROM rows_u",
+        "results_from_files": f"SELECT * FROM {_ALL}",
+        "logs_from_files": "WITH "
+        + _log_chain(*_JOBS).replace("concat('/logs/', run_id, '/', substr(jobname, 3), '.castep')", "run_id").replace(
+            "run_id, jobname, file, species", "run_id, file, species"
+        )
+        + " SELECT run_id, species, spin, before_scf, first_scf, last_scf, n_obs, converged FROM flagged",
         "append_results": f"SELECT {values} FROM ({_results('u')} UNION ALL {_results('alpha')})",
         "stream_append": f"SELECT * FROM {_ALL}",
         "stream_spin_sums": f"{_BOTH} SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_u UNION ALL SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_alpha",
