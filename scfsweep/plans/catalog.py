@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scfsweep import adapters as A
@@ -358,6 +358,27 @@ def _output_queries() -> dict[str, Query]:
         back = read_results(spark, f"{root}/*")
         return back.withColumn("run_id", F.substring_index("run_id", "=", -1))
 
+    def from_parts(spark, sf):
+        """Headerless tables of every run and U, two folders below the root."""
+        root = scratch_folder(spark, "parts")
+        rows = A.all_results(spark, sf).withColumn("part", F.regexp_extract("jobname", r"(U_\d+_[a-z]+)/", 1))
+        plain = rows.select("run_id", "part", *RESULT_COLUMNS).repartition("run_id")
+        plain.write.partitionBy("run_id", "part").csv(root)
+        back = read_results(spark, f"{root}/*/*", header=False, run_level=2, by_name=True)
+        return back.withColumn("run_id", F.substring_index("run_id", "=", -1))
+
+    def export_order(spark, sf):
+        """Where each row stands among its run's rows in the written total view."""
+        path = scratch_folder(spark, "export")
+        write_total_view(analyze_single(A.results(spark, sf, "u"), "u", STEP).rows["u"], "u", path)
+        names = {new: old for old, new in export_names("u").items()}
+        fields = ", ".join(f"`{new}` {'int' if new in ('Channel ID', 'U') else 'double'}" for new in names)
+        back = spark.read.option("header", True).schema(f"run_id string, {fields}").csv(path)
+        line = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id())
+        lines = back.select("run_id", F.col("Channel ID").alias("channel_id"), F.col("U").alias("u"), F.col("u_pert").alias("pert"), line.alias("line"))
+        place = F.row_number().over(Window.partitionBy("run_id").orderBy("line"))
+        return lines.withColumn("position", place).drop("line")
+
     def logs_of_files(spark, sf):
         """One log file per run, read line by line."""
         root = scratch_folder(spark, "logs")
@@ -402,6 +423,8 @@ def _output_queries() -> dict[str, Query]:
         "write_read_channels": single_files,
         "write_read_total": total_files,
         "results_from_files": from_files,
+        "parts_from_files": from_parts,
+        "export_order": export_order,
         "logs_from_files": logs_of_files,
         "append_results": appended,
         "stream_append": lambda s, d: s.read.parquet(append(s, d)),

@@ -428,6 +428,9 @@ def _output_oracles() -> dict[str, str]:
             FROM rows_alpha""",
         "write_read_total": f"WITH {_chain('u')} SELECT {_TOTAL} FROM rows_u",
         "results_from_files": f"SELECT * FROM {_ALL}",
+        "parts_from_files": f"SELECT * FROM {_ALL}",
+        "export_order": f"""WITH {_chain('u')} SELECT run_id, channel_id, u, pert,
+            CAST(row_number() OVER (PARTITION BY run_id ORDER BY u, k, channel_id) AS INT) AS position FROM rows_u""",
         "logs_from_files": "WITH "
         + _log_chain(*_JOBS).replace("concat('/logs/', run_id, '/', substr(jobname, 3), '.castep')", "run_id").replace(
             "run_id, jobname, file, species", "run_id, file, species"
