@@ -20,35 +20,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFrame:
     """Writes the rows to the shared folder and reads them: they are made once and outlive executors."""
     path = scratch_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 SLOTS = 1 << 22
+MAX_KEYS = 1 << 20
 
 
-def rows_of(spark: SparkSession, docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows of docs whose ``key`` (not null) is in ``keys``; docs' columns only.
+def rows_of(spark: SparkSession, docs: DataFrame, keys: DataFrame, key: str, max_keys: int = MAX_KEYS) -> DataFrame:
+    """The rows of docs whose ``key`` (a long, not null) is in ``keys``; docs' columns only.
 
-    A bitmap of SLOTS bits, whatever the number of keys, thins docs before they are shuffled for the join.
+    Up to max_keys different keys go to every task, and docs stay where they are. More of them are joined
+    by a shuffle; a bitmap of SLOTS bits, whatever the number of keys, thins docs before it.
     """
-    slot = f"cast(pmod(xxhash64({key}), {SLOTS}) as int)"
-    taken = keys.selectExpr(f"{slot} as slot").distinct().toArrow()["slot"].to_numpy()  # SLOTS numbers at most
-    bitmap = np.zeros(SLOTS, bool)
-    bitmap[taken] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap))
+    wanted = keys.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key)).distinct()
+    few = wanted.limit(max_keys + 1).toArrow()
+    known = few.num_rows <= max_keys
+    if known:
+        shared = spark.sparkContext.broadcast(np.sort(few.column(key).to_numpy()))
+    else:
+        slot = f"cast(pmod(xxhash64({key}), {SLOTS}) as int)"
+        bitmap = np.zeros(SLOTS, bool)
+        bitmap[wanted.selectExpr(f"{slot} as slot").distinct().toArrow()["slot"].to_numpy()] = True  # SLOTS numbers at most
+        shared = spark.sparkContext.broadcast(np.packbits(bitmap))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near = np.unpackbits(shared.value).astype(bool)
+        near = shared.value if known else np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(near[batch.column("slot").to_numpy()])).select(schema.names)
-
-    some = docs.filter(F.col(key).isNotNull()).withColumn("slot", F.expr(slot))
-    return some.mapInArrow(run, schema).join(keys.select(key).distinct(), key, "left_semi")
+            at = batch.column("__at").to_numpy()
+            if not known:
+                stay = near[at]
+            elif len(near):
+                stay = near[np.minimum(np.searchsorted(near, at), len(near) - 1)] == at
+            else:
+                stay = np.zeros(len(at), bool)
+            yield batch.filter(pa.array(stay)).select(schema.names)
+
+    some = docs.filter(F.col(key).isNotNull()).withColumn("__at", F.col(key).cast("long") if known else F.expr(slot))
+    thinned = some.mapInArrow(run, schema)
+    return thinned if known else thinned.join(wanted, key, "left_semi")
 
 
 def extended(

@@ -207,7 +207,9 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     orders = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
     lang = "coalesce(concat('=', lang), '') as named"
     scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang"), orders).drop("text").selectExpr("*", lang), "bits")
+    # a row per language: written, so that their size is known and documents aren't shuffled by language
     means = scored.groupBy("named").agg(F.coalesce(F.try_divide(F.sum("bits"), F.sum("bytes")), F.lit(8.0)).alias("mean"))
+    means = staged(spark, means, "means")
     drawn = scored.join(means, "named").withColumn("score", F.expr(f"(bits + {PRIOR_BYTES} * mean) / (bytes + {PRIOR_BYTES})"))
     quantiles = lambda group: (
         drawn.join(ids, "doc_id", "left_semi")
@@ -217,7 +219,7 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     own = quantiles(["named"]).filter(F.col("trusted") >= LEAST_TRUSTED).select("named", F.col("threshold").alias("own"))
     every = quantiles([]).select(F.col("threshold").alias("every"))
-    limits = means.select("named").join(own, "named", "left").join(every)  # a single row
+    limits = staged(spark, means.select("named").join(own, "named", "left").join(every), "limits")  # every is a single row
     judged = drawn.join(limits, "named").withColumn("threshold", F.coalesce("own", "every"))
     return judged.select(
         "doc_id", "lang", "bytes", "score", F.pow(F.lit(2.0), "score").alias("perplexity"), "threshold", F.coalesce((F.col("bytes") == 0) | (F.col("score") <= F.col("threshold")), F.lit(True)).alias("kept")

@@ -108,3 +108,13 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - threshold**rows) ** bands >= 0.999 and bands * rows <= 400
     with pytest.raises(ValueError):
         near_duplicates.choose_bands(0.1, 0.9999, 10)
+
+
+def test_rows_of_few_and_many_keys(spark, odd):
+    from scfsweep.llm.common import rows_of
+
+    keys = spark.createDataFrame([(1,), (9,), (None,), (9,), (77,)], "doc_id long")
+    for most in (10, 2):
+        got = rows_of(spark, odd, keys, "doc_id", most)
+        assert got.columns == odd.columns and Counter(r.doc_id for r in got.collect()) == Counter([1, 9, 9])
+    assert rows_of(spark, odd, keys.filter("false"), "doc_id").count() == 0
