@@ -6,7 +6,7 @@
   (band, hash); a bucket links its members to its least one, so edges grow with documents and not with
   pairs. The components of these edges hold every pair that shares a bucket.
 * Within a component the pairs that share a bucket are compared on their full sets. A component of many
-  representatives is dealt to blocks, each pair of blocks being a task's group of bounded size; a group
+  representatives, or long ones, is dealt to blocks, each pair of blocks being a task's group of bounded size; a group
   returns link counts and a spanning forest, never its pairs. Small components share groups.
 * Components of the verified links are the classes.
 
@@ -35,7 +35,9 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 MAX_HASHES = 80
+#: Representatives, and bytes of their texts, that a block holds about
 BLOCK = 512
+BLOCK_BYTES = 4 << 20
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MAX_HASHES) -> tuple[int, int]:
@@ -105,7 +107,8 @@ def signatures(docs: DataFrame, n: int = WORDS, bands: int = 18, rows: int = 4)
 
         return compute
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"), size)
     return extended(keyed, [("shared", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))], make).drop("text")
 
 
@@ -170,21 +173,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = WORDS, thresh
     bands, rows = choose_bands(threshold, recall)
     signed = staged(spark, signatures(docs, n, bands, rows), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key"))
-    reps = signed.filter("shared is not null").groupBy("shared").agg(first.alias("one"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
-    reps = staged(spark, reps.select("shared", F.col("one.key").alias("rep"), F.col("one.doc_id").alias("rep_id"), "copies", "bands"), "reps")
+    reps = signed.filter("shared is not null").groupBy("shared").agg(first.alias("one"), F.count("*").alias("copies"), F.max("bytes").alias("bytes"), F.first("bands").alias("bands"))
+    reps = staged(spark, reps.select("shared", F.col("one.key").alias("rep"), F.col("one.doc_id").alias("rep_id"), "copies", "bytes", "bands"), "reps")
     spread = reps.select("rep", F.posexplode("bands").alias("band", "hash"))
     buckets = spread.groupBy("band", "hash").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least != most")
     edges = spread.join(buckets, ["band", "hash"]).filter("rep != least").selectExpr("rep as a", "least as b")
     near = staged(spark, components(spark, edges), "near")
-    sizes = near.groupBy("root").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    shares = near.join(sizes, "root").withColumn("own", F.expr("cast(pmod(xxhash64(node, 1), blocks) as int)"))
-    small = shares.filter("blocks = 1").agg(F.count("*").alias("n")).first().n
-    groups = max(1, -(-small // block))
+    weighed = near.join(reps.select(F.col("rep").alias("node"), "copies", "bytes"), "node")
+    load = lambda n, b: F.ceil(F.greatest(F.col(n) / block, F.col(b) / BLOCK_BYTES)).cast("int")
+    sizes = weighed.groupBy("root").agg(F.count("*").alias("size"), F.sum("bytes").alias("sum")).withColumn("blocks", F.greatest(load("size", "sum"), F.lit(1)))
+    shares = staged(spark, weighed.join(sizes, "root").withColumn("own", F.expr("cast(pmod(xxhash64(node, 1), blocks) as int)")), "shares")
+    small = shares.filter("blocks = 1").agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"))
+    groups = max(1, small.select(load("n", "b").alias("g")).first().g)
     # (root, i, j): the groups a representative takes part in; whole small components share group (-1, g, g)
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.col("root").alias("c"), F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
     shared = F.expr(f"named_struct('c', -1L, 'i', cast(pmod(xxhash64(root, 2), {groups}) as int), 'j', -1)")
-    members = shares.select(F.col("node").alias("key"), "own", F.when(F.col("blocks") == 1, F.array(shared)).otherwise(every).alias("at"))
-    members = members.join(reps.select(F.col("rep").alias("key"), "copies"), "key")
+    members = shares.select(F.col("node").alias("key"), "copies", "own", F.when(F.col("blocks") == 1, F.array(shared)).otherwise(every).alias("at"))
     texts = rows_of(spark, docs.select("text", F.xxhash64("doc_id", "text").alias("key")), members, "key")
     dealt = texts.join(members, "key").select("key", "copies", "own", "text", F.explode("at").alias("at"))
     dealt = dealt.selectExpr("at.c as c", "at.i as i", "at.j as j", "key", "copies", "own", "text")
@@ -213,7 +217,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = WORDS, thresh
     classed = staged(spark, classed.select("shared", "rep_id", "copies", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "classed")
     ids = classed.groupBy("root").agg(F.min("rep_id").alias("class_id"))
     named = classed.join(ids, "root").selectExpr("shared", "class_id", "root", "links + copies - 1 as n_links")
-    out = signed.drop("bands").join(named, "shared", "left")
+    out = signed.drop("bands", "bytes").join(named, "shared", "left")
     return out.select(
         "doc_id", "key", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("root", "key").alias("root"), "shared"
     )

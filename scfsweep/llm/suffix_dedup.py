@@ -332,7 +332,7 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, k: int =
     if not 0 < k < length:
         raise ValueError("k must be below length")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = staged(spark, cells(spark, docs, repeated_grams(docs, length, k), length, k), "cells")
+    found = staged(spark, cells(spark, docs, repeated_grams(docs, length, k), length, k), "cells", compression="zstd")
     contents = found.filter("bytes is not null")
     crowds = contents.groupBy("gram").agg(F.count("*").alias("c")).filter(f"c > {hot}").select("gram")
     crowds = staged(spark, crowds, "crowds")
