@@ -39,7 +39,7 @@ def odd_rows():
 
 @pytest.fixture(scope="session")
 def odd(spark, odd_rows):
-    return spark.createDataFrame(odd_rows, DOCS).repartition(3).cache()
+    return spark.createDataFrame(odd_rows, DOCS).repartition(3)
 
 
 @pytest.fixture(scope="session")

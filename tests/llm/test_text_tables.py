@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from scfsweep.llm import mixing, queries, rules, sharding
+from scfsweep.llm.common import staged
 
 SF_DIR = os.environ.get("PIPELINE_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
@@ -23,7 +24,7 @@ def test_ledger(spark, odd, odd_rows):
 
 
 def test_policies_and_ablations(spark, odd, none):
-    ledger = rules.ledger(odd).cache()
+    ledger = rules.ledger(odd)
     rows = ledger.collect()
     for policy, names in rules.POLICIES.items():
         mask = rules.mask_of(names)
@@ -125,7 +126,7 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     before = docs
     for name, stage in corpus_pipeline.STAGES[:3]:
-        after = stage(spark, before, SF_DIR).cache()
+        after = staged(spark, stage(spark, before, SF_DIR), name)
         assert after.columns == docs.columns
         assert 0.5 * before.count() < after.count() <= before.count(), name
         assert after.exceptAll(before).count() == 0
