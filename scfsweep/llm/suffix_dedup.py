@@ -142,19 +142,20 @@ def cells(spark: SparkSession, docs: DataFrame, bitmap: np.ndarray, length: int,
             _, one = np.unique(content[ranked], return_index=True)
             chosen = np.zeros(len(row), bool)
             chosen[ranked[one]] = True
-            lb, rb = np.append(0, np.cumsum(ln))[:-1], np.append(0, np.cumsum(rn))[:-1]
-            size = np.where(chosen, ln + rn, 0)
             both = np.concatenate([left, right])
-            starts = np.column_stack([lb, rb + len(left)]).ravel()
-            sizes = np.column_stack([np.where(chosen, ln, 0), np.where(chosen, rn, 0)]).ravel()
-            flat, _ = _slices(both, starts, sizes)
-            binary = pa.compute.if_else(pa.array(chosen), _binary(flat, np.append(0, np.cumsum(size))), pa.scalar(None, pa.binary()))
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(keys[row]), ids.take(pa.array(row)), pa.array(a.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(u.astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(content.view(np.int64)), binary],
-                ["key", "doc_id", "a", "n", "u", "gram", "content", "bytes"],
-            )
-            for at in range(0, out.num_rows, 1 << 15):
-                yield out.slice(at, 1 << 15)
+            lb, rb = np.append(0, np.cumsum(ln))[:-1], np.append(0, np.cumsum(rn))[:-1] + len(left)
+            # the bytes are put together piece by piece: their places take eight times their room
+            for low in range(0, len(row), 1 << 14):
+                part = slice(low, low + (1 << 14))
+                taken = chosen[part]
+                sizes = np.column_stack([ln[part], rn[part]]) * taken[:, None]
+                flat, _ = _slices(both, np.column_stack([lb[part], rb[part]]).ravel(), sizes.ravel())
+                binary = pa.compute.if_else(pa.array(taken), _binary(flat, np.append(0, np.cumsum(sizes.sum(axis=1)))), pa.scalar(None, pa.binary()))
+                numbers = [x[part].astype(np.int32) for x in (a, n, u)] + [x[part].view(np.int64) for x in (gram, content)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[row[part]]), ids.take(pa.array(row[part])), *map(pa.array, numbers), binary],
+                    ["key", "doc_id", "a", "n", "u", "gram", "content", "bytes"],
+                )
 
     return docs.selectExpr("doc_id", "text", f"{KEY} as key").mapInArrow(run, _CELL)
 
@@ -332,7 +333,7 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, k: int =
     if not 0 < k < length:
         raise ValueError("k must be below length")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = staged(spark, cells(spark, docs, repeated_grams(docs, length, k), length, k), "cells", compression="zstd")
+    found = staged(spark, cells(spark, docs, repeated_grams(docs, length, k), length, k), "cells")
     contents = found.filter("bytes is not null")
     crowds = contents.groupBy("gram").agg(F.count("*").alias("c")).filter(f"c > {hot}").select("gram")
     crowds = staged(spark, crowds, "crowds")
