@@ -5,11 +5,12 @@ sums per window, lower-order continuation counts, context totals and backoff wei
 and groupings of these tables by hashed keys, so no task sees more than its share. Keys are the bytes
 themselves: nothing collides.
 
-Scores: byte windows are a small closed vocabulary, so the joined probability tables stay short. They
-hold ``MAX_WINDOWS`` entries per order at most (if there are more windows, the rarest counts are cut off
-first, as usual for such models), and every task gets them; see the README for why the windows of the
-documents themselves aren't shuffled. A document's score is its bits per byte, drawn towards the mean of
-its language while it is short; perplexity is 2 to that power.
+Scores: no window is left out of the model. Its tables stay sharded; the ``CACHED`` windows that trusted text
+holds most often, at most, go to every task, which sums what they give its documents. Every other window of
+a document becomes one row (document, window, count), the different ones of these rows are looked up in the
+tables of all orders by joins, and the results are joined back and summed. The cache changes what is
+shuffled, never a score. A document's score is its bits per byte, drawn towards the mean of its language while
+it is short; perplexity is 2 to that power.
 
 Thresholds: per language, from quantiles of the scores of trusted documents: the median plus ``SPREAD``
 times the distance to the upper quantile. A language with too few trusted documents uses the threshold of
@@ -24,18 +25,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scfsweep.llm.common import extended, rows_of, staged, table
+from scfsweep.llm.common import ROW, rows_of, staged, table
 from scfsweep.llm.words import Texts, mix, text_chunks
 
 ORDER = 5
-MAX_WINDOWS = 1 << 21
+CACHED = 1 << 20
 PRIOR_BYTES = 200
 QUANTILE = 0.99
 SPREAD = 3.0
@@ -100,113 +103,150 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     return [min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw)]
 
 
-def model(spark: SparkSession, counts: DataFrame, max_windows: int = MAX_WINDOWS) -> list[dict[str, np.ndarray]]:
-    """Per order from 1: sorted keys, their log2 probabilities, contexts (one byte shorter) and log2 backoff weights."""
-    full = staged(spark, counts, "windows")
-    by_count = full.groupBy(F.least("n", F.lit(255)).alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("n")).collect()  # 255 rows at most
-    least, rows = 1, 0
-    for r in by_count:
-        rows += r.rows
-        if rows > max_windows:
-            least = r.n + 1
-            break
-    tables = [full.filter(F.col("n") >= least)]
+@dataclass
+class Model:
+    """Per order from 1: the tables (key, p; the last also n) and (context, backoff); contexts are one byte shorter."""
+
+    grams: list[DataFrame]
+    contexts: list[DataFrame]
+
+
+def model(spark: SparkSession, counts: DataFrame) -> Model:
+    tables = [staged(spark, counts, "windows")]
     for order in range(ORDER - 1, 0, -1):
         tail = F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1))
         lower = tables[0].groupBy(tail.alias("key")).agg(F.count("*").alias("n"))
         tables.insert(0, staged(spark, lower, f"order{order}"))
-    out, below = [], None
+    out = Model([], [])
     for order, grams in enumerate(tables, 1):
         found = {r.n: r.rows for r in grams.filter("n <= 4").groupBy("n").agg(F.count("*").alias("rows")).collect()}
         d = discounts(*[found.get(k, 0) for k in (1, 2, 3, 4)])
         off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         grams = grams.withColumn("context", F.expr("shiftright(key, 8)")).withColumn("off", off)
         contexts = grams.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("backoff"))
+        contexts = staged(spark, contexts, f"contexts{order}")
         joined = grams.join(contexts, "context").withColumn("tail", F.col("key").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1)))
-        if below is None:
+        if order == 1:
             joined = joined.withColumn("lower", F.lit(1 / 256))
         else:
-            joined = joined.join(below.select(F.col("key").alias("tail"), F.col("p").alias("lower")), "tail")
-        below = staged(spark, joined.select("key", (F.expr("(n - off) / total") + F.col("backoff") * F.col("lower")).alias("p")), f"p{order}")
-        # max_windows rows at most, of two numbers
-        p, c = below.toArrow().sort_by("key"), contexts.select("context", "backoff").toArrow().sort_by("context")
-        out.append(
-            {"keys": p["key"].to_numpy().astype(np.uint64), "log_p": np.log2(p["p"].to_numpy()).astype(np.float32), "contexts": c["context"].to_numpy().astype(np.uint64), "log_b": np.log2(c["backoff"].to_numpy()).astype(np.float32)}
-        )
+            joined = joined.join(out.grams[-1].select(F.col("key").alias("tail"), F.col("p").alias("lower")), "tail")
+        p = (F.expr("(n - off) / total") + F.col("backoff") * F.col("lower")).alias("p")
+        out.grams.append(staged(spark, joined.select("key", p, *["n"] * (order == ORDER)), f"p{order}"))
+        out.contexts.append(contexts.select("context", "backoff"))
     return out
 
 
+def looked_up(keys: DataFrame, tables: Model) -> DataFrame:
+    """(key, log_p) for different windows, known or not, by joins with every order from 1."""
+    out = keys.select("key", F.lit(1 / 256).alias("p"))
+    for order, (grams, contexts) in enumerate(zip(tables.grams, tables.contexts), 1):
+        grams, contexts = grams.select(F.col("key").alias("part"), F.col("p").alias("own")), contexts.withColumnRenamed("context", "before")
+        # 65,536 rows at most
+        grams, contexts = F.broadcast(grams) if order <= 2 else grams, F.broadcast(contexts) if order <= 3 else contexts
+        out = out.withColumn("part", F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1))).withColumn("before", F.expr("shiftright(part, 8)"))
+        out = out.join(grams, "part", "left").join(contexts, "before", "left")
+        out = out.select("key", F.coalesce("own", F.coalesce("backoff", F.lit(1.0)) * F.col("p")).alias("p"))
+    return out.select("key", F.log2("p").alias("log_p"))
+
+
 class Scorer:
-    """log2 probabilities of windows; the commonest way, a known window, is one look into a hash table."""
+    """log2 probabilities of some windows, for trials from the driver."""
+
+    def __init__(self, tables: Model):
+        self.tables = tables
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        spark = self.tables.grams[0].sparkSession
+        distinct, which = np.unique(keys, return_inverse=True)
+        asked = spark.createDataFrame([(int(k),) for k in distinct], "key long")
+        return looked_up(asked, self.tables).toArrow().sort_by("key")["log_p"].to_numpy()[which]
+
+
+def commonest(tables: Model, most: int = CACHED) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and log2 probabilities of up to ``most`` windows: as many whole classes of counts as fit, from the top."""
+    level = F.expr("if(n < 4096, n, 4096 + length(bin(n)))")
+    levels = tables.grams[-1].groupBy(level.alias("level")).agg(F.count("*").alias("rows")).orderBy(F.desc("level")).collect()  # 4,159 rows at most
+    least, rows = None, 0
+    for r in levels:
+        rows += r.rows
+        if rows > most:
+            break
+        least = r.level
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    got = tables.grams[-1].filter(level >= least).select("key", F.log2("p").alias("log_p")).toArrow().sort_by("key")  # ``most`` rows at most
+    return got["key"].to_numpy().astype(np.uint64), got["log_p"].to_numpy()
+
+
+class Cache:
+    """Which windows are held, and their log2 probabilities; mostly one look into a hash table."""
 
-    def __init__(self, orders: list[dict[str, np.ndarray]]):
-        self.orders = orders
-        keys, log_p = orders[-1]["keys"], orders[-1]["log_p"]
+    def __init__(self, keys: np.ndarray, log_p: np.ndarray):
+        self.keys, self.log_p = keys, log_p
         self.bits = np.uint64(64 - max(16, math.ceil(math.log2(len(keys) + 1)) + 1))
         self.slots = np.full(1 << (64 - int(self.bits)), np.iinfo(np.uint64).max)
-        self.values = np.zeros(len(self.slots), np.float32)
+        self.values = np.zeros(len(self.slots))
         at = (mix(keys) >> self.bits).astype(np.int64)
-        self.slots[at], self.values[at] = keys, log_p  # a slot keeps one of its keys; the others are looked up by order
-
-    @staticmethod
-    def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(sorted_keys):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-        return sorted_keys[at] == keys, at
-
-    def by_order(self, keys: np.ndarray) -> np.ndarray:
-        """From the longest known suffix of each window, with the weights of the contexts that know no better."""
-        out = np.zeros(len(keys), np.float64)
-        left = np.arange(len(keys))
-        for order in range(ORDER, 0, -1):
-            tables, mask = self.orders[order - 1], np.uint64((1 << 8 * order) - 1)
-            hit, at = self._find(tables["keys"], keys[left] & mask)
-            out[left[hit]] += tables["log_p"][at[hit]]
-            left = left[~hit]
-            hit, at = self._find(tables["contexts"], (keys[left] & mask) >> np.uint64(8))
-            out[left[hit]] += tables["log_b"][at[hit]]
-        out[left] -= 8
-        return out
+        self.slots[at], self.values[at] = keys, log_p  # a slot keeps one of its keys; the others are searched for
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = (mix(keys) >> self.bits).astype(np.int64)
-        out = self.values[at].astype(np.float64)
-        rest = np.flatnonzero(self.slots[at] != keys)
-        if len(rest):
-            distinct, which = np.unique(keys[rest], return_inverse=True)
-            out[rest] = self.by_order(distinct)[which]
-        return out
+        held, out = self.slots[at] == keys, self.values[at]
+        rest = np.flatnonzero(~held)
+        if len(rest) and len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys[rest]), len(self.keys) - 1)
+            held[rest], out[rest] = self.keys[at] == keys[rest], self.log_p[at]
+        out[~held] = 0
+        return held, out
+
 
+_REST = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())]))
 
-def with_bits(spark: SparkSession, docs: DataFrame, orders: list[dict[str, np.ndarray]]) -> DataFrame:
-    """docs, with the bits that its text takes and the number of bytes (and ends) coded."""
-    shared = spark.sparkContext.broadcast(orders)
 
-    def make():
-        scorer = Scorer(shared.value)
+def with_bits(spark: SparkSession, docs: DataFrame, tables: Model, cached: int = CACHED) -> DataFrame:
+    """docs without text, with the bits that it takes and the number of bytes coded (without the end)."""
+    shared = spark.sparkContext.broadcast(commonest(tables, cached))
+    own = [f for f in docs.schema.fields if f.name != "text"]
+    new = [T.StructField(ROW, T.LongType()), T.StructField("held", T.DoubleType()), T.StructField("bytes", T.LongType()), T.StructField("rest", _REST)]
+    names, schema = [f.name for f in own], T.StructType(own + new)
 
-        def compute(batch):
-            bits, sizes = [], []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, context = Cache(*shared.value), TaskContext.get()
+        first = (context.partitionId() if context else 0) << 40
+        for batch in batches:
             for texts in text_chunks(batch.column("text")):
+                n = len(texts)
                 keys, bounds = windows(texts)
-                sums = np.append(0.0, np.cumsum(scorer(keys)))
-                bits.append(-np.diff(sums[bounds]))
-                sizes.append(np.diff(texts.offsets))
-            empty = np.zeros(0)
-            return [pa.array(np.concatenate(bits or [empty])), pa.array(np.concatenate(sizes or [empty]).astype(np.int64))]
-
-        return compute
-
-    return extended(docs, [("bits", T.DoubleType()), ("bytes", T.LongType())], make)
-
-
-def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+                held, log_p = cache(keys)
+                rest = np.flatnonzero(~held)
+                rows, left = np.repeat(np.arange(n), np.diff(bounds))[rest], keys[rest].astype(np.int64)
+                order = np.lexsort((left, rows))
+                rows, left = rows[order], left[order]
+                starts = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (left[1:] != left[:-1]))[: len(rows)])
+                counts = np.diff(np.append(starts, len(rows)))
+                pairs = pa.StructArray.from_arrays([pa.array(left[starts]), pa.array(counts.astype(np.int64))], ["key", "n"])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[starts], np.arange(n + 1)).astype(np.int32)), pairs)
+                # every text has an end, so no sum is empty; equal texts have equal sums wherever they stand
+                sums = np.add.reduceat(log_p, bounds[:-1])
+                part = batch.slice(texts.first, n).select(names)
+                numbers = pa.array(np.arange(first, first + n))
+                first += n
+                yield pa.RecordBatch.from_arrays([*part.columns, numbers, pa.array(sums), pa.array(np.diff(texts.offsets).astype(np.int64)), lists], schema.names)
+
+    coded = staged(spark, docs.mapInArrow(run, schema), "coded")
+    rest = coded.select(ROW, F.explode("rest").alias("w")).select(ROW, "w.key", "w.n")
+    found = staged(spark, looked_up(rest.select("key").distinct(), tables), "found")
+    sums = rest.join(found, "key").groupBy(ROW).agg(F.sum(F.col("n") * F.col("log_p")).alias("looked_up"))
+    joined = coded.drop("rest").join(sums, ROW, "left")
+    return joined.withColumn("bits", -F.col("held") - F.coalesce("looked_up", F.lit(0.0))).drop(ROW, "held", "looked_up")
+
+
+def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, cached: int = CACHED) -> DataFrame:
     """docs(doc_id, text, lang) and labels(doc_id, quality; 1 is trusted) -> doc_id, lang, bytes, score, perplexity, threshold, kept."""
     ids = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    orders = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
+    tables = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
     lang = "coalesce(concat('=', lang), '') as named"
-    scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang"), orders).drop("text").selectExpr("*", lang), "bits")
+    scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang"), tables, cached).selectExpr("*", lang), "bits")
     # a row per language: written, so that their size is known and documents aren't shuffled by language
     means = scored.groupBy("named").agg(F.coalesce(F.try_divide(F.sum("bits"), F.sum("bytes")), F.lit(8.0)).alias("mean"))
     means = staged(spark, means, "means")

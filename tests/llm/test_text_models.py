@@ -106,6 +106,27 @@ def test_model_against_plain_kneser_ney(spark):
     assert abs((2 ** score(every)).sum() - 1) < 1e-3
 
 
+def test_no_window_is_left_out(spark):
+    """Rare windows count however many there are: 2.9 million different ones, nearly all of them seen once."""
+    letters = np.random.default_rng(1).integers(48, 112, (300, 10_000)).astype(np.uint8)
+    texts = [row.tobytes().decode() for row in letters]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    score = kneser_ney.Scorer(kneser_ney.model(spark, kneser_ney.count_windows(docs)))
+    of = lambda grams: np.array([int.from_bytes(g.encode(), "big") for g in grams], np.uint64)
+    seen = [t[k : k + 5] for t in texts[:50] for k in (17, 4242)]
+    other = ["".join(reversed(g)) for g in seen]
+    assert np.median(score(of(seen))) > -4.2 and score(of(seen)).min() > -5.5
+    assert np.median(score(of(other))) < -5
+
+
+def test_scores_do_not_depend_on_what_is_cached(spark, odd, odd_rows):
+    labels = spark.createDataFrame([(1, 1, 0), (7, 1, 0)], "doc_id long, quality int, toxic int")
+    every, some, no = ({(r.doc_id, r.lang, r.bytes): r.score for r in kneser_ney.judge(spark, odd, labels, cached).collect()} for cached in (1 << 20, 150, 0))
+    assert every.keys() == some.keys() == no.keys() and len({r[0] for r in odd_rows}) == len({k[0] for k in every})
+    for key, score in every.items():
+        assert abs(some[key] - score) < 1e-9 and abs(no[key] - score) < 1e-9
+
+
 def test_quality_of_odd_rows(spark, odd, odd_rows, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (7, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     rows = kneser_ney.judge(spark, odd, labels).collect()
