@@ -162,6 +162,18 @@ def test_url_model_on_hosts_it_has_not_seen(spark):
     assert [r.verdict for r in got] == ["block", "block", "allow", "allow"]
 
 
+@needs_tables
+def test_url_model_has_not_learned_the_hosts_of_pages(spark):
+    """No host word of pages is in the labelled table; forms that aren't in it are mostly told apart."""
+    hosts = urls.host_and_path(spark.read.parquet(f"{SF_DIR}/pages.parquet").select("url")).select("host").distinct()
+    words = {w for r in hosts.collect() for w in r.host.split(".")[:-1]} - {"www", "example", ""}
+    assert not words & {*urls.BLOCKED, *urls.ALLOWED}
+    rows = [(1, "http://mega-jackpots.biz/a"), (2, "https://pokerbets.info/"), (3, "https://hotcamgirl.com/x"), (4, "http://townlibraries.org/"), (5, "https://gardening-tips.net/b"), (6, "http://historians.eu/c")]
+    weights = urls.train(spark, urls.labelled_urls(spark))
+    got = urls.judge(spark, spark.createDataFrame(rows, "page_id long, url string"), weights, rules=()).orderBy("page_id").collect()
+    assert sum(r.verdict == v for r, v in zip(got, ["block"] * 3 + ["allow"] * 3)) >= 5
+
+
 @given(st.integers(1, 10**30), st.data())
 @settings(max_examples=100, deadline=None)
 def test_permutation_and_back(size, data):
