@@ -27,6 +27,20 @@ def staged(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW_KEYS = ("__key1", "__key2")
+
+
+def with_row_keys(df: DataFrame, *columns: str) -> DataFrame:
+    """df with ROW_KEYS, 128 bits of hash of the columns; a null differs from every value."""
+    each = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return df.withColumns({key: F.xxhash64(F.lit(k), *each) for k, key in enumerate(ROW_KEYS)})
+
+
+def without(df: DataFrame, bad: DataFrame) -> DataFrame:
+    """df's rows whose ROW_KEYS aren't in bad, without ROW_KEYS."""
+    return df.join(bad.select(*ROW_KEYS).distinct(), list(ROW_KEYS), "left_anti").drop(*ROW_KEYS)
+
+
 SLOTS = 1 << 22
 MAX_KEYS = 1 << 20
 

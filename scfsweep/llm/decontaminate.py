@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scfsweep.llm.common import ROW, extended, staged, table
+from scfsweep.llm.common import ROW, ROW_KEYS, extended, staged, table, with_row_keys, without
 from scfsweep.llm.words import ALNUM, LOWER, Words, find_words, ngrams, text_chunks
 
 SPAN = 10
@@ -131,10 +131,11 @@ def _equal_ahead(ours: str, theirs: str) -> str:
     )
 
 
-def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
+def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = K, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_hit, items: array<string>) per row of docs(doc_id, text), against items(item_id, text).
 
     A word is hit when it lies in ``span`` words in a row that an item has too, or in a whole shorter item.
+    docs' columns ``keep`` stay.
     """
     if not 0 < k <= span:
         raise ValueError("k must lie between 1 and span")
@@ -145,7 +146,7 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span:
     slots[taken.to_numpy()] = True
     lengths = sorted(r.n for r in marks.filter("h.n > 0").select("h.n").distinct().collect())
     shared = spark.sparkContext.broadcast(slots)
-    found = staged(spark, _with_hits(docs.select("doc_id", "text"), span, k, lengths, shared, True).drop("text"), "fingerprints")
+    found = staged(spark, _with_hits(docs.select("doc_id", "text", *keep), span, k, lengths, shared, True).drop("text"), "fingerprints")
     ours = found.select(ROW, F.explode("hits").alias("d"))
     both = ours.join(marks, (F.col("d.n") == F.col("h.n")) & (F.col("d.fp") == F.col("h.fp")) & (F.col("d.mid") == F.col("h.mid")))
     spread = both.selectExpr(
@@ -170,7 +171,7 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span:
     )
     per_doc = per_doc.select(ROW, n_hit.alias("n_hit"), F.transform("ids", lambda i: i.cast("string")).alias("items"))
     return found.drop("hits").join(per_doc, ROW, "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ROW
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ROW, *keep
     )
 
 
@@ -189,5 +190,6 @@ def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without the rows that hold a benchmark span; all columns stay."""
-    bad = contamination(spark, docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    keyed = with_row_keys(docs, "text")  # which alone decides
+    bad = contamination(spark, keyed, table(spark, sf_dir, "benchmark"), keep=ROW_KEYS).filter("n_hit > 0")
+    return without(keyed, bad)

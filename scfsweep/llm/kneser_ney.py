@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scfsweep.llm.common import ROW, rows_of, staged, table
+from scfsweep.llm.common import ROW, ROW_KEYS, rows_of, staged, table, with_row_keys, without
 from scfsweep.llm.words import Texts, mix, text_chunks
 
 ORDER = 5
@@ -241,12 +241,12 @@ def with_bits(spark: SparkSession, docs: DataFrame, tables: Model, cached: int =
     return joined.withColumn("bits", -F.col("held") - F.coalesce("looked_up", F.lit(0.0))).drop(ROW, "held", "looked_up")
 
 
-def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, cached: int = CACHED) -> DataFrame:
-    """docs(doc_id, text, lang) and labels(doc_id, quality; 1 is trusted) -> doc_id, lang, bytes, score, perplexity, threshold, kept."""
+def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, cached: int = CACHED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """docs(doc_id, text, lang) and labels(doc_id, quality; 1 is trusted) -> doc_id, lang, bytes, score, perplexity, threshold, kept, and docs' columns keep."""
     ids = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     tables = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
     lang = "coalesce(concat('=', lang), '') as named"
-    scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang"), tables, cached).selectExpr("*", lang), "bits")
+    scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang", *keep), tables, cached).selectExpr("*", lang), "bits")
     # a row per language: written, so that their size is known and documents aren't shuffled by language
     means = scored.groupBy("named").agg(F.coalesce(F.try_divide(F.sum("bits"), F.sum("bytes")), F.lit(8.0)).alias("mean"))
     means = staged(spark, means, "means")
@@ -262,7 +262,7 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, cached: int =
     limits = staged(spark, means.select("named").join(own, "named", "left").join(every), "limits")  # every is a single row
     judged = drawn.join(limits, "named").withColumn("threshold", F.coalesce("own", "every"))
     return judged.select(
-        "doc_id", "lang", "bytes", "score", F.pow(F.lit(2.0), "score").alias("perplexity"), "threshold", F.coalesce((F.col("bytes") == 0) | (F.col("score") <= F.col("threshold")), F.lit(True)).alias("kept")
+        "doc_id", "lang", "bytes", "score", F.pow(F.lit(2.0), "score").alias("perplexity"), "threshold", F.coalesce((F.col("bytes") == 0) | (F.col("score") <= F.col("threshold")), F.lit(True)).alias("kept"), *keep
     )
 
 
@@ -273,6 +273,6 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_unlikely(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without the rows that the classifier rejects; all columns stay."""
-    judged = judge(spark, docs, table(spark, sf_dir, "labels"))
-    bad = judged.filter("not kept").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    keyed = with_row_keys(docs, "text", "lang")  # which alone decide
+    bad = judge(spark, keyed, table(spark, sf_dir, "labels"), keep=ROW_KEYS).filter("not kept")
+    return without(keyed, bad)

@@ -137,6 +137,21 @@ def test_pipeline(spark):
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
 
 
+def test_clean_rows_stay_beside_bad_ones_with_their_id(spark, odd, tmp_path):
+    plain, junk = "the old stone bridge by the river near the town and the hills", "zq#x@ vv!kk~ jj^^ " * 40
+    question = "what is the name of the largest lake in the far north of the country"
+    spark.createDataFrame([(1, question)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(k, 1, 0) for k in range(100, 160)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    trusted = [(k, f"{plain} {'and the ' * (k % 7)}{plain[: k % 40]}", "en", "a", 0) for k in range(100, 160)]
+    clean = [(None, plain, "en", "a", 0), (7, plain + " too", "en", "a", 0), (7, None, "en", "a", 0)]
+    for stage, text in ((corpus_pipeline.STAGES[0][1], junk), (corpus_pipeline.STAGES[2][1], "so " + question)):
+        bad = [(None, text, "en", "a", 0), (7, text, "en", "b", 0)]
+        docs = spark.createDataFrame(trusted + clean + bad, odd.schema).repartition(3)
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        assert Counter(map(tuple, got.collect())) == Counter(trusted + clean)
+
+
 def test_each_operator_has_its_query():
     names = {n.split("_")[0] for n in queries.queries()}
     assert names == {f"op{k}" for k in range(1, 11)}
