@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scfsweep.llm import decontaminate, kneser_ney, mixing, near_duplicates, pseudonyms, rules, sharding, suffix_dedup, toxicity, urls
+from scfsweep.llm import decontaminate, kneser_ney, mixing, near_duplicates, pseudonyms, rules, sharding, signature_join, suffix_dedup, text_search, toxicity, urls, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def queries() -> dict[str, Query]:
         "op8_mixing": mixing.op8_mixing,
         "op9_url_filter": urls.op9_url_filter,
         "op10_sharding": sharding.op10_sharding,
+        "op11_signature_join": signature_join.op11_signature_join,
+        "op12_term_scan": text_search.op12_term_scan,
+        "op13_bounded_codes": vector_codes.op13_bounded_codes,
     }
 
 
@@ -77,5 +80,76 @@ SELECT *, failed & 3 <> 0 AS base_failed, failed & 31 = 0 AS kept FROM judged
 """
 
 
+_OP11 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+links AS (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS common FROM grams x JOIN grams y USING (g) WHERE x.r <> y.r GROUP BY ALL)
+  JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b WHERE 100 * common >= 80 * (p.n + q.n - common)
+), reach AS (
+  SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN docs d ON d.r = reach.b GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM docs LEFT JOIN sizes USING (r) JOIN least USING (r)
+"""
+
+_OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents
+), items AS (
+  SELECT row_number() OVER () AS i, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark
+), sums AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs WHERE len(w) > 0),
+tfs AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY ALL),
+asked AS (SELECT i, item_id, t, count(*) AS n FROM (SELECT i, item_id, unnest(w) AS t FROM items) GROUP BY ALL),
+dfs AS (SELECT t, count(*) AS df FROM tfs GROUP BY t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM dfs, sums),
+lengths AS (SELECT r, doc_id, 75 + (25 * len(w) * n_docs) // n_terms AS m FROM docs, sums WHERE len(w) > 0),
+scores AS (
+  SELECT i, item_id, doc_id, r, CAST(sum(n * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (t) JOIN weights USING (t) JOIN lengths USING (r) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS INT) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+def _op13() -> str:
+    """Rounds of assignment and update one after another; sums stay whole, as doubles hold them."""
+    assigned = """a{k} AS MATERIALIZED (
+      SELECT vec_id, p, q, CAST(least % 256 AS BIGINT) AS e, CAST(least // 256 AS BIGINT) AS d FROM (
+        SELECT vec_id, p, any_value(x.q) AS q, min(256 * CAST(x.s - 2 * list_inner_product(x.q, c.q) + list_inner_product(c.q, c.q) AS HUGEINT) + c.e) AS least
+        FROM parts x JOIN c{k} c USING (p) GROUP BY vec_id, p))"""
+    updated = """c{n} AS MATERIALIZED (
+      SELECT p, e, coalesce(m.q, c.q) AS q FROM c{k} c LEFT JOIN (
+        SELECT p, e, list(v ORDER BY i) AS q FROM (
+          SELECT p, e, i, floor(sum(v) / count(*)) AS v FROM (SELECT p, e, unnest(q) AS v, generate_subscripts(q, 1) AS i FROM a{k}) GROUP BY ALL
+        ) GROUP BY p, e) m USING (p, e))"""
+    rounds = ", ".join(x.format(k=k, n=k + 1) for k in range(4) for x in (assigned, updated))
+    return f"""
+    WITH kept AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+      SELECT *, list_inner_product(q, q) AS s FROM (
+        SELECT vec_id, CAST(p AS INT) AS p, list_slice(q, CAST(p * len(q) // 4 + 1 AS BIGINT), CAST((p + 1) * len(q) // 4 AS BIGINT)) AS q FROM kept, range(4) t(p))
+    ), c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, q FROM parts QUALIFY e < 256),
+    {rounds}, {assigned.format(k=4)},
+    coded AS (SELECT vec_id, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY vec_id),
+    labelled AS (SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id))
+    SELECT *, (SELECT sha256(string_agg(array_to_string(list_transform(q, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e)) FROM c4) AS codebooks_sha256
+    FROM labelled
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_winnowing": _OP3, "op7_rules": _OP7}
+    return {"op3_winnowing": _OP3, "op7_rules": _OP7, "op11_signature_join": _OP11, "op12_term_scan": _OP12, "op13_bounded_codes": _op13()}

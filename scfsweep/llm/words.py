@@ -145,6 +145,24 @@ def find_words(texts: Texts, letters: np.ndarray, lower: bool = False, stems: tu
     return Words(start, end, bounds, upto(end), tuple(upto(np.minimum(end, start + k)) for k in stems))
 
 
+def placed_hashes(texts: Texts, words: Words, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the words that no structure of theirs makes collide.
+
+    Each byte adds a random number of its own for its place in the word. A polynomial, as above, maps
+    some pairs of words to one value whatever its base (those built by the Thue-Morse rule), since its
+    modulus is a power of two.
+    """
+    data = LOWER[texts.data] if lower else texts.data
+    sizes = words.end - words.start
+    if not len(sizes):
+        return np.zeros(0, np.uint64)
+    first = np.append(0, np.cumsum(sizes))
+    at = np.arange(first[-1]) - np.repeat(first[:-1] - words.start, sizes)
+    codes = (at - np.repeat(words.start, sizes)) * 256 + data[at]
+    sums = np.append(np.uint64(0), np.cumsum(mix(mix((codes.astype(np.uint64) + np.uint64(1)) * _BASE))))
+    return mix(sums[first[1:]] - sums[first[:-1]] + sizes.astype(np.uint64) * _STEP)
+
+
 def ngrams(words: Words, n: int, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Word index and hash of each n-gram that lies in one row; ``gap`` words are left out after the first."""
     total = len(words.hashes)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -96,3 +97,68 @@ def links(docs, threshold=0.8):
         if doc is not None:
             least[root(k)] = min(least.get(root(k), doc), doc)
     return [(doc, least.get(root(k)), counts[k]) for k, (doc, _) in enumerate(docs)]
+
+
+def blank_components(docs, n=4, percent=80):
+    """doc rows (doc_id, text) -> rows (doc_id, set size, least doc_id reachable)."""
+    sets = []
+    for _, text in docs:
+        w = PRINTED.findall(lower(text))
+        sets.append({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    label = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both) and label[i] != label[j]:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    least = {}
+    for (doc, _), x in zip(docs, label):
+        if doc is not None:
+            least[x] = min(least.get(x, doc), doc)
+    return [(doc, len(s), least.get(x)) for (doc, _), s, x in zip(docs, sets, label)]
+
+
+def search(docs, items, top):
+    """Rows (item_id, rank, doc_id, score)."""
+    terms = [ALNUM.findall(lower(text)) for _, text in docs]
+    n_docs, total = sum(bool(t) for t in terms), sum(map(len, terms))
+    tfs = [Counter(t) for t in terms]
+    df = Counter(t for tf in tfs for t in tf)
+    out = []
+    for item, text in items:
+        found = []
+        for (doc, _), own, tf in zip(docs, terms, tfs):
+            m = 100 - 25 + (25 * len(own) * n_docs) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * tf[t]) // (1000 * tf[t] + 12 * m)) for t in ALNUM.findall(lower(text)) if tf[t]
+            )
+            if score > 0:
+                found.append((-score, doc is None, doc or 0, doc))
+        out += [(item, k + 1, doc, -s) for k, (s, _, _, doc) in enumerate(sorted(found, key=lambda x: x[:3])[:top])]
+    return out
+
+
+def codes(rows, width, parts=4, entries=256, rounds=4):
+    """Rows (vec_id, vector, label) -> rows (vec_id, label, codes, errors), and the final codebooks."""
+    kept = []
+    for vec, v, label in rows:
+        if v and len(v) == width and all(x is not None and math.isfinite(x) for x in v):
+            q = [math.floor(1024 * x) for x in v]
+            kept.append((vec, label, [q[p * width // parts : (p + 1) * width // parts] for p in range(parts)]))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, b"".join(x.to_bytes(4, "little", signed=True) for part in r[2] for x in part)))
+    books = [[r[2][p] for r in kept[:entries]] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), e) for e, c in enumerate(book))
+
+    for step in range(rounds + 1):
+        found = [[nearest(r[2][p], books[p]) for p in range(parts)] for r in kept]
+        if step == rounds:
+            break
+        for p in range(parts):
+            own = defaultdict(list)
+            for r, f in zip(kept, found):
+                own[f[p][1]].append(r[2][p])
+            books[p] = [[sum(c) // len(c) for c in zip(*own[e])] if own[e] else c for e, c in enumerate(books[p])]
+    return [(vec, label, tuple(e for _, e in f), tuple(d for d, _ in f)) for (vec, label, _), f in zip(kept, found)], books
