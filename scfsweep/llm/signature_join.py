@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from scfsweep.llm.common import ROW_KEYS, extended, staged, table, with_row_keys
 from scfsweep.llm.graph import components
-from scfsweep.llm.words import PRINTED, find_words, mix, ngrams, placed_hashes, text_chunks
+from scfsweep.llm.words import PRINTED, find_words, mix, ngrams, text_chunks
 
 WORDS = 4
 #: A pair is linked when 100 * intersection >= PERCENT * union
@@ -57,13 +57,12 @@ def least_matches(percent: int = PERCENT, coordinates: int = COORDINATES, recall
 def _sets(texts, n: int) -> list[np.ndarray]:
     """The sorted set of each row's shingle hashes."""
     words = find_words(texts, PRINTED, lower=True)
-    words.hashes = placed_hashes(texts, words, lower=True)
     at, hashes = ngrams(words, n)
-    bounds = np.searchsorted(at, words.bounds)
+    bounds, counts = np.searchsorted(at, words.bounds), words.counts
     out = []
     for row in range(len(texts)):
         a, b = bounds[row], bounds[row + 1]
-        if a == b and words.counts[row]:
+        if a == b and counts[row]:
             own = words.hashes[words.bounds[row] : words.bounds[row + 1]]
             out.append(mix(np.add.reduce(mix(own + np.arange(1, len(own) + 1, dtype=np.uint64)), keepdims=True) + np.uint64(len(own))))
         else:

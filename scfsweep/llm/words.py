@@ -1,8 +1,9 @@
 """Words and word n-grams of Arrow text columns as numpy arrays.
 
 Texts stay UTF-8 bytes. A word is a run of bytes of a class, so one pass over the bytes of many texts
-finds all of their words; prefix sums of a polynomial give every word a 64-bit hash without a Python
-loop over words. Work goes in chunks of about ``CHUNK_BYTES`` (a longer text is a chunk of its own), so
+finds all of their words; prefix sums give every word a 64-bit hash without a Python loop over words. Each
+byte adds a random number of its own for its place in the word: no structure of two words makes them
+collide, as it does under a polynomial modulo a power of two. Work goes in chunks of about ``CHUNK_BYTES`` (a longer text is a chunk of its own), so
 memory does not depend on the number of rows in a batch.
 """
 
@@ -17,7 +18,6 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -39,19 +39,9 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, for n positions at least."""
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+#: Random numbers of (place, byte) for the first places of a word
+_PLACES = 64
+_PLACED = mix(mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _BASE))
 
 
 @dataclass
@@ -138,33 +128,29 @@ def find_words(texts: Texts, letters: np.ndarray, lower: bool = False, stems: tu
     data = LOWER[texts.data] if lower else texts.data
     start, end = find_runs(letters[data], texts.offsets)
     bounds = np.searchsorted(start, texts.offsets)
-    power, inverse = _tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODES[data] * power[: len(data)], out=sums[1:])
-    upto = lambda end: mix((sums[end] - sums[start]) * inverse[start])
+    np.cumsum(_placed(data, start), out=sums[1:])
+    upto = lambda end: mix(sums[end] - sums[start] + (end - start).astype(np.uint64) * _STEP)
     return Words(start, end, bounds, upto(end), tuple(upto(np.minimum(end, start + k)) for k in stems))
 
 
-def placed_hashes(texts: Texts, words: Words, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of the words that no structure of theirs makes collide.
-
-    Each byte adds a random number of its own for its place in the word. A polynomial, as above, maps
-    some pairs of words to one value whatever its base (those built by the Thue-Morse rule), since its
-    modulus is a power of two.
-    """
-    data = LOWER[texts.data] if lower else texts.data
-    sizes = words.end - words.start
-    if not len(sizes):
-        return np.zeros(0, np.uint64)
-    first = np.append(0, np.cumsum(sizes))
-    at = np.arange(first[-1]) - np.repeat(first[:-1] - words.start, sizes)
-    codes = (at - np.repeat(words.start, sizes)) * 256 + data[at]
-    sums = np.append(np.uint64(0), np.cumsum(mix(mix((codes.astype(np.uint64) + np.uint64(1)) * _BASE))))
-    return mix(sums[first[1:]] - sums[first[:-1]] + sizes.astype(np.uint64) * _STEP)
+def _placed(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For every byte a random number of its own for its place in the word that starts last."""
+    if not len(start):
+        return np.zeros(len(data), np.uint64)
+    place = np.arange(len(data)) - np.repeat(np.append(0, start), np.diff(np.concatenate([[0], start, [len(data)]])))
+    codes = place * 256 + data
+    out = _PLACED[np.minimum(codes, len(_PLACED) - 1)]
+    far = np.flatnonzero(place >= _PLACES)
+    out[far] = mix(mix((codes[far].astype(np.uint64) + np.uint64(1)) * _BASE))
+    return out
 
 
 def ngrams(words: Words, n: int, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Word index and hash of each n-gram that lies in one row; ``gap`` words are left out after the first."""
+    """Word index and hash of each n-gram that lies in one row; ``gap`` words are left out after the first.
+
+    Every step mixes what came before, so the order of the words counts from the first one on.
+    """
     total = len(words.hashes)
     span = n + gap
     count = max(total - span + 1, 0)
@@ -172,7 +158,7 @@ def ngrams(words: Words, n: int, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     first = np.flatnonzero(np.arange(count) + span <= words.last[:count])
     hashed = words.hashes * _STEP
-    out = hashed[first]
+    out = mix(hashed[first])
     for k in range(1, n):
         out = (out + hashed[first + gap + k]) * _STEP
         out ^= out >> np.uint64(31)

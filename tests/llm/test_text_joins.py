@@ -68,16 +68,20 @@ def test_matches_keep_the_recall():
         assert below <= 1e-4 < below + math.comb(k, t) * p**t * (1 - p) ** (k - t)
 
 
-def test_placed_hashes_of_structured_words():
+def test_hashes_of_structured_words():
+    """Words of the Thue-Morse kind, far places, word order, and stems."""
+    import pyarrow as pa
+
     a, b = "a", "b"
     for _ in range(10):
         a, b = a + b, b + a
-    import pyarrow as pa
-
-    (texts,) = words.text_chunks(pa.array([f"{a} {b} {a}", "", "x"]))
-    found = words.find_words(texts, words.PRINTED)
-    hashes = words.placed_hashes(texts, found).tolist()
-    assert hashes[0] == hashes[2] != hashes[1] and len(set(hashes)) == 3
+    (texts,) = words.text_chunks(pa.array([f"{a} {b} {a}", "", "x", f"{a[:-1]}b", "of to the of", "to of the of"]))
+    found = words.find_words(texts, words.PRINTED, stems=(3,))
+    hashes = found.hashes.tolist()
+    assert hashes[0] == hashes[2] and len(set(hashes)) == 7
+    assert found.stems[0][0] == found.stems[0][2] == found.stems[0][4] != found.stems[0][1]
+    _, grams = words.ngrams(found, 4)
+    assert len(grams) == 2 == len(set(grams.tolist()))
 
 
 @pytest.fixture(scope="module")

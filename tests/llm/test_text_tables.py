@@ -16,7 +16,11 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tab
 
 
 def test_ledger(spark, odd, odd_rows):
-    more = [(50, "a b c d e " * 4, None, None, None), (51, "one line here\n \none line here\nother", None, None, None), (52, "# $ % é ñ\u00a0x\u2003y", None, None, None)]
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    more = [(53, f"{a}\n{b}\n{a}", None, None, None), (54, f"{a} 1 2 3 4 {b} 1 2 3 4", None, None, None), (55, "to the of in at x the to of in at", None, None, None)]
+    more += [(50, "a b c d e " * 4, None, None, None), (51, "one line here\n \none line here\nother", None, None, None), (52, "# $ % é ñ\u00a0x\u2003y", None, None, None)]
     rows = odd_rows + more
     table = spark.createDataFrame(rows, odd.schema).withColumnRenamed("n_chars", "n_words")
     got = Counter((r.doc_id, *(r[m] for m in rules.MEASURES)) for r in rules.ledger(table).collect())
