@@ -9,10 +9,11 @@
 * Collisions are counted over whole signatures, pairs with enough of them are retained, and their full
   shingle sets decide by whole numbers.
 * Merging skips what is settled. First each list's least member meets all others (as many pairs as
-  postings). What that links is one component, and lists within one component are skipped from then on. In
-  the others, members outside the list's largest component meet the rest, in groups of bounded size: first
-  each with the best partner in every other component, and then, after another merge, with all that are
-  still apart. No group returns pairs of one component, so N copies cost N pairs and not their square.
+  postings). What that links is one component, and lists within one component are skipped from then on. What
+  the other lists hold together is compared in groups of bounded size, only the members outside the largest
+  component with all others: collisions are counted, retained pairs settled on their full sets, those with
+  most collisions first, and pairs that others have connected by then are skipped. A group returns a spanning
+  forest, never its pairs.
 
 Texts without words have an empty set: they are linked with nothing and are their own component. Shorter
 texts than a shingle are one. Null texts are empty; null ids come last and name a component only where all
@@ -41,7 +42,9 @@ RECALL = 0.9999
 COORDINATES = 48
 SLOTS = 1 << 24
 #: Members on either side of a group
-LEFT, RIGHT = 512, 4096
+LEFT, RIGHT = 1024, 4096
+#: Shingles a member has about; longer ones count for several
+AVERAGE = 512
 
 
 def least_matches(percent: int = PERCENT, coordinates: int = COORDINATES, recall: float = RECALL) -> int:
@@ -145,63 +148,111 @@ def _linked(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, matches: int
     return both.filter(100 * common >= percent * (F.size("shingles_a") + F.size("shingles_b") - common)).select("a", "b")
 
 
-def apart(left: np.ndarray, right: np.ndarray, left_label: np.ndarray, right_label: np.ndarray, matches: int, best: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs in different components whose signatures collide often enough.
-
-    With ``best`` each left row keeps one partner in every component, the one with most collisions.
+def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, by products of 0/1 matrices."""
+    sizes = [len(s) for s in left + right]
+    _, ids, counts = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    several = counts[ids] > 1
+    _, ids = np.unique(ids[several], return_inverse=True)
+    order = np.argsort(ids, kind="stable")
+    ids, owner = ids[order], owner[several][order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    step = 1024
+    for low in range(0, int(ids.max(initial=-1)) + 1, step):
+        a, b = np.searchsorted(ids, [low, low + step])
+        part = np.zeros((len(sizes), step), np.float32)
+        part[owner[a:b], ids[a:b] - low] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out.astype(np.int64)
+
+
+def links_apart(tokens: np.ndarray, sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, matches: int, percent: int) -> list[tuple[int, int]]:
+    """Links between the left (side 0) and right rows of different components: a spanning forest of them.
+
+    Pairs with many collisions come first, and pairs that earlier ones have connected are skipped.
     """
-    counts = np.zeros((len(left), len(right)), np.int16)
-    for k in range(left.shape[1]):
-        counts += left[:, k, None] == right[None, :, k]
-    counts[left_label[:, None] == right_label[None, :]] = 0
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(left) or not len(right):
+        return []
+    counts = np.zeros((len(left), len(right)), np.uint8)
+    for k in range(tokens.shape[1]):
+        counts += tokens[left, k, None] == tokens[None, right, k]
+    counts[label[left][:, None] == label[right][None, :]] = 0
     i, j = np.nonzero(counts >= matches)
-    if best and len(i):
-        order = np.lexsort((j, -counts[i, j], right_label[j], i))
-        i, j = i[order], j[order]
-        first = np.append(True, (np.diff(i) != 0) | (np.diff(right_label[j]) != 0))
-        i, j = i[first], j[first]
-    return i, j
-
-
-def _unsettled(postings: DataFrame, labels: DataFrame, matches: int, best: bool, left: int, right: int) -> DataFrame:
-    """Candidate pairs (a, b) between components within a posting list; postings(token, rep, tokens)."""
-    rows = postings.join(labels.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    parts = rows.groupBy("token", "root").agg(F.count("*").alias("n"))
-    lists = parts.groupBy("token").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")).filter("most.n < n")
-    lists = lists.select("token", F.col("most.root").alias("main"), F.ceil((F.col("n") - F.col("most.n")) / left).cast("int").alias("lefts"), F.ceil(F.col("n") / right).cast("int").alias("rights"), "n")
+    order = np.argsort(-counts[i, j].astype(np.int16), kind="stable")
+    i, j = i[order], j[order]
+    reaches = lambda both, a, b: 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both)
+    if len(i) > 4 * (len(left) + len(right)):  # many pairs: all intersections at once
+        used_i, used_j = np.unique(i), np.unique(j)
+        common = _in_common([sets[k] for k in left[used_i]], [sets[k] for k in right[used_j]])
+        both = common[np.searchsorted(used_i, i), np.searchsorted(used_j, j)]
+        sizes = np.array([len(s) for s in sets])
+        stay = 100 * both >= percent * (sizes[left[i]] + sizes[right[j]] - both)
+        i, j, verified = i[stay], j[stay], True
+    else:
+        verified = False
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in parent:
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(left[i].tolist(), right[j].tolist()):
+        x, y = find(int(label[a])), find(int(label[b]))
+        if x != y and (verified or reaches(len(np.intersect1d(sets[a], sets[b], assume_unique=True)), a, b)):
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
+
+
+def _settled(spark: SparkSession, postings: DataFrame, prefixes: DataFrame, sets: DataFrame, labels: DataFrame, matches: int, percent: int, left: int, right: int) -> DataFrame:
+    """Links (a, b) between components within posting lists, as far as they connect more; postings(token, rep)."""
+    known = labels.select(F.col("node").alias("rep"), F.col("root").alias("label"))
+    rows = postings.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("rep").alias("b")).filter("low != high").select("token", "b")
+    # what unsettled lists hold together is compared once, whatever the number of its lists
+    near = components(spark, postings.join(mixed, "token").selectExpr("rep as a", "b").filter("a != b"))
+    members = near.select(F.col("node").alias("rep"), F.col("root").alias("g")).join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    members = staged(spark, members.join(prefixes.select("rep", "n_shingles"), "rep"), "members")
+    parts = members.groupBy("g", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    sums = parts.groupBy("g").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "label")).alias("most"))
+    load = lambda n, size, most: F.greatest(F.ceil(n / most), F.ceil(size / (most * AVERAGE)), F.lit(1)).cast("int")
+    groups = sums.select(
+        "g", F.col("most.label").alias("main"), "n", "size", load(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size"), left).alias("lefts"), load(F.col("n"), F.col("size"), right).alias("rights")
+    )
     small = (F.col("lefts") == 1) & (F.col("rights") == 1)
-    # small lists share groups of about ``right`` members; a large one is cut into (left block, right block)
-    load = lists.filter(small).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    groups = max(1, -(-load // right))
-    placed = rows.join(lists, "token").withColumn("outside", F.col("root") != F.col("main"))
+    # small ones share groups; a large one is cut into (left block, right block)
+    total = groups.filter(small).agg(load(F.sum("n"), F.sum("size"), right).alias("n")).first().n or 1
     own = lambda seed, n: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     as_right = F.transform(every("lefts"), lambda i: F.struct(i.alias("i"), own(2, "rights").alias("j"), F.lit(1).alias("side")))
     as_left = F.transform(every("rights"), lambda j: F.struct(own(1, "lefts").alias("i"), j.alias("j"), F.lit(0).alias("side")))
-    at = F.when(F.col("outside"), F.concat(as_left, as_right)).otherwise(as_right)
-    group = F.when(small, F.struct(F.lit(-1).cast("long").alias("g"), F.pmod(F.xxhash64("token"), F.lit(groups)).cast("int").alias("i"), F.lit(0).alias("j")))
-    dealt = placed.select("token", "rep", "root", "tokens", small.alias("small"), group.alias("shared"), F.explode(at).alias("at"))
-    dealt = dealt.select(
-        F.coalesce("shared.g", "token").alias("g"), F.coalesce("shared.i", "at.i").alias("i"), F.coalesce("shared.j", "at.j").alias("j"), "token", "rep", "root", "tokens", F.col("at.side").alias("side")
+    at = F.when(F.col("label") != F.col("main"), F.concat(as_left, as_right)).otherwise(as_right)
+    task = F.when(small, F.struct(F.lit(-1).cast("long").alias("c"), F.pmod(F.xxhash64("g"), F.lit(total)).cast("int").alias("i")))
+    placed = members.join(groups.select("g", "main", "lefts", "rights"), "g").select("rep", "g", "label", task.alias("task"), at.alias("at"))
+    full = placed.join(prefixes.select("rep", "tokens"), "rep").join(sets, "rep").withColumn("at", F.explode("at"))
+    dealt = full.select(
+        F.coalesce("task.c", "g").alias("c"), F.coalesce("task.i", "at.i").alias("i"), F.when(F.col("task").isNull(), F.col("at.j")).otherwise(0).alias("j"), "g", "rep", "label", "tokens", "shingles", F.col("at.side").alias("side")
     )
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        token, side, rep, root = (group.column(c).to_numpy() for c in ("token", "side", "rep", "root"))
-        own = np.array(group.column("tokens").combine_chunks().flatten()).reshape(len(rep), -1)
-        order = np.argsort(token, kind="stable")
-        cuts = np.flatnonzero(np.diff(token[order])) + 1
+        of, side, rep, label = (group.column(c).to_numpy() for c in ("g", "side", "rep", "label"))
+        tokens = group.column("tokens").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+        lists = group.column("shingles").combine_chunks()
+        bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        sets = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        order = np.argsort(of, kind="stable")
         found = []
-        for rows in np.split(order, cuts):
-            a, b = rows[side[rows] == 0], rows[side[rows] == 1]
-            if len(a) and len(b):
-                i, j = apart(own[a], own[b], root[a], root[b], matches, best)
-                found.append(np.column_stack([rep[a[i]], rep[b[j]]]))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        for rows in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            found += [(rep[rows[a]], rep[rows[b]]) for a, b in links_apart(tokens[rows], [sets[k] for k in rows], label[rows], side[rows], matches, percent)]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return dealt.groupBy("g", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.groupBy("c", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_components(
@@ -211,9 +262,9 @@ def near_components(
     matches = least_matches(percent, coordinates, recall)
     signed = staged(spark, signatures(docs, n, coordinates), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", *ROW_KEYS))
-    reps = signed.filter("shared is not null").groupBy("shared").agg(first.alias("one"), F.first("tokens").alias("tokens"))
+    reps = signed.filter("shared is not null").groupBy("shared").agg(first.alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
     # written with its numbers, which then hold for good
-    reps = staged(spark, reps.select("shared", "one.*", "tokens").drop("z").withColumn("rep", F.monotonically_increasing_id()), "reps")
+    reps = staged(spark, reps.select("shared", "one.*", "n_shingles", "tokens").drop("z").withColumn("rep", F.monotonically_increasing_id()), "reps")
     posts = reps.select("rep", F.explode("tokens").alias("token"))
     counts = posts.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     common = posts.join(counts, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("order"))
@@ -227,12 +278,8 @@ def near_components(
     stars = postings.join(pivots, "token").filter("rep != b").select(F.col("rep").alias("a"), "b").distinct()
     links = staged(spark, _linked(stars, prefixes, sets, matches, percent), "links")
     labels = components(spark, links)
-    for best in (True, False):
-        pairs = _unsettled(postings.join(prefixes.select("rep", "tokens"), "rep"), labels, matches, best, left, right)
-        more = staged(spark, _linked(pairs, prefixes, sets, matches, percent), "links")
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = components(spark, links)
+    more = staged(spark, _settled(spark, postings, prefixes, sets, labels, matches, percent, left, right), "links")
+    labels = components(spark, links.union(more))
     named = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("shared", "doc_id", F.coalesce("root", "rep").alias("root"))
     ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classed = named.join(ids, "root").select("shared", "component_id")
