@@ -57,6 +57,40 @@ def all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_results(table(spark, sf_dir, "lineitem"), None)
 
 
+# Lines of result files, some without their last field, some with a word for a number.
+LINE_FAULTS = {"short": "l_orderkey % 89 = 5", "worded": "l_orderkey % 97 = 3"}
+
+
+def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of both jobs' results, faults included."""
+    faults = [f"{test} as {name}" for name, test in LINE_FAULTS.items()]
+    rows = as_results(table(spark, sf_dir, "lineitem"), None, *faults)
+    spin = F.when(F.col("worded"), F.lit("two")).otherwise(F.col("spin").cast("string"))
+    fields = ["jobname", "channel_id", spin, "before_scf", "first_scf", "last_scf"]
+    line = F.concat_ws(", ", *fields, F.when(~F.col("short"), F.col("converged").cast("string")))
+    return rows.select(line.alias("value"))
+
+
+# Names of perturbed jobs as logs give them, with a U below zero and a fraction.
+SIGNED_NAMES = (r"^\./U_(\d+)_u/U_\d+_u_(\d+)/", r"U_-{0}.5_u_{1}/")
+
+
+def signed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of job u under names of one slash and a signed U."""
+    pattern, name = SIGNED_NAMES
+    return results(spark, sf_dir, "u").withColumn("jobname", F.regexp_replace("jobname", pattern, name.format("$1", "$2")))
+
+
+# Of these jobs one spin stands under another spelling of the job's path.
+SECOND_SPELLING = "spin = 2 and (contains(jobname, '_u_1/') or contains(jobname, '_u_2/'))"
+
+
+def respelled_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of job u, some of them named from another folder."""
+    name = F.when(F.expr(SECOND_SPELLING), F.concat(F.lit("b"), F.substr("jobname", F.lit(2)))).otherwise(F.col("jobname"))
+    return results(spark, sf_dir, "u").withColumn("jobname", name)
+
+
 def result_stream(spark: SparkSession, sf_dir: str, job: str | None) -> DataFrame:
     """The table's own path as a stream, be it a file or a folder of files.
 

@@ -11,7 +11,7 @@ from scfsweep.schema import check_job
 U_PATTERN = r"U_(\d+)"
 SIGNED_U_PATTERN = r"U_(-?\d+(?:\.\d+)?)"
 STEP_PATTERNS = {"u": r"u_(\d+)", "alpha": r"alpha_(\d+)"}
-PERTURBED_FOLDER_PATTERN = r"U_\d+_(u|alpha)_\d+/"
+PERTURBED_FOLDER_PATTERN = r"U_-?\d+(\.\d+)?_(u|alpha)_\d+/"
 PERTURBED_SLASHES = 3
 
 

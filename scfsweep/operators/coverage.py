@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scfsweep.functions import job_folder
@@ -52,6 +52,23 @@ def coverage(plan: DataFrame, results: DataFrame, by: str = "name") -> DataFrame
     return _keyed(plan, by).join(job_states(results, by), KEYS[by], "left").withColumn("status", status)
 
 
+def missing_ranges(covered: DataFrame, status: str = "missing") -> DataFrame:
+    """Steps without results as ranges: (run_id, job, u, first_k, last_k, n_steps), one row per gap.
+
+    Gaps and islands: steps that follow each other differ from their rank by the same number. Ranks are
+    taken within one U value of a run, whose steps a plan bounds, and only over the steps of that status.
+    """
+    sweep = ["run_id", "job", "u"]
+    steps = covered.filter(F.col("status") == status).select(*sweep, "k").distinct()
+    island = F.col("k") - F.row_number().over(Window.partitionBy(*sweep).orderBy("k"))
+    return (
+        steps.withColumn("_island", island)
+        .groupBy(*sweep, "_island")
+        .agg(F.min("k").alias("first_k"), F.max("k").alias("last_k"), F.count(F.lit(1)).alias("n_steps"))
+        .drop("_island")
+    )
+
+
 def coverage_summary(covered: DataFrame) -> DataFrame:
     """Jobs per run, job type and status."""
     return covered.groupBy("run_id", "job", "status").agg(F.count(F.lit(1)).alias("n_jobs"))

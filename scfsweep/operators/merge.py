@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scfsweep.functions import seed_of
+from scfsweep.functions import job_folder, seed_of
+from scfsweep.functions.exact import exact_mean
 from scfsweep.operators.numbering import number_in_block, rows_before
 from scfsweep.operators.views import MEAN_KEYS, channels, with_channel
 from scfsweep.schema import perturbation_column, response_column
@@ -13,9 +14,13 @@ from scfsweep.schema import perturbation_column, response_column
 # 2**BLOCK_BITS steps share a numbering block in merge_by_position, which bounds what one task sorts.
 BLOCK_BITS = 10
 CHANNEL = ["run_id", "job", "channel_id"]
+JOB_KEYS = ["run_id", "channel_id", "u", "k", "seed"]
 BLOCK = ["_u", "_block"]
-# U as a job's own folder spells it.
-WRITTEN_U_PATTERN = r"U_([^_/]*)_[a-z]+(?:_[0-9]+)?/[^/]*$"
+
+
+def _written_u(jobname: Column) -> Column:
+    """U as the job's own folder spells it, which is the folder's second part."""
+    return F.substring_index(F.substring_index(job_folder(jobname), "_", 2), "_", -1)
 
 
 def channel_pairs(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
@@ -153,13 +158,13 @@ def merge_by_key(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     Equals :func:`merge_by_position` when both sweeps are complete, and needs no ordering at all. Both
     sides are one union that is summed up per key, so nothing can fan out: U_0.5 and U_0.25 stay apart
     although both read as u = 0, and a job that stands in the rows twice, in two spellings, is one row
-    (of differing responses the larger).
+    (of differing responses the larger). :func:`repeated_responses` lists what such rows held.
     """
-    keys = ["run_id", "channel_id", "u", "k", "seed", "_written"]
+    keys = [*JOB_KEYS, "_written"]
     sides = [
         with_channel(rows)
         .withColumn("seed", seed_of(F.col("jobname")))
-        .withColumn("_written", F.regexp_extract("jobname", WRITTEN_U_PATTERN, 1))
+        .withColumn("_written", _written_u(F.col("jobname")))
         .select(*keys, "pert", "n1_nf", F.lit(job).alias("job"))
         for job, rows in (("u", rows_u), ("alpha", rows_alpha))
     ]
@@ -172,8 +177,22 @@ def merge_by_key(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     return merged.agg(*columns).drop("_written")
 
 
+def repeated_responses(rows: DataFrame) -> DataFrame:
+    """Every response of the jobs that :func:`merge_by_key` takes for one: (JOB_KEYS, jobname, pert, n1_nf, spellings).
+
+    A job found under several names, such as the name a result table gives it and the one re-read from
+    its log, has a response for each. Names are counted first, so only the jobs concerned are joined.
+    """
+    named = with_channel(rows).withColumn("seed", seed_of(F.col("jobname"))).withColumn("_written", _written_u(F.col("jobname")))
+    keys = [*JOB_KEYS, "_written"]
+    several = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("spellings")).filter("spellings > 1")
+    other = several.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "spellings")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return named.join(other, same).select(*JOB_KEYS, "jobname", "pert", "n1_nf", "spellings")
+
+
 def merged_mean(merged: DataFrame) -> DataFrame:
-    """Mean of both responses per (run, channel, u) of merged rows."""
+    """Mean of both responses per (run, channel, u) of merged rows, the same to the last bit in every run."""
     return merged.groupBy(*MEAN_KEYS).agg(
-        *[F.avg(response_column(job)).alias(response_column(job)) for job in ("u", "alpha")]
+        *[exact_mean(F.col(response_column(job))).alias(response_column(job)) for job in ("u", "alpha")]
     )

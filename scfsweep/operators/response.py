@@ -131,10 +131,19 @@ def response_rows(
     signed_u: bool = False,
 ) -> DataFrame:
     """One row per (run, perturbed job, channel), job name and step kept for later merging."""
+    sums = job_sums(results, perturbed_by=perturbed_by, converged_only=converged_only, dedupe=dedupe)
+    return sum_responses(sums, job, step, alpha_includes_u=alpha_includes_u, signed_u=signed_u)
+
+
+def job_sums(results: DataFrame, *, perturbed_by: str = "depth", converged_only: bool = False, dedupe: bool = False) -> DataFrame:
+    """Spin sums of the rows that :func:`response_rows` selects."""
     rows = drop_repeats(results) if dedupe else results
-    selected = select_results(rows, perturbed_by=perturbed_by, converged_only=converged_only)
-    diffs = differences(spin_sums(selected), job, signed_u=signed_u)
-    return slopes(diffs, job, step, alpha_includes_u=alpha_includes_u)
+    return spin_sums(select_results(rows, perturbed_by=perturbed_by, converged_only=converged_only))
+
+
+def sum_responses(sums: DataFrame, job: str, step: float | DataFrame, *, alpha_includes_u: bool = True, signed_u: bool = False) -> DataFrame:
+    """Responses of spin sums."""
+    return slopes(differences(sums, job, signed_u=signed_u), job, step, alpha_includes_u=alpha_includes_u)
 
 
 def total_view(rows: DataFrame) -> DataFrame:

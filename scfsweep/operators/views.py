@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scfsweep.functions.exact import exact_mean
 from scfsweep.schema import check_job, perturbation_column, response_column
 
 MEAN_KEYS = ("run_id", "channel_id", "u")
@@ -37,6 +38,6 @@ def channels(rows: DataFrame) -> DataFrame:
 
 
 def mean_view(rows: DataFrame, job: str) -> DataFrame:
-    """Mean response per (run, channel, u) of one job."""
-    mean = F.avg("n1_nf").alias(response_column(check_job(job)))
+    """Mean response per (run, channel, u) of one job, the same to the last bit in every run."""
+    mean = exact_mean(F.col("n1_nf")).alias(response_column(check_job(job)))
     return with_channel(rows).groupBy(*MEAN_KEYS).agg(mean)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scfsweep.operators.merge import merge_by_key, merge_by_position, merged_mean
 from scfsweep.operators.pairing import increments, pair_runs, relabelled
-from scfsweep.operators.response import response_rows
+from scfsweep.operators.response import job_sums, response_rows, sum_responses
 from scfsweep.operators.views import mean_view
 from scfsweep.schema import check_job
 from scfsweep.sources import parse_folders, read_run_results, run_folders
@@ -47,13 +47,18 @@ def analyze_single(results: DataFrame, job: str, step: float, **options) -> Anal
 def analyze_pairs(results_u: DataFrame, results_alpha: DataFrame, pairs: DataFrame, *, align: str = "position", **options) -> Analysis:
     """Both jobs of runs that lie in folders of their own, paired by :func:`pair_runs`.
 
-    Both sides come under the U folder's name, each pair with its own perturbation increment.
+    Both sides come under the U folder's name, each pair with its own perturbation increment. Rows are
+    summed before they are renamed, so the join moves one row per (folder, job, channel), and an alpha
+    folder that serves several U folders is summed once.
     """
     if align not in _MERGES:
         raise ValueError(f"align must be one of {tuple(_MERGES)}, not {align!r}")
     steps = increments(pairs)
     tables = {"u": results_u, "alpha": results_alpha}
-    rows = {job: response_rows(relabelled(table, pairs, job), job, steps, **options) for job, table in tables.items()}
+    late = {k: options.pop(k) for k in ("alpha_includes_u", "signed_u") if k in options}
+    rows = {
+        job: sum_responses(relabelled(job_sums(table, **options), pairs, job), job, steps, **late) for job, table in tables.items()
+    }
     return Analysis("both", rows, merged_mean(_MERGES[align](rows["u"], rows["alpha"])))
 
 

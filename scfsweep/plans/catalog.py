@@ -14,6 +14,7 @@ from scfsweep.operators import response as R
 from scfsweep.operators import views as V
 from scfsweep.plans.analyze import analyze, analyze_pairs, analyze_single
 from scfsweep.plans.export import append_results, export_analysis, reset_results, write_total_view
+from scfsweep.plans.commits import append_once, read_committed, start_table
 from scfsweep.scratch import scratch_folder
 from scfsweep.schema import RESULT_COLUMNS, RESULT_HEADER, export_names
 from scfsweep.sources import (
@@ -23,24 +24,29 @@ from scfsweep.sources import (
     log_lines,
     param_settings,
     parse_folders,
+    quarantine,
     read_results,
+    sort_lines,
     tag_lines,
 )
-from scfsweep.streaming import append_stream, latest, read_result_stream, running_rows, running_spin_sums, running_spins
+from scfsweep.streaming import (
+    append_stream,
+    latest,
+    log_picks_so_far,
+    means_so_far,
+    read_result_stream,
+    running_log_picks,
+    running_mean_differences,
+    running_rows,
+    running_spin_sums,
+    running_spins,
+    snapshot_log_picks,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STEP = 0.05
 ENERGY_TOL = "1e-5"
-MEAN_DIGITS = 9
-
-
-def _rounded(table: DataFrame) -> DataFrame:
-    """Averages rounded where their last bits depend on the order of addition."""
-    columns = [
-        F.round(c, MEAN_DIGITS).alias(c) if c.startswith("n1_nf") else F.col(c) for c in table.columns
-    ]
-    return table.select(*columns)
 
 
 def _rows(spark: SparkSession, sf: str, job: str, **options) -> DataFrame:
@@ -58,7 +64,7 @@ def _merged_means(spark: SparkSession, sf: str, align: str = "position") -> Data
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Means of both responses per run, channel and U."""
-    return _rounded(_merged_means(spark, sf))
+    return _merged_means(spark, sf)
 
 
 # Response ---------------------------------------------------------------------------------------
@@ -74,7 +80,7 @@ def _result_queries() -> dict[str, Query]:
     def paired(spark, sf):
         results = [A.paired_results(spark, sf, job) for job in ("u", "alpha")]
         folders = results[0].select(F.col("run_id").alias("folder")).union(results[1].select("run_id")).distinct()
-        return _rounded(analyze_pairs(*results, pairing.pair_runs(parse_folders(folders)), align="key").means)
+        return analyze_pairs(*results, pairing.pair_runs(parse_folders(folders)), align="key").means
 
     def uneven(spark, sf):
         """Alpha rows without channel 4, and of every other run without channel 1."""
@@ -102,14 +108,18 @@ def _result_queries() -> dict[str, Query]:
         "channels": lambda s, d: V.channels(both_jobs(s, d)),
         "channel_view": lambda s, d: V.channel_view(_rows(s, d, "u"), "u", 2),
         "alpha_columns": lambda s, d: V.alpha_columns(V.channel_view(_rows(s, d, "alpha"), "alpha")),
-        "mean_u": lambda s, d: _rounded(analyze_single(A.results(s, d, "u"), "u", STEP).means),
-        "mean_alpha": lambda s, d: _rounded(analyze_single(A.results(s, d, "alpha"), "alpha", STEP).means),
+        "mean_u": lambda s, d: analyze_single(A.results(s, d, "u"), "u", STEP).means,
+        "mean_alpha": lambda s, d: analyze_single(A.results(s, d, "alpha"), "alpha", STEP).means,
         "channel_pairs": lambda s, d: M.channel_pairs(selected(s, d), selected(s, d, "alpha")),
         "merged_positional": lambda s, d: M.merge_by_position(*_both(s, d)),
         "merged_by_key": lambda s, d: M.merge_by_key(*_both(s, d)),
         "merged_mean": flagship,
-        "merged_mean_by_key": lambda s, d: _rounded(_merged_means(s, d, "key")),
+        "merged_mean_by_key": lambda s, d: _merged_means(s, d, "key"),
         "merged_fractional_u": lambda s, d: M.merge_by_key(fractional(s, d, "u"), fractional(s, d, "alpha")),
+        "folder_signed_u": lambda s, d: R.total_view(
+            R.response_rows(A.signed_results(s, d), "u", STEP, perturbed_by="folder", signed_u=True)
+        ),
+        "repeated_responses": lambda s, d: M.repeated_responses(R.response_rows(A.respelled_results(s, d), "u", STEP)),
         "unread_u_jobs": lambda s, d: R.unread_u(fractional(s, d, "u")),
         "cut_channels": uneven,
         "paired_means": paired,
@@ -182,6 +192,9 @@ def _sweep_queries() -> dict[str, Query]:
             coverage.done_jobs(_plan(s, d), A.all_results(s, d)), *keys, "jobname"
         ),
         "coverage": lambda s, d: _plain(covered(s, d), *keys, "jobname", "n_rows", "status"),
+        "missing_ranges": lambda s, d: _plain(
+            coverage.missing_ranges(covered(s, d)), "run_id", "job", "u", "first_k", "last_k", "n_steps"
+        ),
         "coverage_summary": lambda s, d: coverage.coverage_summary(covered(s, d)),
     }
 
@@ -210,11 +223,6 @@ def _log_queries() -> dict[str, Query]:
     def tagged(spark, sf, job=None):
         return tag_lines(A.log_text_lines(spark, sf, job))
 
-    def completed(spark, sf):
-        picked = logs.pick_observations(tagged(spark, sf))
-        counts = picked.groupBy("file").agg(F.max("species").alias("n_species"))
-        return logs.complete_series(picked, counts)
-
     def by_cells(spark, sf):
         """Species of a run's logs from the cell of the part that has the run's number."""
         named = F.concat(F.lit("run_"), F.regexp_extract("file", r"part_(\d+)", 1)).alias("run_id")
@@ -223,13 +231,13 @@ def _log_queries() -> dict[str, Query]:
 
     def from_logs(spark, sf):
         found = logs.log_results(logs.pick_observations(tagged(spark, sf, "alpha")))
-        return _rounded(V.mean_view(R.response_rows(found, "alpha", STEP), "alpha"))
+        return V.mean_view(R.response_rows(found, "alpha", STEP), "alpha")
 
     return {
         "log_observations": lambda s, d: logs.observations(tagged(s, d)),
         "log_converged": lambda s, d: logs.finished_logs(tagged(s, d)),
         "log_picks": lambda s, d: logs.pick_observations(tagged(s, d)),
-        "log_complete_series": completed,
+        "log_complete_series": lambda s, d: logs.complete_series_named(logs.pick_observations(tagged(s, d))),
         "log_rows_by_cell": by_cells,
         "log_results": lambda s, d: logs.log_results(logs.pick_observations(tagged(s, d))),
         "mean_from_logs": from_logs,
@@ -316,14 +324,12 @@ def _output_queries() -> dict[str, Query]:
         back = spark.read.option("header", True).schema(
             "run_id string, U int, `n1-nF_U` double, `n1-nF_Alpha` double, channel_id int"
         )
-        return _rounded(
-            back.csv(f"{folder}/channel_mean").select(
-                "run_id",
-                "channel_id",
-                F.col("U").alias("u"),
-                F.col("`n1-nF_U`").alias("n1_nf_u"),
-                F.col("`n1-nF_Alpha`").alias("n1_nf_alpha"),
-            )
+        return back.csv(f"{folder}/channel_mean").select(
+            "run_id",
+            "channel_id",
+            F.col("U").alias("u"),
+            F.col("`n1-nF_U`").alias("n1_nf_u"),
+            F.col("`n1-nF_Alpha`").alias("n1_nf_alpha"),
         )
 
     def single_files(spark, sf):
@@ -400,11 +406,53 @@ def _output_queries() -> dict[str, Query]:
         files, target, checkpoint = (scratch_folder(spark, n) for n in ("arriving", "stream", "checkpoint"))
         for turn in range(3):
             part = A.all_results(spark, sf).filter(F.col("spin") == turn if turn else F.lit(False))
-            append_results(part.coalesce(1), files)
-            stream = read_result_stream(spark, files, files_per_batch=1)
+            append_results(part, files)
+            stream = read_result_stream(spark, files)
             running_spin_sums(stream.withColumn("run_id", F.lit("all")), target, checkpoint)
         return latest(spark, target).drop("run_id")
 
+    def in_turns(rows: DataFrame, turn: F.Column, start: Callable) -> None:
+        """Rows that arrive in three turns; after each one start() takes the stream of them further."""
+        files = scratch_folder(rows.sparkSession, "arriving")
+        for k in range(3):
+            rows.filter(turn == k).write.mode("append").parquet(files)
+            start(rows.sparkSession.readStream.schema(rows.schema).parquet(files))
+
+    def mean_deltas(spark, sf):
+        """Means of rows of which every turn brings some of the same jobs."""
+        target, checkpoint = (scratch_folder(spark, n) for n in ("deltas", "checkpoint"))
+        turn = F.pmod(F.col("before_scf").cast("int"), F.lit(3))
+        in_turns(A.results(spark, sf, "alpha"), turn, lambda rows: running_mean_differences(rows, "alpha", STEP, target, checkpoint))
+        return means_so_far(spark, target, "alpha")
+
+    def picks_of_stream(spark, sf):
+        """Picks of logs whose blocks arrive in three turns, a snapshot taken after all."""
+        target, checkpoint, snapshots = (scratch_folder(spark, n) for n in ("picks", "checkpoint", "snapshots"))
+        lines = A.log_text_lines(spark, sf, None)
+        in_turns(lines, F.pmod("block", F.lit(3)), lambda rows: running_log_picks(rows, target, checkpoint))
+        snapshot_log_picks(spark, target, snapshots, first=True)
+        return log_picks_so_far(spark, target, snapshots)
+
+    def appended_once(spark, sf):
+        """Both jobs' results, each tried twice, and a batch that was written and never committed."""
+        root = scratch_folder(spark, "committed")
+        start_table(spark, root)
+        for batch in ("u", "alpha", "u", "alpha"):
+            append_once(A.results(spark, sf, batch), root, batch)
+        append_results(A.results(spark, sf, "u"), f"{root}/rows/folder=lost")
+        return read_committed(spark, root)
+
+    def lines_of_files(spark, sf):
+        root = scratch_folder(spark, "lines")
+        A.result_lines(spark, sf).write.text(root)
+        return sort_lines(spark, root)
+
+    def quarantined(spark, sf):
+        """Bad lines as they are kept: the job they name and the reason."""
+        path = scratch_folder(spark, "quarantine")
+        quarantine(lines_of_files(spark, sf).bad, path)
+        return spark.read.parquet(path).select(F.split("line", ",")[0].alias("jobname"), "reason")
+
     def streamed(run: Callable, job: str | None = None) -> Callable[[SparkSession, str], str]:
         def start(spark, sf):
             target = scratch_folder(spark, "stream")
@@ -415,9 +463,7 @@ def _output_queries() -> dict[str, Query]:
 
     append, sums, spins = streamed(append_stream), streamed(running_spin_sums), streamed(running_spins)
     return {
-        "chart_series_long": lambda s, d: series.series_long(means(s, d)).withColumn(
-            "y", F.round("y", MEAN_DIGITS)
-        ),
+        "chart_series_long": lambda s, d: series.series_long(means(s, d)),
         "chart_series_arrays": lambda s, d: _joined_text(series.series_arrays(means(s, d))),
         "write_read_merged": merged_files,
         "write_read_channels": single_files,
@@ -432,13 +478,18 @@ def _output_queries() -> dict[str, Query]:
         "stream_dedupe": lambda s, d: latest(
             s, spins(s, d), ("run_id", "jobname", "channel_id", "spin")
         ),
-        "stream_running_mean": lambda s, d: _rounded(
-            V.mean_view(running_rows(s, streamed(running_spin_sums, "alpha")(s, d), "alpha", STEP), "alpha")
+        "stream_running_mean": lambda s, d: V.mean_view(
+            running_rows(s, streamed(running_spin_sums, "alpha")(s, d), "alpha", STEP), "alpha"
         ),
         "stream_in_batches": in_batches,
-        "stream_deduped_mean": lambda s, d: _rounded(
-            V.mean_view(running_rows(s, streamed(running_spins, "alpha")(s, d), "alpha", STEP, deduped=True), "alpha")
+        "stream_deduped_mean": lambda s, d: V.mean_view(
+            running_rows(s, streamed(running_spins, "alpha")(s, d), "alpha", STEP, deduped=True), "alpha"
         ),
+        "stream_mean_deltas": mean_deltas,
+        "stream_log_picks": picks_of_stream,
+        "append_once": appended_once,
+        "sorted_lines": lambda s, d: lines_of_files(s, d).good.drop("run_id"),
+        "quarantined_lines": quarantined,
     }
 
 

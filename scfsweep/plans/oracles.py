@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scfsweep.adapters import ALPHA_FOLDER, PAIR_FOLDERS, RESULT_EXPRESSIONS, ROW_FILTERS, U_FOLDER, VARIED
+from scfsweep.adapters import ALPHA_FOLDER, LINE_FAULTS, PAIR_FOLDERS, RESULT_EXPRESSIONS, ROW_FILTERS, SECOND_SPELLING, SIGNED_NAMES, U_FOLDER, VARIED
 
 _JOBS = ("u", "alpha")
 
@@ -71,12 +71,25 @@ _BY_KEY = f"""{_BOTH},
                  a.pert AS u_pert, a.n1_nf AS n1_nf_u, b.pert AS alpha_pert, b.n1_nf AS n1_nf_alpha
                FROM rows_u a FULL JOIN rows_alpha b
                  ON a.run_id = b.run_id AND a.channel_id = b.channel_id AND a.u = b.u AND a.k = b.k)"""
-_MEANS = """SELECT run_id, channel_id, u, round(avg(n1_nf_u), 9) AS n1_nf_u, round(avg(n1_nf_alpha), 9) AS n1_nf_alpha
+
+
+def _exact(x: str) -> str:
+    """Mean by whole numbers of two sizes, which add up exactly; large values are added as they are."""
+    small, coarse = f"abs({x}) < 16777216", f"floor({x} * 1048576)"
+    fine = f"floor(({x} - {coarse} / 1048576) * 1125899906842624 + CAST(0.5 AS DOUBLE))"
+    whole = " + ".join(
+        f"CAST(coalesce(sum(CASE WHEN {small} THEN CAST({part} AS BIGINT) END), 0) AS DOUBLE) / {size}"
+        for part, size in ((coarse, 1048576), (fine, 1125899906842624))
+    )
+    return f"(CASE WHEN count({x}) > 0 THEN ({whole} + coalesce(sum(CASE WHEN NOT ({small}) THEN {x} END), 0)) / count({x}) END)"
+
+
+_MEANS = f"""SELECT run_id, channel_id, u, {_exact('n1_nf_u')} AS n1_nf_u, {_exact('n1_nf_alpha')} AS n1_nf_alpha
     FROM merged GROUP BY run_id, channel_id, u"""
 
 
 def _mean(job: str) -> str:
-    return f"""WITH {_chain(job)} SELECT run_id, channel_id, u, round(avg(n1_nf), 9) AS n1_nf_{job}
+    return f"""WITH {_chain(job)} SELECT run_id, channel_id, u, {_exact('n1_nf')} AS n1_nf_{job}
     FROM rows_{job} GROUP BY ALL"""
 
 
@@ -118,6 +131,15 @@ def _result_oracles() -> dict[str, str]:
               a.pert AS u_pert, a.n1_nf AS n1_nf_u, b.pert AS alpha_pert, b.n1_nf AS n1_nf_alpha
             FROM keyed_u a FULL JOIN keyed_alpha b
               ON a.run_id = b.run_id AND a.channel_id = b.channel_id AND a.u = b.u AND a.k = b.k AND a.w = b.w""",
+        "folder_signed_u": "WITH "
+        + _chain("u", where="regexp_matches(jobname, 'U_-?\\d+(\\.\\d+)?_(u|alpha)_\\d+/')")
+        .replace(f"({_results('u')})", f"(SELECT * REPLACE (regexp_replace(jobname, '{SIGNED_NAMES[0]}', '{SIGNED_NAMES[1].format(chr(92) + '1', chr(92) + '2')}') AS jobname) FROM ({_results('u')}))")
+        .replace("TRY_CAST(nullif(regexp_extract(jobname, 'U_(\\d+)', 1), '') AS INT)", "TRY_CAST(nullif(regexp_extract(jobname, 'U_(-?\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE)")
+        + f" SELECT {_TOTAL} FROM rows_u",
+        "repeated_responses": "WITH "
+        + _chain("u").replace(f"({_results('u')})", f"(SELECT * REPLACE (CASE WHEN {SECOND_SPELLING} THEN concat('b', substr(jobname, 2)) ELSE jobname END AS jobname) FROM ({_results('u')}))")
+        + """ SELECT run_id, channel_id, u, k, 'SLAB' AS seed, jobname, pert, n1_nf, spellings FROM
+            (SELECT *, count(*) OVER (PARTITION BY run_id, channel_id, u, k) AS spellings FROM rows_u) WHERE spellings > 1""",
         "unread_u_jobs": f"""WITH {_renamed('u')} SELECT DISTINCT run_id, jobname, {_WRITTEN} AS u_text
             FROM rows_u WHERE contains(jobname, 'U_0.')""",
         "cut_channels": f"""{_CHANNELS_LEFT} SELECT run_id, job, channel_id FROM ranked a WHERE NOT EXISTS
@@ -222,6 +244,9 @@ def _sweep_oracles() -> dict[str, str]:
         "pending_jobs": f"{_PLAN} SELECT {keys}, jobname FROM grid g ANTI JOIN done USING (run_id, jobname)",
         "done_jobs": f"{_PLAN} SELECT {keys}, jobname FROM grid g SEMI JOIN done USING (run_id, jobname)",
         "coverage": f"{_PLAN} SELECT {keys}, jobname, n_rows, status FROM covered",
+        "missing_ranges": f"""{_PLAN} SELECT run_id, job, u, min(k) AS first_k, max(k) AS last_k, count(*) AS n_steps FROM
+            (SELECT *, k - row_number() OVER (PARTITION BY run_id, job, u ORDER BY k) AS island FROM covered WHERE status = 'missing')
+            GROUP BY run_id, job, u, island""",
         "coverage_summary": f"{_PLAN} SELECT run_id, job, status, count(*) AS n_jobs FROM covered GROUP BY ALL",
     }
 
@@ -328,7 +353,7 @@ def _log_oracles() -> dict[str, str]:
             FROM pairs p LEFT JOIN picks USING (file, species, spin) JOIN files ON p.file = files.file""",
         "log_results": f"WITH {_log_chain(*_JOBS)} SELECT {found} FROM flagged",
         "mean_from_logs": f"""WITH {_log_chain('alpha')}, {from_logs}
-            SELECT run_id, channel_id, u, round(avg(n1_nf), 9) AS n1_nf_alpha FROM rows_alpha GROUP BY ALL""",
+            SELECT run_id, channel_id, u, {_exact('n1_nf')} AS n1_nf_alpha FROM rows_alpha GROUP BY ALL""",
     }
 
 
@@ -411,14 +436,13 @@ def _settings_oracles() -> dict[str, str]:
 
 
 def _output_oracles() -> dict[str, str]:
-    unpivoted = f"""{_BY_KEY}, means AS ({_MEANS.replace('round(avg(n1_nf_u), 9)', 'avg(n1_nf_u)')
-        .replace('round(avg(n1_nf_alpha), 9)', 'avg(n1_nf_alpha)')}),
+    unpivoted = f"""{_BY_KEY}, means AS ({_MEANS}),
         points AS (SELECT run_id, channel_id, 'n1-nF_U' AS series, u, n1_nf_u AS y FROM means
                    UNION ALL SELECT run_id, channel_id, 'n1-nF_Alpha', u, n1_nf_alpha FROM means)"""
     alpha = f"WITH {_chain('alpha')}"
     values = "jobname, channel_id, spin, before_scf, first_scf, last_scf, converged"
     return {
-        "chart_series_long": f"{unpivoted} SELECT run_id, channel_id, series, u, round(y, 9) AS y FROM points",
+        "chart_series_long": f"{unpivoted} SELECT run_id, channel_id, series, u, y FROM points",
         "chart_series_arrays": f"""{unpivoted} SELECT run_id, channel_id, series,
             string_agg(CAST(u AS VARCHAR), ',' ORDER BY u) AS xs,
             string_agg(coalesce(printf('%.4f', y), '-'), ',' ORDER BY u) AS ys
@@ -437,6 +461,16 @@ def _output_oracles() -> dict[str, str]:
         )
         + " SELECT run_id, species, spin, before_scf, first_scf, last_scf, n_obs, converged FROM flagged",
         "append_results": f"SELECT {values} FROM ({_results('u')} UNION ALL {_results('alpha')})",
+        "append_once": f"SELECT run_id, {values}, 'u' AS batch FROM ({_results('u')}) UNION ALL SELECT run_id, {values}, 'alpha' FROM ({_results('alpha')})",
+        "sorted_lines": " UNION ALL ".join(f"SELECT {values} FROM ({_results(job)} AND NOT ({LINE_FAULTS['short']} OR {LINE_FAULTS['worded']}))" for job in _JOBS),
+        "quarantined_lines": " UNION ALL ".join(
+            f"""SELECT {RESULT_EXPRESSIONS['jobname'].format(job=job)} AS jobname,
+            CASE WHEN {LINE_FAULTS['short']} THEN '6 fields' ELSE 'Spin: no integer' END AS reason
+            FROM lineitem WHERE {ROW_FILTERS[job]} AND ({LINE_FAULTS['short']} OR {LINE_FAULTS['worded']})"""
+            for job in _JOBS
+        ),
+        "stream_log_picks": _log_oracles()["log_picks"],
+        "stream_mean_deltas": _mean("alpha"),
         "stream_append": f"SELECT * FROM {_ALL}",
         "stream_spin_sums": f"{_BOTH} SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_u UNION ALL SELECT run_id, jobname, channel_id, s0, s1, sf FROM sums_alpha",
         "stream_in_batches": f"""SELECT jobname, channel_id, sum(before_scf) AS s0, sum(first_scf) AS s1, sum(last_scf) AS sf
