@@ -7,8 +7,12 @@ stay different, and the key's holder can undo it. Anything that only looks like
 
 A domain of ``size`` values is cut into a grid of two coordinates near its square root; Feistel rounds move
 one by a keyed hash of the other, and results outside the domain, or invalid ones, are permuted again
-(cycle walking), which keeps the mapping one to one. Dates are permuted by day within ``DATES``, and so stay linked across
-formats (month-first ones among themselves). Dates outside that range are left.
+(cycle walking), which keeps the mapping one to one. Where a value's look decides its domain (lower-case hex
+or not, base 32 or not, inside ``DATES`` or not), images keep that look, so no image falls into another
+domain and every pseudonym can be undone. Dates are permuted by day and so stay linked across formats
+(month-first ones among themselves); those of other years stay outside ``DATES``. Long secrets are permuted
+in pieces of ``PIECE`` characters, so equal pieces at equal places show. IPv6 addresses keep their spelling
+and are linked by it. The key is an argument, or the session's ``KEY_SETTING``.
 
 Null texts stay null, empty ones empty; repeated rows are treated alike. A value inside a longer word or
 number is not one.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Callable
@@ -33,6 +38,8 @@ from scfsweep.llm.words import text_chunks
 
 #: For trial runs only; a corpus needs a secret of its own.
 TRIAL_KEY = b"a key for trial runs only"
+KEY_SETTING = "scfsweep.pseudonym.key"
+PIECE = 64
 ROUNDS = 8
 DATES = (datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal())
 
@@ -82,6 +89,24 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+_HEX = "0123456789abcdef"
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE36 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Letters and digits are replaced by ones of their own class
+_CLASSES = (
+    "0123456789",
+    "abcdefghijklmnopqrstuvwxyz",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "".join(c for c in map(chr, range(0xC0, 0x100)) if c.islower()),
+    "".join(c for c in map(chr, range(0xC0, 0x100)) if c.isupper()),
+)
+_CLASS_OF = {c: letters for letters in _CLASSES for c in letters}
+
+
+def _all_in(letters: str) -> Callable[[str], bool]:
+    return lambda text: all(c in letters for c in text)
+
+
 def _fill(shape: str, digits: str) -> str:
     """shape with its digits replaced in order."""
     it = iter(digits)
@@ -111,12 +136,13 @@ class Pseudonyms:
             return None
         return f"{self._permute(kind, 10**n, int(digits), lambda v: valid(f'{v:0{n}d}')):0{n}d}"
 
-    def _letters(self, kind: str, text: str) -> str:
+    def _letters(self, kind: str, text: str, valid: Callable[[str], bool] | None = None) -> str:
         """Letters and digits permuted, each within its own class, everything else kept."""
-        classes = ["0123456789" if c in "0123456789" else "abcdefghijklmnopqrstuvwxyz" if "a" <= c <= "z" else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if "A" <= c <= "Z" else None for c in text]
-        return self._mixed(kind, text, classes)
+        parts = [text[k : k + PIECE] for k in range(0, len(text), PIECE)]
+        return "".join(self._mixed(f"{kind}:{k}" if k else kind, part, [_CLASS_OF.get(c) for c in part], valid) for k, part in enumerate(parts))
 
-    def _mixed(self, kind: str, text: str, classes: list[str | None]) -> str:
+    def _mixed(self, kind: str, text: str, classes: list[str | None], valid: Callable[[str], bool] | None = None) -> str:
+        """text, which is valid, with its characters permuted within the given classes; the image is valid, too."""
         value, size = 0, 1
         for c, letters in zip(text, classes):
             if letters:
@@ -124,13 +150,19 @@ class Pseudonyms:
         if size == 1:
             return text
         shape = "".join("." if x is None else str(len(x) % 10) for x in classes)
-        value, out = self._permute(f"{kind}:{shape}", size, value), []
-        for c, letters in zip(reversed(text), reversed(classes)):
-            if letters:
-                value, k = divmod(value, len(letters))
-                c = letters[k]
-            out.append(c)
-        return "".join(reversed(out))
+
+        def spelled(value: int) -> str:
+            out = []
+            for c, letters in zip(reversed(text), reversed(classes)):
+                if letters:
+                    value, k = divmod(value, len(letters))
+                    c = letters[k]
+                out.append(c)
+            return "".join(reversed(out))
+
+        # what is kept is part of the domain where it decides what is valid
+        kept = "".join("." if x else c for c, x in zip(text, classes)) if valid else ""
+        return spelled(self._permute(f"{kind}:{shape}:{kept}" if kept.strip(".") else f"{kind}:{shape}", size, value, (lambda v: valid(spelled(v))) if valid else lambda v: True))
 
     def email(self, m: re.Match) -> str:
         return self._letters(f"email:{m['domain'].lower()}", m["local"]) + "@" + m["domain"]
@@ -180,13 +212,12 @@ class Pseudonyms:
     def date(self, m: re.Match) -> str | None:
         text = m.group()
         a, b, c = (int(x) for x in re.split(r"[-/.]", text))
-        y, mo, d, order = (a, b, c, "ymd") if a > 31 else (c, b, a, "dmy") if b <= 12 else (c, a, b, "mdy")
+        y, mo, d, order = (a, b, c, "ymd") if text[4] in "-/." else (c, b, a, "dmy") if b <= 12 else (c, a, b, "mdy")
         try:
             day = datetime.date(y, mo, d).toordinal()
         except ValueError:
             return None
-        if not DATES[0] <= day < DATES[1]:
-            return None
+        usual = lambda day: DATES[0] <= day < DATES[1]
 
         def other(day: int) -> str:
             at = datetime.date.fromordinal(day)
@@ -195,20 +226,38 @@ class Pseudonyms:
             return sign.join(parts[k] for k in order)
 
         # month first is only read where the day is above 12, so it stays above
-        if order == "mdy":
-            return other(DATES[0] + self._permute("date:mdy", DATES[1] - DATES[0], day - DATES[0], lambda v: datetime.date.fromordinal(v + DATES[0]).day > 12))
-        return other(DATES[0] + self._permute("date", DATES[1] - DATES[0], day - DATES[0]))
+        late = lambda day: order != "mdy" or datetime.date.fromordinal(day).day > 12
+        kind = "date:mdy" if order == "mdy" else "date"
+        if usual(day):
+            return other(DATES[0] + self._permute(kind, DATES[1] - DATES[0], day - DATES[0], lambda v: late(v + DATES[0])))
+        return other(1 + self._permute(f"{kind}:far", datetime.date.max.toordinal(), day - 1, lambda v: not usual(v + 1) and late(v + 1)))
 
     def key_id(self, m: re.Match) -> str:
-        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-        letters = letters if all(c in letters for c in m["rest"]) else "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-        return m["prefix"] + self._mixed("key", m["rest"], [letters] * len(m["rest"]))
+        narrow = _all_in(_BASE32)
+        if narrow(m["rest"]):
+            return m["prefix"] + self._mixed("key", m["rest"], [_BASE32] * len(m["rest"]))
+        return m["prefix"] + self._mixed("key:wide", m["rest"], [_BASE36] * len(m["rest"]), lambda t: not narrow(t))
 
     def secret(self, m: re.Match) -> str:
-        value = m["value"]
-        hexed = all(c in "0123456789abcdef" for c in value)
-        new = self._mixed("hex", value, ["0123456789abcdef"] * len(value)) if hexed else self._letters("secret", value)
-        return m["before"] + new
+        """Pieces of lower-case hex stay hex, and others don't become it."""
+        hexed = _all_in(_HEX)
+        new = []
+        for k in range(0, len(m["value"]), PIECE):
+            part = m["value"][k : k + PIECE]
+            new.append(self._mixed("hex", part, [_HEX] * len(part)) if hexed(part) else self._letters("secret", part, lambda t: not hexed(t)))
+        return m["before"] + "".join(new)
+
+    def bearer(self, m: re.Match) -> str:
+        return m["before"] + self._letters("bearer", m["value"])
+
+    def ipv6(self, m: re.Match) -> str | None:
+        text = m.group()
+        try:
+            ipaddress.IPv6Address(text)
+        except ValueError:
+            return None
+        classes = ["0123456789" if c.isdigit() else "abcdef" if c in "abcdef" else "ABCDEF" if c in "ABCDEF" else None for c in text]
+        return self._mixed("ipv6", text, classes, lambda _: True)
 
     def _new(self, kind: str, m: re.Match) -> str | None:
         known = (kind, m.group())
@@ -236,21 +285,23 @@ class Pseudonyms:
 
 
 _PATTERNS = {
-    "email": r"(?<![\w.+-])(?P<local>[A-Za-z0-9][\w.+-]{0,63})@(?P<domain>[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24})(?![\w-])",
-    "secret": r"(?<!\w)(?P<before>(?i:token|secret|password|passwd|pwd|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_-]{8,200})(?![A-Za-z0-9+/_-])",
+    "email": r"(?<![\w.+\x80-\U0010FFFF-])(?P<local>[A-Za-z0-9\x80-\U0010FFFF][\w.+\x80-\U0010FFFF-]*+)@(?P<domain>[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24})(?![\w-])",
+    "secret": r"(?<!\w)(?P<before>(?i:token|secret|password|passwd|pwd|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>(?:[A-Za-z0-9+/_~-]|[!#$%&*=.](?=[A-Za-z0-9+/_~-])){8,}+)(?![A-Za-z0-9+/_-])",
+    "bearer": r"(?<!\w)(?P<before>(?i:bearer)\s{1,3})(?P<value>(?=[A-Za-z+/_.~-]*\d)(?:[A-Za-z0-9+/_~-]|\.(?=[A-Za-z0-9+/_~-])){8,}+)",
     "key_id": r"(?<!\w)(?P<prefix>AKIA|ASIA)(?P<rest>[0-9A-Z]{16})(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
+    "ipv6": r"(?<![\w:.])(?=[A-Fa-f:]*\d)(?=[^:\s]*:[^:\s]*:)[0-9A-Fa-f:]{3,39}(?![\w:.])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![\w/-]|\.\d)",
+    "date": r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?!(?!T\d)[\w/-]|\.\d)",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"(?<![\w-])(?P<country>\+?1[ .-]?)?(?P<national>\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}(?P<sign>[ .-])\d{3}(?P=sign)\d{4}|(?<=\+1)\d{10})(?![\w-])",
     "phone_abroad": r"(?<![\w-])(?P<code>\+(?!1[ (.-])\d{1,3})(?P<number>(?:[ .-]?\(?\d{2,5}\)?){2,5})(?![\w-])",
 }
 PATTERNS = {kind: re.compile(p, re.ASCII) for kind, p in _PATTERNS.items()}
 KINDS = tuple(PATTERNS)
-#: Where any of them may begin: a digit or plus, a key's or a secret's first letters, or an e-mail's local part
-ANY = re.compile(r"(?<![0-9A-Za-z_])(?:[+(]?\d|(?i:token|secret|passw|pwd|api_?key)|AKIA|ASIA|[A-Z]{2}\d{2}|[A-Za-z0-9][\w.+-]{0,63}@)", re.ASCII)
+#: Where any of them may begin: a digit or plus, a key's or a secret's first letters, hex before a colon, or an e-mail's local part
+ANY = re.compile(r"(?<![0-9A-Za-z_])(?:[+(]?\d|(?i:token|secret|passw|pwd|api_?key|bearer)|AKIA|ASIA|[A-Z]{2}\d{2}|[A-Fa-f][0-9A-Fa-f]{0,3}:|::|(?<![.+\x80-\U0010FFFF-])[A-Za-z0-9\x80-\U0010FFFF][\w.+\x80-\U0010FFFF-]*+@)", re.ASCII)
 
 _SIGNS = np.zeros(256, bool)
 _SIGNS[list(b"0123456789@=:")] = True
@@ -287,5 +338,6 @@ def pseudonymised(docs: DataFrame, key: bytes = TRIAL_KEY, undo: bool = False) -
 
 
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with pseudonyms for personal data and secrets."""
-    return pseudonymised(table(spark, sf_dir, "documents"))
+    """Every document with pseudonyms for personal data and secrets, under the session's key."""
+    key = spark.conf.get(KEY_SETTING, None)
+    return pseudonymised(table(spark, sf_dir, "documents"), key.encode() if key else TRIAL_KEY)
