@@ -1,10 +1,12 @@
 """Benchmark decontamination by winnowing.
 
-Every k words have a hash. Of each window of w neighbouring hashes the least is a fingerprint (the last
-one on a tie), so two texts that share w + k - 1 words in a row share a fingerprint at the same place of
+Every k words have a hash. Of each window of w neighbouring hashes the least is a fingerprint (on a tie the
+one that an earlier window has chosen, else the last), so two texts that share w + k - 1 words in a row share a fingerprint at the same place of
 that span. Fingerprints of both tables are joined; each pair is extended, word by word, as far as the
 texts agree within reach of the span, which settles it exactly. An item shorter than a span is a
-fingerprint itself and is looked for at its own length.
+fingerprint itself and is looked for at its own length. Fingerprints with equal words around them collapse
+before the join, in a document to one with its places and in the benchmark to one with its items, so a word
+repeated n times or a passage of n items costs no n * n rows.
 
 Documents far outnumber items, so a bitmap of the items' hashes (a fixed number of slots, whatever the
 size of the benchmark) drops most document fingerprints before the join. It only ever lets too many pass.
@@ -32,7 +34,7 @@ _HIT = T.StructType(
     [
         T.StructField("n", T.IntegerType()),
         T.StructField("fp", T.LongType()),
-        T.StructField("pos", T.IntegerType()),
+        T.StructField("pos", T.ArrayType(T.IntegerType())),
         T.StructField("mid", T.StringType()),
         T.StructField("left", T.ArrayType(T.StringType())),
         T.StructField("right", T.ArrayType(T.StringType())),
@@ -48,12 +50,17 @@ def winnow(words: Words, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     full = np.full(len(words.hashes), np.iinfo(np.uint64).max)
     full[first] = hashes
     begin = np.flatnonzero(np.arange(len(full)) + w + k - 1 <= words.last)
-    least, at = full[begin], begin.copy()
+    least, last = full[begin], begin.copy()
     for j in range(1, w):
         other = full[begin + j]
         lower = other <= least
-        at[lower] = begin[lower] + j
+        last[lower] = begin[lower] + j
         least = np.minimum(least, other)
+    # robust winnowing: of equal hashes keep the one chosen before as long as windows hold it
+    at = last.copy()
+    for i in np.flatnonzero((np.diff(last) != 0) & (np.diff(least.view(np.int64)) == 0) & (np.diff(begin) == 1)) + 1 if len(last) else ():
+        if at[i - 1] >= begin[i]:
+            at[i] = at[i - 1]
     chosen = np.zeros(len(full), bool)
     chosen[at] = True
     at = np.flatnonzero(chosen)
@@ -61,15 +68,20 @@ def winnow(words: Words, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hits(words: Words, text: bytes, rows: np.ndarray, n: int, at: np.ndarray, hashes: np.ndarray, k: int, reach: int) -> list:
-    """(row, hit) for each fingerprint: its words, and up to ``reach`` words on either side."""
-    out = []
+    """(row, hit) for each fingerprint: its words, up to ``reach`` words on either side, and all its places in the row."""
+    out, known = [], {}
     for p, h in zip(at.tolist(), hashes.view(np.int64).tolist()):
         row = int(rows[p])
         low, high = int(words.bounds[row]), int(words.bounds[row + 1])
         a, b = max(low, p - reach), min(high, p + k + reach)
         got = [text[s:e].decode("utf-8", "replace") for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist())]
         m = p - a
-        out.append((row, {"n": n, "fp": h, "pos": p - low, "mid": " ".join(got[m : m + k]), "left": got[:m][::-1], "right": got[m + k :]}))
+        same = (row, m, " ".join(got))
+        if same in known:
+            known[same].append(p - low)
+            continue
+        known[same] = [p - low]
+        out.append((row, {"n": n, "fp": h, "pos": known[same], "mid": " ".join(got[m : m + k]), "left": got[:m][::-1], "right": got[m + k :]}))
     return out
 
 
@@ -108,7 +120,7 @@ def _finder(span: int, k: int, lengths: list[int] | None, slots: np.ndarray | No
 
 def _with_hits(df: DataFrame, span: int, k: int, lengths, slots, number_rows: bool) -> DataFrame:
     hit_type = pa.list_(
-        pa.struct([("n", pa.int32()), ("fp", pa.int64()), ("pos", pa.int32()), ("mid", pa.string()), ("left", pa.list_(pa.string())), ("right", pa.list_(pa.string()))])
+        pa.struct([("n", pa.int32()), ("fp", pa.int64()), ("pos", pa.list_(pa.int32())), ("mid", pa.string()), ("left", pa.list_(pa.string())), ("right", pa.list_(pa.string()))])
     )
 
     def make():
@@ -139,19 +151,23 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span:
     """
     if not 0 < k <= span:
         raise ValueError("k must lie between 1 and span")
-    marks = staged(spark, _with_hits(items.select("item_id", "text"), span, k, None, None, False).select("item_id", F.explode("hits").alias("h")), "marks")
+    found = _with_hits(items.select("item_id", "text"), span, k, None, None, False).select("item_id", F.explode("hits").alias("h"))
+    context = ("n", "fp", "mid", "left", "right")
+    marks = staged(spark, with_row_keys(found.select("item_id", *[F.col(f"h.{c}").alias(c) for c in context]), *context), "marks")
+    contexts = marks.dropDuplicates(list(ROW_KEYS)).select(F.struct(*context).alias("h"), *[F.col(c).alias(f"of{c}") for c in ROW_KEYS])
     slots = np.zeros(SLOTS, bool)
     # SLOTS numbers at most, whatever the benchmark holds
-    taken = marks.selectExpr(f"cast(pmod(pmod(h.fp, {SLOTS}) , {SLOTS}) as int) as slot").distinct().toArrow()["slot"]
+    taken = marks.selectExpr(f"cast(pmod(fp, {SLOTS}) as int) as slot").distinct().toArrow()["slot"]
     slots[taken.to_numpy()] = True
-    lengths = sorted(r.n for r in marks.filter("h.n > 0").select("h.n").distinct().collect())
+    lengths = sorted(r.n for r in marks.filter("n > 0").select("n").distinct().collect())
     shared = spark.sparkContext.broadcast(slots)
     found = staged(spark, _with_hits(docs.select("doc_id", "text", *keep), span, k, lengths, shared, True).drop("text"), "fingerprints")
     ours = found.select(ROW, F.explode("hits").alias("d"))
-    both = ours.join(marks, (F.col("d.n") == F.col("h.n")) & (F.col("d.fp") == F.col("h.fp")) & (F.col("d.mid") == F.col("h.mid")))
+    both = ours.join(contexts, (F.col("d.n") == F.col("h.n")) & (F.col("d.fp") == F.col("h.fp")) & (F.col("d.mid") == F.col("h.mid")))
     spread = both.selectExpr(
         ROW,
-        "item_id",
+        *[f"of{c}" for c in ROW_KEYS],
+        "d.n as n",
         "d.pos as pos",
         f"if(d.n > 0, d.n, {k}) as size",
         f"{_equal_ahead('d.left', 'h.left')} as l",
@@ -159,17 +175,16 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, span:
         "d.n > 0 as whole",
     ).filter(F.col("whole") | (F.col("l") + F.col("r") + k >= span))
     # all spans at a place hold its fingerprint, so together they are one run of words
-    places = spread.groupBy(ROW, "pos").agg(
-        F.min(F.expr("pos - l")).alias("a"), F.max(F.expr("pos + size + r")).alias("b"), F.collect_set("item_id").alias("ids")
-    )
-    per_doc = places.groupBy(ROW).agg(
-        F.array_sort(F.collect_list(F.struct("a", "b"))).alias("runs"), F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids")
-    )
+    places = spread.groupBy(ROW, "n", "pos").agg(F.max("l").alias("l"), F.max(F.expr("size + r")).alias("r"))
+    runs = F.transform("pos", lambda p: F.struct((p - F.col("l")).alias("a"), (p + F.col("r")).alias("b")))
+    per_doc = places.groupBy(ROW).agg(F.array_sort(F.flatten(F.collect_list(runs))).alias("runs"))
+    named = spread.select(ROW, *[F.col(f"of{c}").alias(c) for c in ROW_KEYS]).distinct().join(marks.select("item_id", *ROW_KEYS).distinct(), list(ROW_KEYS))
+    ids = named.groupBy(ROW).agg(F.collect_set("item_id").alias("ids"))
     n_hit = F.expr(
         "aggregate(runs, named_struct('n', 0L, 'to', 0), (s, x) -> named_struct('n', s.n + greatest(0, x.b - greatest(x.a, s.to)), "
         "'to', greatest(s.to, x.b)), s -> s.n)"
     )
-    per_doc = per_doc.select(ROW, n_hit.alias("n_hit"), F.transform("ids", lambda i: i.cast("string")).alias("items"))
+    per_doc = per_doc.join(ids, ROW).select(ROW, n_hit.alias("n_hit"), F.transform("ids", lambda i: i.cast("string")).alias("items"))
     return found.drop("hits").join(per_doc, ROW, "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ROW, *keep
     )

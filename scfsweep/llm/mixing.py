@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scfsweep.llm.common import staged, table
+from scfsweep.llm.common import ROW_KEYS, staged, table, with_row_keys
 
 CAP = 2.0
 WEIGHTS = (5, 2, 1)
@@ -106,14 +106,14 @@ def balance(spark: SparkSession, histogram: DataFrame, goals: DataFrame, cap: fl
     return state.select("source", "t")
 
 
-def mix(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, cap: float = CAP, keep: str | None = None) -> DataFrame:
+def mix(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, cap: float = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
     """docs(doc_id, text, source) -> doc_id, source, size, source_size, target, rate, copies, one row each.
 
-    ``keep`` names a further column: the hash of doc_id, text and source.
+    docs' columns ``keep`` stay.
     """
     sized = staged(
         spark,
-        docs.select("doc_id", F.expr(NAMED), F.expr(SIZE).alias("size"), F.xxhash64("doc_id", "text", "source").alias("h")).withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")),
+        docs.select("doc_id", F.expr(NAMED), F.expr(SIZE).alias("size"), F.xxhash64("doc_id", "text", "source").alias("h"), *keep).withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")),
         "sizes",
     )
     parts = staged(spark, sized.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "parts")
@@ -146,10 +146,10 @@ def mix(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tup
     nth = Window.partitionBy("source", "size", "salt").orderBy("h", "doc_id")
     ranked = sized.withColumn("k", F.row_number().over(nth) - 1)
     joined = ranked.join(plan, ["source", "size", "salt"]).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "whole", "part", "before", (F.col("start") + F.col("k")).alias("k"), "h"
+        "doc_id", "source", "size", "source_size", "target", "rate", "whole", "part", "before", (F.col("start") + F.col("k")).alias("k"), *keep
     )
     carry = F.expr("cast(floor(before + part * (k + 1)) - floor(before + part * k) as long)")
-    return joined.select("doc_id", F.expr("if(source = '', null, substr(source, 2))").alias("source"), "size", "source_size", "target", "rate", F.least(F.col("whole") + carry, F.lit(int(cap)).cast("long")).alias("copies"), *([F.col("h").alias(keep)] if keep else []))
+    return joined.select("doc_id", F.expr("if(source = '', null, substr(source, 2))").alias("source"), "size", "source_size", "target", "rate", F.least(F.col("whole") + carry, F.lit(int(cap)).cast("long")).alias("copies"), *keep)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,10 +161,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs, each row as often as the mix takes it; rows alike in id, text and source share their copies."""
-    key = F.xxhash64("doc_id", "text", "source")
-    taken = mix(spark, docs.select("doc_id", "text", "source"), keep="key").groupBy("key").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
-    found = docs.withColumn("__key", key).join(taken.filter("__copies > 0"), F.col("__key") == F.col("key"))
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy("doc_id")) - 1
+    keyed = with_row_keys(docs, "doc_id", "text", "source")
+    taken = mix(spark, keyed.select("doc_id", "text", "source", *ROW_KEYS), keep=ROW_KEYS).groupBy(*ROW_KEYS).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
+    found = keyed.join(taken.filter("__copies > 0"), list(ROW_KEYS))
+    nth = F.row_number().over(Window.partitionBy(*ROW_KEYS).orderBy("doc_id")) - 1
     own = F.floor((nth + 1) * F.col("__copies") / F.col("__n")) - F.floor(nth * F.col("__copies") / F.col("__n"))
     counted = found.withColumn("__own", own.cast("int")).filter("__own > 0")
     return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__own")))).select(*docs.columns)

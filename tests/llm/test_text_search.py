@@ -118,3 +118,20 @@ def test_rows_of_few_and_many_keys(spark, odd):
         got = rows_of(spark, odd, keys, "doc_id", most)
         assert got.columns == odd.columns and Counter(r.doc_id for r in got.collect()) == Counter([1, 9, 9])
     assert rows_of(spark, odd, keys.filter("false"), "doc_id").count() == 0
+
+
+def test_repeated_words_and_shared_passages_cost_no_squares(spark):
+    """A word 20,000 times on both sides, and a passage that many items and documents share."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    passage = sentence(5, 40)
+    docs = [(1, "a " * 20_000), (2, "a b " * 10_000), (3, "a " * 9 + "c")] + [(10 + k, " ".join([f"x{k}", *passage, f"y{k}"])) for k in range(300)]
+    items = [(1, "a " * 20_000), (2, "b a " * 500)] + [(10 + k, " ".join([f"p{k}", *passage[5:35], f"q{k}"])) for k in range(300)]
+    began = time.time()
+    rows = decontaminate.contamination(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: (r.n_hit, r.n) for r in rows.select("doc_id", "n_hit", F.size("items").alias("n")).collect()}
+    assert time.time() - began < 60
+    assert got[1] == (20_000, 1) and got[2] == (20_000, 1) and got[3] == (0, 0)
+    assert all(got[10 + k] == (30, 300) for k in range(300))

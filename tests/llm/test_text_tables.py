@@ -8,7 +8,7 @@ import brute_texts as brute
 import pytest
 
 import corpus_pipeline
-from scfsweep.llm import mixing, queries, rules, sharding
+from scfsweep.llm import mixing, near_duplicates, queries, rules, sharding
 from scfsweep.llm.common import staged
 
 SF_DIR = os.environ.get("PIPELINE_SF_DIR", "/root/testdata/sf0.001")
@@ -88,6 +88,14 @@ def test_mixed_rows(spark, odd, odd_rows, none):
     assert mixing.mix(spark, none).count() == 0 and mixing.mixed(spark, none, "").count() == 0
 
 
+@pytest.mark.parametrize("name", ["key", "shared", "copies"])
+def test_stages_keep_columns_of_any_name(spark, odd, name):
+    docs = odd.withColumnRenamed("n_chars", name)
+    for stage in (mixing.mixed, near_duplicates.drop_near_duplicates):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns and got.count()
+
+
 def test_shards(spark, odd, odd_rows, none):
     rows = odd_rows + [(1000 + k, f"text {k % 3}", None, None, None) for k in range(500)] + [(7, "again", None, None, None)] * 50
     docs = spark.createDataFrame(rows, odd.schema).withColumnRenamed("n_chars", "shard")
