@@ -160,19 +160,20 @@ def merge_by_key(rows_u: DataFrame, rows_alpha: DataFrame) -> DataFrame:
     although both read as u = 0, and a job that stands in the rows twice, in two spellings, is one row
     (of differing responses the larger). :func:`repeated_responses` lists what such rows held.
     """
+    columns = ["run_id", "channel_id", "u", "k", "jobname", "pert", "n1_nf"]
+    sides = [rows.select(*columns, F.lit(job).alias("job")) for job, rows in (("u", rows_u), ("alpha", rows_alpha))]
+    return merge_jobs_by_key(sides[0].unionByName(sides[1]))
+
+
+def merge_jobs_by_key(rows: DataFrame) -> DataFrame:
+    """:func:`merge_by_key` of rows of both jobs, told apart by ``job``."""
     keys = [*JOB_KEYS, "_written"]
-    sides = [
-        with_channel(rows)
-        .withColumn("seed", seed_of(F.col("jobname")))
-        .withColumn("_written", _written_u(F.col("jobname")))
-        .select(*keys, "pert", "n1_nf", F.lit(job).alias("job"))
-        for job, rows in (("u", rows_u), ("alpha", rows_alpha))
-    ]
+    named = with_channel(rows).withColumn("seed", seed_of(F.col("jobname"))).withColumn("_written", _written_u(F.col("jobname")))
 
     def of(job: str, column: str) -> Column:
         return F.max(F.when(F.col("job") == job, F.col(column)))
 
-    merged = sides[0].unionByName(sides[1]).filter(F.col("run_id").isNotNull()).groupBy(*keys)
+    merged = named.filter(F.col("run_id").isNotNull()).groupBy(*keys)
     columns = [of(job, c).alias(name) for job in ("u", "alpha") for c, name in (("pert", perturbation_column(job)), ("n1_nf", response_column(job)))]
     return merged.agg(*columns).drop("_written")
 

@@ -146,6 +146,24 @@ def sum_responses(sums: DataFrame, job: str, step: float | DataFrame, *, alpha_i
     return slopes(differences(sums, job, signed_u=signed_u), job, step, alpha_includes_u=alpha_includes_u)
 
 
+def both_responses(results: DataFrame, steps: dict[str, float], *, alpha_includes_u: bool = True, signed_u: bool = False, **selection) -> DataFrame:
+    """Responses of both jobs of one table, with the ``job`` their names tell: one pass and no union.
+
+    A union hides how its sides lie; rows of one table keep the layout they were stored in.
+    """
+    name = F.col("jobname")
+    found = job_sums(results, **selection).withColumn("job", F.when(name.contains("_alpha_"), F.lit("alpha")).when(name.contains("_u_"), F.lit("u")))
+    of_job = lambda values: F.coalesce(*[F.when(F.col("job") == job, value) for job, value in values.items()])
+    pert = F.col("k") * of_job({job: F.lit(float(step)) for job, step in steps.items()})
+    shifted = (F.col("job") == "alpha") & F.lit(alpha_includes_u)
+    rows = found.filter(F.col("job").isin(*steps)).select(
+        *SUM_KEYS, "job", job_u(name, signed_u).alias("u"), of_job({job: job_step(name, job) for job in steps}).alias("k"), (F.col("s1") - F.col("s0")).alias("d_first"), (F.col("sf") - F.col("s0")).alias("d_last")
+    )
+    rows = rows.withColumn("pert", pert)
+    numerator = F.when(shifted, F.col("pert") + F.col("u")).otherwise(F.col("pert"))
+    return rows.withColumn("n1_nf", numerator * reciprocal(F.col("d_first")) - numerator * reciprocal(F.col("d_last")))
+
+
 def total_view(rows: DataFrame) -> DataFrame:
     """The published columns of a response table (the job name is dropped)."""
     return rows.select(*TOTAL_COLUMNS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,6 +16,8 @@ from scfsweep.operators import views as V
 from scfsweep.plans.analyze import analyze, analyze_pairs, analyze_single
 from scfsweep.plans.export import append_results, export_analysis, reset_results, write_total_view
 from scfsweep.plans.commits import append_once, read_committed, start_table
+from scfsweep.plans.layout import store_by_run, stored_means
+from scfsweep.plans.refresh import refresh_means, start_store, stored_run_means
 from scfsweep.scratch import scratch_folder
 from scfsweep.schema import RESULT_COLUMNS, RESULT_HEADER, export_names
 from scfsweep.sources import (
@@ -442,6 +445,24 @@ def _output_queries() -> dict[str, Query]:
         append_results(A.results(spark, sf, "u"), f"{root}/rows/folder=lost")
         return read_committed(spark, root)
 
+    def stored(spark, sf):
+        name = f"results_{uuid.uuid4().hex}"
+        store_by_run(A.all_results(spark, sf), name, 16)
+        return stored_means(spark, name, STEP, STEP)
+
+    def refreshed(spark, sf):
+        """Runs that first lack a spin; every third one is replaced by its whole rows, and later the others."""
+        root, store = scratch_folder(spark, "runs"), scratch_folder(spark, "store")
+        start_store(spark, store)
+        rows = A.results(spark, sf, "alpha")
+        third = F.pmod(F.crc32(F.col("run_id").cast("binary")), F.lit(3))
+        for part in (rows.filter("spin = 1"), rows.filter(third == 0), rows.filter(third > 0)):
+            named = part.select("run_id", *[F.col(c).alias(h) for c, h in zip(RESULT_COLUMNS, RESULT_HEADER)])
+            # only the folders of the runs at hand are replaced
+            named.repartition("run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").option("header", True).csv(root)
+            refresh_means(spark, f"{root}/*", "alpha", STEP, store)
+        return stored_run_means(spark, store).withColumn("run_id", F.substring_index("run_id", "=", -1))
+
     def lines_of_files(spark, sf):
         root = scratch_folder(spark, "lines")
         A.result_lines(spark, sf).write.text(root)
@@ -488,6 +509,8 @@ def _output_queries() -> dict[str, Query]:
         "stream_mean_deltas": mean_deltas,
         "stream_log_picks": picks_of_stream,
         "append_once": appended_once,
+        "stored_means": stored,
+        "refreshed_means": refreshed,
         "sorted_lines": lambda s, d: lines_of_files(s, d).good.drop("run_id"),
         "quarantined_lines": quarantined,
     }

@@ -461,6 +461,8 @@ def _output_oracles() -> dict[str, str]:
         )
         + " SELECT run_id, species, spin, before_scf, first_scf, last_scf, n_obs, converged FROM flagged",
         "append_results": f"SELECT {values} FROM ({_results('u')} UNION ALL {_results('alpha')})",
+        "stored_means": f"{_BY_KEY} {_MEANS}",
+        "refreshed_means": f"{_mean('alpha')}",
         "append_once": f"SELECT run_id, {values}, 'u' AS batch FROM ({_results('u')}) UNION ALL SELECT run_id, {values}, 'alpha' FROM ({_results('alpha')})",
         "sorted_lines": " UNION ALL ".join(f"SELECT {values} FROM ({_results(job)} AND NOT ({LINE_FAULTS['short']} OR {LINE_FAULTS['worded']}))" for job in _JOBS),
         "quarantined_lines": " UNION ALL ".join(

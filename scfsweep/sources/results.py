@@ -34,6 +34,7 @@ def read_results(
     on_bad: str = "fail",
     keep_order: bool = False,
     by_name: bool | None = None,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """Result CSVs as rows with ``run_id``, the folder ``run_level`` above each file.
 
@@ -41,9 +42,13 @@ def read_results(
     folders may have one name, by the folder's whole path. ``by_name`` decides otherwise.
     A header is checked against the expected names. Blanks after commas are accepted. A value that
     is no number fails the read unless ``on_bad`` is ``null`` or ``drop``. ``keep_order`` adds the
-    orderable column ``seen``, which follows the line order of each file.
+    orderable column ``seen``, which follows the line order of each file. ``modified_after`` (a time such as
+    2024-05-01T12:00:00) leaves out older files without opening them.
     """
-    raw = spark.read.schema(RESULT_FILE_SCHEMA).options(**csv_options(header, on_bad)).csv(paths)
+    reader = spark.read.schema(RESULT_FILE_SCHEMA).options(**csv_options(header, on_bad))
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    raw = reader.csv(paths)
     by_name = named_apart(paths) if by_name is None else by_name
     columns = [run_key(by_name, run_level).alias("run_id")]
     columns += [F.col(f"`{old}`").alias(new) for old, new in zip(RESULT_HEADER, RESULT_COLUMNS)]
