@@ -41,6 +41,23 @@ def without(df: DataFrame, bad: DataFrame) -> DataFrame:
     return df.join(bad.select(*ROW_KEYS).distinct(), list(ROW_KEYS), "left_anti").drop(*ROW_KEYS)
 
 
+#: Copies of a row that one step of ``repeated`` makes
+CHUNK = 1 << 10
+
+
+def repeated(df: DataFrame, n: str, nth: str, *key: str) -> DataFrame:
+    """df's rows as often as their column n says, without n; nth counts a row's copies from 0.
+
+    Rows with many copies are cut into chunks and dealt by ``key`` and chunk before the copies are made,
+    so that no task makes all of a row's.
+    """
+    last = F.expr(f"cast(`{n}` as long) - 1")
+    chunks = df.filter(F.col(n) > 0).withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / CHUNK))))
+    first = F.col("__chunk") * CHUNK
+    dealt = chunks.repartition(*key, "__chunk")
+    return dealt.withColumn(nth, F.explode(F.sequence(first, F.least(first + CHUNK - 1, last)))).drop(n, "__chunk")
+
+
 SLOTS = 1 << 22
 MAX_KEYS = 1 << 20
 

@@ -10,7 +10,8 @@ Rates depend on source and size alone, so the iterations read that histogram and
 Rates become copies by systematic rounding: along the documents of a source in order of size, the n-th
 carry of the summed fractions adds a copy. Neighbours have like sizes, so the words taken miss the target
 by about one long document at most. Equal sizes are told apart by a hash and dealt to ``SALTS`` parts,
-so a source or a size with a large share of all rows is never one task.
+so a source or a size with a large share of all rows is never one task. Rows alike in id, text and source
+are one row with a count until copies are given out.
 
 A null text has size 0; documents of size 0 are never taken. A null source is a source, the last one.
 """
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scfsweep.llm.common import ROW_KEYS, staged, table, with_row_keys
+from scfsweep.llm.common import ROW_KEYS, repeated, staged, table, with_row_keys
 
 CAP = 2.0
 WEIGHTS = (5, 2, 1)
@@ -106,17 +107,15 @@ def balance(spark: SparkSession, histogram: DataFrame, goals: DataFrame, cap: fl
     return state.select("source", "t")
 
 
-def mix(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, cap: float = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
-    """docs(doc_id, text, source) -> doc_id, source, size, source_size, target, rate, copies, one row each.
+def planned(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, cap: float = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for all rows of docs(doc_id, text, source) that are alike, ``n`` of them, with rate and carries.
 
-    docs' columns ``keep`` stay.
+    Its i-th row has place k + i among the rows of its source and size. docs' columns ``keep`` stay.
     """
-    sized = staged(
-        spark,
-        docs.select("doc_id", F.expr(NAMED), F.expr(SIZE).alias("size"), F.xxhash64("doc_id", "text", "source").alias("h"), *keep).withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")),
-        "sizes",
-    )
-    parts = staged(spark, sized.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "parts")
+    described = docs.select("doc_id", F.expr(NAMED), F.expr(SIZE).alias("size"), F.xxhash64("doc_id", "text", "source").alias("h"), *keep)
+    alike = described.groupBy(*described.columns).agg(F.count("*").alias("n"))
+    sized = staged(spark, alike.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")), "sizes")
+    parts = staged(spark, sized.groupBy("source", "size", "salt").agg(F.sum("n").alias("n")), "parts")
     histogram = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sources = histogram.groupBy("source").agg(F.sum(F.expr("size * n")).alias("source_size"))
     goals = staged(spark, targets(sources, share, weights, cap), "targets")
@@ -143,13 +142,18 @@ def mix(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tup
     plan = starts.join(rated, ["source", "size"]).select(
         "source", "size", "salt", "source_size", "target", "rate", "whole", "part", "before", "start"
     )
-    nth = Window.partitionBy("source", "size", "salt").orderBy("h", "doc_id")
-    ranked = sized.withColumn("k", F.row_number().over(nth) - 1)
-    joined = ranked.join(plan, ["source", "size", "salt"]).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "whole", "part", "before", (F.col("start") + F.col("k")).alias("k"), *keep
+    earlier = Window.partitionBy("source", "size", "salt").orderBy("h", "doc_id", *keep).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = sized.withColumn("k", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return ranked.join(plan, ["source", "size", "salt"]).select(
+        "doc_id", "source", "size", "h", "source_size", "target", "rate", "whole", "part", "before", (F.col("start") + F.col("k")).alias("k"), "n", *keep
     )
+
+
+def mix(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """docs(doc_id, text, source) -> doc_id, source, size, source_size, target, rate, copies, one row each."""
+    each = repeated(planned(spark, docs, share, weights, cap), "n", "nth", "h").withColumn("k", F.col("k") + F.col("nth"))
     carry = F.expr("cast(floor(before + part * (k + 1)) - floor(before + part * k) as long)")
-    return joined.select("doc_id", F.expr("if(source = '', null, substr(source, 2))").alias("source"), "size", "source_size", "target", "rate", F.least(F.col("whole") + carry, F.lit(int(cap)).cast("long")).alias("copies"), *keep)
+    return each.select("doc_id", F.expr("if(source = '', null, substr(source, 2))").alias("source"), "size", "source_size", "target", "rate", F.least(F.col("whole") + carry, F.lit(int(cap)).cast("long")).alias("copies"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,11 +164,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs, each row as often as the mix takes it; rows alike in id, text and source share their copies."""
-    keyed = with_row_keys(docs, "doc_id", "text", "source")
-    taken = mix(spark, keyed.select("doc_id", "text", "source", *ROW_KEYS), keep=ROW_KEYS).groupBy(*ROW_KEYS).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
-    found = keyed.join(taken.filter("__copies > 0"), list(ROW_KEYS))
-    nth = F.row_number().over(Window.partitionBy(*ROW_KEYS).orderBy("doc_id")) - 1
+    """docs, each row as often as the mix takes it; rows alike in id, text and source share their copies.
+
+    Alike rows are counted where they are read (``__part``), and each such part starts where earlier ones
+    end, so even the rows of one document are ranked by many tasks.
+    """
+    keyed = staged(spark, with_row_keys(docs, "doc_id", "text", "source").withColumn("__part", F.spark_partition_id()), "keyed")
+    all_copies = F.expr("whole * n + cast(floor(before + part * (k + n)) - floor(before + part * k) as long)")
+    plan = planned(spark, keyed.select("doc_id", "text", "source", *ROW_KEYS), keep=ROW_KEYS)
+    taken = plan.groupBy(*ROW_KEYS).agg(F.sum(all_copies).alias("__copies"), F.sum("n").alias("__n")).filter("__copies > 0")
+    earlier = Window.partitionBy(*ROW_KEYS).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*ROW_KEYS, "__part").agg(F.count("*").alias("__here"))
+    starts = counts.withColumn("__start", F.coalesce(F.sum("__here").over(earlier), F.lit(0))).join(taken, list(ROW_KEYS)).drop("__here")
+    found = keyed.join(starts, [*ROW_KEYS, "__part"])
+    nth = F.row_number().over(Window.partitionBy(*ROW_KEYS, "__part").orderBy("doc_id")) - 1 + F.col("__start")
     own = F.floor((nth + 1) * F.col("__copies") / F.col("__n")) - F.floor(nth * F.col("__copies") / F.col("__n"))
     counted = found.withColumn("__own", own.cast("int")).filter("__own > 0")
     return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__own")))).select(*docs.columns)

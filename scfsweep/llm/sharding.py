@@ -6,19 +6,22 @@ full at its bound (law ``rows``: the rows over the shards, at most one apart); r
 shard go on clockwise to the next virtual node whose shard is not. Only counts per cell decide this: they
 are summed before anything moves, CELLS numbers at most, and the walk over the virtual nodes reads those.
 Each row then needs its rank in its cell, which cuts the rows of even a hot shard into many small sorts.
+Rows alike in id and text are one row with a count until then, so they load neither a cell nor a task.
 
-Null texts have no bytes (size 1); null ids hash like any other value; repeated rows are told apart by
-rank, in any order, as they are alike.
+Null texts have no bytes (size 1); null ids hash like any other value; repeated rows get slots next to
+each other.
 """
 
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scfsweep.llm.common import staged, table
+from scfsweep.llm.common import repeated, staged, table
 
 SHARDS = 8
 NODES = 128
@@ -61,22 +64,30 @@ def ring_walk(counts: list[int], nodes: list[tuple[int, int]], bounds: list[int]
     return runs
 
 
+def run_cells(counts: list[int], runs: list[tuple[int, int, int]]) -> list[dict]:
+    """The runs with the first and the last cell that each one touches."""
+    sums = [0, *accumulate(counts)]
+    ends = [first for first, _, _ in runs[1:]] + [sums[-1]]
+    cell_of = lambda rank: bisect_right(sums, rank) - 1
+    return [
+        {"first": first, "shard": shard, "slot": slot, "first_cell": cell_of(first), "last_cell": cell_of(end - 1)}
+        for (first, shard, slot), end in zip(runs, ends)
+    ]
+
+
 def shard_rows(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> DataFrame:
     """docs(doc_id, text) -> doc_id, size, text_crc32, shard, slot, one row each; counts are at most one apart."""
     text = F.coalesce("text", F.lit(""))
     hashed = F.xxhash64("doc_id", "text")
-    rows = staged(
-        spark,
-        docs.select(
-            "doc_id",
-            (F.octet_length(text).cast("long") + 1).alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.pmod(hashed, F.lit(CELLS)).cast("int").alias("cell"),
-            hashed.alias("h"),
-        ),
-        "ring",
+    described = docs.select(
+        "doc_id",
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.pmod(hashed, F.lit(CELLS)).cast("int").alias("cell"),
+        hashed.alias("h"),
     )
-    cells = staged(spark, rows.groupBy("cell").agg(F.count("*").alias("n")), "cells")
+    rows = staged(spark, described.groupBy("doc_id", "size", "text_crc32", "cell", "h").agg(F.count("*").alias("n")), "ring")
+    cells = staged(spark, rows.groupBy("cell").agg(F.sum("n").alias("n")), "cells")
     counts = [0] * CELLS
     for r in cells.toLocalIterator():
         counts[r.cell] = r.n
@@ -84,16 +95,18 @@ def shard_rows(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, nodes
     bounds = [total // shards + (s < total % shards) for s in range(shards)]
     runs = ring_walk(counts, _node_cells(spark, shards, nodes), bounds)
     # one run for each virtual node, and one more for each time a shard fills up within an arc
-    runs = [{"first": f, "shard": s, "slot": k, "end": e} for (f, s, k), e in zip(runs, [x[0] for x in runs[1:]] + [total])]
-    # CELLS rows, one task: each cell's first rank, and the few runs that touch it
-    kind = "array<struct<first: bigint, shard: int, slot: bigint, end: bigint>>"
-    starts = cells.withColumn("start", F.sum("n").over(Window.orderBy("cell")) - F.col("n"))
-    planned = starts.select(
-        F.col("cell").alias("of_cell"), "start", F.filter(F.from_json(F.lit(json.dumps(runs)), kind), lambda r: (r["first"] < F.col("start") + F.col("n")) & (r["end"] > F.col("start"))).alias("runs")
-    )
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("cell").orderBy("h", "doc_id", "text_crc32")) - 1)
-    placed = ranked.join(planned, F.col("cell") == F.col("of_cell")).withColumn("rank", F.col("rank") + F.col("start"))
-    run = placed.withColumn("run", F.expr("element_at(filter(runs, r -> r.first <= rank), -1)"))
+    kind = "array<struct<first: bigint, shard: int, slot: bigint, first_cell: int, last_cell: int>>"
+    all_runs = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(run_cells(counts, runs))), kind)))
+    # a row for each cell and run in it: CELLS and the number of runs at most
+    of_cell = all_runs.select(F.explode(F.sequence("first_cell", "last_cell")).alias("cell"), F.struct("first", "shard", "slot").alias("run"))
+    of_cell = of_cell.groupBy("cell").agg(F.array_sort(F.collect_list("run")).alias("runs"))
+    starts = cells.select("cell", (F.sum("n").over(Window.orderBy("cell")) - F.col("n")).alias("start"))  # CELLS rows at most
+    planned = starts.join(of_cell, "cell")
+    before = Window.partitionBy("cell").orderBy("h", "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    placed = ranked.join(planned, "cell").withColumn("before", F.col("before") + F.col("start"))
+    each = repeated(placed, "n", "nth", "h").withColumn("rank", F.col("before") + F.col("nth"))
+    run = each.withColumn("run", F.expr("element_at(filter(runs, r -> r.first <= rank), -1)"))
     return run.select("doc_id", "size", "text_crc32", F.col("run.shard").alias("shard"), (F.col("run.slot") + F.col("rank") - F.col("run.first")).alias("slot"))
 
 

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from scfsweep.llm import mixing, near_duplicates, queries, rules, sharding
-from scfsweep.llm.common import staged
+from scfsweep.llm.common import repeated, staged
 
 SF_DIR = os.environ.get("PIPELINE_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
@@ -113,6 +113,28 @@ def test_shards(spark, odd, odd_rows, none):
     assert sharding.shard_rows(spark, none).count() == 0
 
 
+def test_rows_alike_are_ranked_by_many_tasks(spark, odd):
+    """Half of the rows are the same one: each gets a slot, and the copies of the mix come out whole."""
+    some = spark.range(3000).selectExpr("if(id % 2 = 0, null, id) as doc_id", "if(id % 2 = 0, 'a b c', concat(repeat('w ', cast(id % 90 as int)), id)) as text")
+    docs = some.selectExpr("doc_id", "text", "'en' as lang", "if(text = 'a b c' or doc_id % 3 = 0, 'hot', 'other') as source", "0L as n_chars").repartition(6)
+    rows = docs.collect()
+    placed = sharding.shard_rows(spark, docs).collect()
+    assert Counter((r.doc_id, r.size) for r in placed) == Counter((r.doc_id, len(r.text) + 1) for r in rows)
+    assert sorted((r.shard, r.slot) for r in placed) == [(s, k) for s in range(8) for k in range(375)]
+    taken = Counter()
+    for r in mixing.mix(spark, docs.select("doc_id", "text", "source")).collect():
+        taken[r.doc_id] += r.copies
+    got = mixing.mixed(spark, docs, "").collect()
+    assert Counter(r.doc_id for r in got) == +taken and {tuple(r) for r in got} <= {tuple(r) for r in rows}
+
+
+def test_repeated_rows_are_numbered(spark):
+    counts = spark.createDataFrame([(1, 0), (2, 1), (3, 1024), (4, 1025), (5, 5000)], "id long, n long")
+    got = repeated(counts, "n", "nth", "id")
+    assert got.columns == ["id", "nth"]
+    assert Counter(map(tuple, got.collect())) == Counter((k, i) for k, n in ((2, 1), (3, 1024), (4, 1025), (5, 5000)) for i in range(n))
+
+
 def test_ring_against_one_row_at_a_time():
     nodes = [(1, 0), (3, 1), (4, 0), (6, 2)]
     counts = [5, 0, 3, 1, 0, 2, 0, 4]
@@ -166,5 +188,5 @@ def test_clean_rows_stay_beside_bad_ones_with_their_id(spark, odd, tmp_path):
 
 def test_each_operator_has_its_query():
     names = {n.split("_")[0] for n in queries.queries()}
-    assert names == {f"op{k}" for k in range(1, 11)}
+    assert names == {f"op{k}" for k in range(1, 14)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
