@@ -258,8 +258,8 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, cached: int =
         .withColumn("threshold", F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0]))
     )
     own = quantiles(["named"]).filter(F.col("trusted") >= LEAST_TRUSTED).select("named", F.col("threshold").alias("own"))
-    every = quantiles([]).select(F.col("threshold").alias("every"))
-    limits = staged(spark, means.select("named").join(own, "named", "left").join(every), "limits")  # every is a single row
+    every = quantiles([]).first()["threshold"]  # a single number
+    limits = staged(spark, means.select("named", F.lit(every).cast("double").alias("every")).join(own, "named", "left"), "limits")
     judged = drawn.join(limits, "named").withColumn("threshold", F.coalesce("own", "every"))
     return judged.select(
         "doc_id", "lang", "bytes", "score", F.pow(F.lit(2.0), "score").alias("perplexity"), "threshold", F.coalesce((F.col("bytes") == 0) | (F.col("score") <= F.col("threshold")), F.lit(True)).alias("kept"), *keep
