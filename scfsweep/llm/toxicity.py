@@ -3,7 +3,8 @@
 A document's features are its distinct words, word stems (the first 4, 5 and 6 bytes of a word, so that
 inflected and compound forms share one), word pairs and pairs with one or two words left out, each hashed
 to one of ``DIMENSIONS`` coordinates. Training takes a bounded number of labelled rows
-(``MAX_ROWS``, chosen by hash), deals them to shards of about ``SHARD_ROWS``, and runs FTRL in each: every
+(``MAX_ROWS`` ids, chosen by hash), deals their texts to shards of about ``SHARD_ROWS`` rows and ``SHARD_BYTES``,
+and runs FTRL in each: an id that stands on many rows, or long texts, give more shards, not larger ones. Every
 coordinate has its own learning rate, and L1 keeps rare coordinates at exactly zero. The shards'
 weights are averaged. What is left is short and at most DIMENSIONS long, so every task gets all of it.
 
@@ -20,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scfsweep.llm.common import extended, table
+from scfsweep.llm.common import extended, staged, table
 from scfsweep.llm.words import ALNUM, find_words, mix, ngrams, text_chunks
 
 BITS = 22
 DIMENSIONS = 1 << BITS
 MAX_ROWS = 16_000
 SHARD_ROWS = 4_000
+SHARD_BYTES = 64 << 20
 EPOCHS = 4
 ALPHA, BETA, L2 = 1.0, 1.0, 0.5
 #: L1 is a sum over rows; so many rows of a shard raise it by one, within the limits
@@ -75,15 +77,17 @@ def train_ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS)
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, float]:
     """Weights of all coordinates and the intercept, from docs(doc_id, text) and labels(doc_id, label)."""
     known = labels.filter("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label"))
-    known = known.withColumn("h", F.xxhash64("doc_id", "label"))
-    shards = max(1, -(-known.limit(max_rows).count() // SHARD_ROWS))
-    chosen = known.orderBy("h", "doc_id").limit(max_rows).selectExpr("doc_id", "label", f"cast(pmod(h, {shards}) as int) as shard").distinct()
+    chosen = known.withColumn("h", F.xxhash64("doc_id", "label")).orderBy("h", "doc_id").limit(max_rows).distinct()
     # max_rows rows of three numbers at most, so documents stay where they are
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = staged(spark, found, "labelled")
+    size = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    shards = max(1, -(-size["n"] // SHARD_ROWS), -(-size["bytes"] // SHARD_BYTES))
+    sample = sample.withColumn("shard", F.pmod(F.xxhash64("h", "text"), F.lit(shards)).cast("int")).drop("h")
     schema = "coordinate int, weight double"
 
     def fit(group: pa.Table) -> pa.Table:
-        group = group.sort_by("doc_id").combine_chunks()
+        group = group.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("text", "ascending")]).combine_chunks()
         rows = []
         for texts in text_chunks(group.column("text").combine_chunks() if group.num_rows else pa.array([], pa.string())):
             at, index = features(texts)
