@@ -31,8 +31,9 @@ SHARD_ROWS = 4_000
 SHARD_BYTES = 64 << 20
 EPOCHS = 4
 ALPHA, BETA, L2 = 1.0, 1.0, 0.5
-#: L1 is a sum over rows; so many rows of a shard raise it by one, within the limits
-L1_ROWS, L1_LEAST, L1_MOST = 700, 0.5, 6.0
+#: L1 is a sum over rows; so many rows of a shard raise it by one, within the limits. A lower least value lets
+#: features that a few rows happen to share decide long texts (cross-validated within training rows)
+L1_ROWS, L1_LEAST, L1_MOST = 700, 3.0, 6.0
 #: (words, words left out after the first) of each kind of feature
 KINDS = ((1, 0), (2, 0), (2, 1), (2, 2))
 STEMS = (4, 5, 6)
