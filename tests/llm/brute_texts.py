@@ -162,3 +162,35 @@ def codes(rows, width, parts=4, entries=256, rounds=4):
                 own[f[p][1]].append(r[2][p])
             books[p] = [[sum(c) // len(c) for c in zip(*own[e])] if own[e] else c for e, c in enumerate(books[p])]
     return [(vec, label, tuple(e for _, e in f), tuple(d for d, _ in f)) for (vec, label, _), f in zip(kept, found)], books
+
+
+def toxic_features(text, kinds, stems):
+    """Words, pairs with words left out and stems of a text, none of them hashed."""
+    w = [x.encode() for x in ALNUM.findall(lower(text))]
+    out = {("stem", k, x[:k]) for k in stems for x in w}
+    for n, gap in kinds:
+        for at in range(len(w) - n - gap + 1):
+            out.add((n, gap, w[at], *w[at + gap + 1 : at + gap + n]))
+    return out
+
+
+def ftrl(rows, labels, epochs, alpha, beta, l1, l2):
+    """rows of feature sets, one after another -> a function that gives a set's score."""
+    z, n, b, zb, nb = defaultdict(float), defaultdict(float), 0.0, 0.0, 0.0
+
+    def weight(k):
+        return 0.0 if abs(z[k]) <= l1 else (math.copysign(l1, z[k]) - z[k]) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    def score(keys):
+        return 1 / (1 + math.exp(-(sum(weight(k) for k in keys) + b)))
+
+    for _ in range(epochs):
+        for keys, label in zip(rows, labels):
+            g = score(keys) - label
+            for k, w in [(k, weight(k)) for k in keys]:
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha * w
+                n[k] += g * g
+            zb += g - (math.sqrt(nb + g * g) - math.sqrt(nb)) / alpha * b
+            nb += g * g
+            b = -zb / ((beta + math.sqrt(nb)) / alpha)
+    return score

@@ -4,6 +4,7 @@ import os
 import re
 import string
 
+import brute_texts as brute
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -60,6 +61,28 @@ def test_toxicity_of_odd_rows(spark, odd, odd_rows, none):
     assert toxicity.score(spark, none, weights, intercept).count() == 0
 
 
+def test_toxicity_against_plain_ftrl(spark):
+    """Scores by features that aren't hashed and one row after another."""
+    rng = np.random.default_rng(5)
+    bad, plain = ["Vile", "awful", "hate", "stüpid"], [f"word{k}" for k in range(40)] + ["a", "of", "straße"]
+    rows = []
+    for k in range(60):
+        words = [str(w) for w in rng.choice(plain, 12)]
+        if k % 3 == 0:
+            words[k % 10 : k % 10 + 2] = [str(w) for w in rng.choice(bad, 2)]
+        rows.append((k, " ".join(words), int(k % 3 == 0) if k < 45 else None))
+    rows += [(60, "", 0), (61, None, 0), (62, "hate " * 30, None), (63, "VILE, awful; unseen", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(4)
+    weights, intercept = toxicity.train(spark, table, table.select("doc_id", "label"))
+    got = {r.doc_id: r.score for r in toxicity.score(spark, table.select("doc_id", "text"), weights, intercept).collect()}
+    of = {k: brute.toxic_features(text, toxicity.KINDS, toxicity.STEMS) for k, text, _ in rows}
+    known = [(of[k], label) for k, _, label in rows if label is not None]
+    score = brute.ftrl(*zip(*known), toxicity.EPOCHS, toxicity.ALPHA, toxicity.BETA, toxicity.L1_LEAST, toxicity.L2)
+    assert got.keys() == of.keys() and got[62] > 0.5 > got[60] == got[61]
+    for k, keys in of.items():
+        assert abs(got[k] - score(keys)) < 1e-5, k
+
+
 @needs_tables
 def test_quality(spark):
     """Rejects most labelled junk that isn't mere repetition, and keeps the trusted rows."""

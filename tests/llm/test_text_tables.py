@@ -171,6 +171,40 @@ def test_pipeline(spark):
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
 
 
+@needs_tables
+def test_stages_against_plain_python(spark):
+    """What stages 2 to 5 decide, each on the rows that its predecessor kept."""
+    stages = dict(corpus_pipeline.STAGES)
+    after = lambda name, docs: staged(spark, stages[name](spark, docs, SF_DIR), name)
+    pairs = lambda docs: [(r.doc_id, r.text) for r in docs.collect()]
+    good = after("quality", spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    single = after("near_duplicates", good)
+    rows = pairs(good)
+    assert len({d for d, _ in rows}) == len(rows)
+    assert Counter(pairs(single)) == Counter(r for r, (doc, least, _) in zip(rows, brute.links(rows)) if doc == least)
+    clean = after("decontaminate", single)
+    rows = pairs(single)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    assert Counter(pairs(clean)) == Counter(r for r, (_, _, n_hit, _) in zip(rows, brute.contamination(rows, items)) if not n_hit)
+    mixture = after("mix", clean)
+    n_words = lambda r: len(brute.PRINTED.findall(r.text or ""))
+    sizes, longest, taken = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in clean.collect():
+        sizes[r.source] += n_words(r)
+        longest[r.source] = max(longest[r.source], n_words(r))
+    for r in mixture.collect():
+        taken[r.source] += n_words(r)
+    goals = level(sizes)
+    assert all(abs(taken[s] - goals[s]) <= max(longest[s], 0.01 * goals[s]) for s in sizes) and taken.keys() <= sizes.keys()
+    assert set(Counter(pairs(mixture)).values()) <= {1, 2} and set(pairs(mixture)) <= set(pairs(clean))
+    placed = stages["shard"](spark, mixture, SF_DIR).collect()
+    of = lambda text: (text or "").encode()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in placed) == Counter((d, len(of(t)) + 1, zlib.crc32(of(t))) for d, t in pairs(mixture))
+    places = sorted((r.shard, r.slot) for r in placed)
+    counts = Counter(s for s, _ in places)
+    assert places == [(s, k) for s in range(8) for k in range(counts[s])] and max(counts.values()) - min(counts.values()) <= 1
+
+
 def test_clean_rows_stay_beside_bad_ones_with_their_id(spark, odd, tmp_path):
     plain, junk = "the old stone bridge by the river near the town and the hills", "zq#x@ vv!kk~ jj^^ " * 40
     question = "what is the name of the largest lake in the far north of the country"
