@@ -35,9 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scfsweep.llm import words as W
 from scfsweep.llm.common import extended, rows_of, staged, table
-from scfsweep.llm.words import mix, text_chunks
+from scfsweep.llm.words import CHUNK_BYTES, mix, text_chunks
 
 LENGTH = 100
 K = 40
@@ -47,15 +46,42 @@ HOT = 200_000
 
 KEY = "xxhash64(doc_id, text)"
 
+_BASE = 0x9E3779B97F4A7C15
+_tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64, for n positions."""
+    if len(_tables[0]) < n:
+        for j, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
+            steps[0] = 1
+            _tables[j] = np.multiply.accumulate(steps)
+    return _tables[0][:n], _tables[1][:n]
+
+
+def _window_codes(data: np.ndarray, window: int) -> np.ndarray:
+    """For every start a random number of the ``window`` bytes there.
+
+    Summed with powers, numbers of single bytes make strings of some structures collide, since the modulus
+    is a power of two; numbers of windows follow no such structure.
+    """
+    count = max(len(data) - window + 1, 0)
+    codes = np.zeros(count, np.uint64)
+    for j in range(window):
+        codes = (codes << np.uint64(8)) | data[j : j + count]
+    return mix(mix((codes + np.uint64(1)) * np.uint64(_BASE)))
+
 
 class Anchors:
     """Cells of the rows of a chunk: row, first and last start, anchor position, gram hash."""
 
     def __init__(self, texts, length: int, k: int):
-        data, n = texts.data, len(texts.data)
-        self.power, self.inverse = W._tables(n + 1)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(W._CODES[data] * self.power[:n], out=self.sums[1:])
+        n, self.window = len(texts.data), min(k, 8)
+        codes = _window_codes(texts.data, self.window)
+        power, self.inverse = _powers(n + 1)
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes * power[: len(codes)], out=self.sums[1:])
         starts = n - length + 1
         if starts <= 0:
             self.first = self.last = self.at = self.row = np.zeros(0, np.int64)
@@ -80,7 +106,8 @@ class Anchors:
         self.row = np.searchsorted(texts.offsets, self.first, "right") - 1
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
+        """Of strings of k bytes or more."""
+        return mix((self.sums[end - self.window + 1] - self.sums[start]) * self.inverse[start])
 
 
 def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -78,6 +78,24 @@ def test_repeats(spark, odd, odd_rows, family, options):
     assert Counter(map(tuple, got.collect())) == Counter(brute.repeats(rows))
 
 
+@pytest.mark.parametrize("length, k", [(12, 3), (100, 40)])
+def test_equal_grams_have_equal_hashes_only(length, k):
+    import pyarrow as pa
+
+    from scfsweep.llm.words import text_chunks
+
+    # "ab" by the Thue-Morse rule and its inverse collide under sums of single bytes' numbers
+    rule = ["ab"[bin(i).count("1") % 2] for i in range(4096)]
+    texts = ["".join(rule), "".join(rule).translate(str.maketrans("ab", "ba")), "short", " ".join(sentence(3, 300))]
+    data = "".join(texts).encode()
+    found = suffix_dedup.Anchors(next(text_chunks(pa.array(texts))), length, k)
+    grams = [data[at : at + k] for at in found.at]
+    assert len(set(found.gram.tolist())) == len(set(grams)) == len(set(zip(grams, found.gram.tolist())))
+    whole = found.hash(np.array([0, 4096, 0]), np.array([4096, 8192, 4096]))
+    assert whole[0] == whole[2] != whole[1]
+    assert not len(suffix_dedup.Anchors(next(text_chunks(pa.array(["", "ab"]))), length, k).first)
+
+
 def test_repeats_of_nothing(spark, none):
     assert suffix_dedup.repeats(spark, none).count() == 0
 
