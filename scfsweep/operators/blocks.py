@@ -40,13 +40,18 @@ def set_block(items: Column, block: str, value: Column) -> Column:
     return update_where(items, lambda i: i["block"] == block, value)
 
 
-def derive_alpha(items: Column, value: Column) -> Column:
-    """Items with an alpha block: the file's own, else a copy of its U items; all values set."""
+def with_alpha(items: Column) -> Column:
+    """Items with an alpha block: the file's own, else a copy of its U items, values and all."""
     copies = F.transform(
         F.filter(items, lambda i: i["block"] == "U"), lambda i: i.withField("block", F.lit("ALPHA"))
     )
     has_alpha = F.exists(items, lambda i: i["block"] == "ALPHA")
-    return set_block(F.when(has_alpha, items).otherwise(F.concat(items, copies)), "ALPHA", value)
+    return F.when(has_alpha, items).otherwise(F.concat(items, copies))
+
+
+def derive_alpha(items: Column, value: Column) -> Column:
+    """Items with an alpha block: the file's own, else a copy of its U items; all values set."""
+    return set_block(with_alpha(items), "ALPHA", value)
 
 
 def prepare_base(items: Column, u_value: Column, alpha_value: Column) -> Column:
@@ -59,11 +64,11 @@ def perturb(items: Column, alpha_value: Column) -> Column:
     return set_block(items, "ALPHA", alpha_value)
 
 
-def planned_items(plan: DataFrame, cells: DataFrame) -> DataFrame:
-    """Plan rows (with set-points) beside their run's cell, items at the set-points, and ``cell_status``.
+def with_cells(runs: DataFrame, cells: DataFrame) -> DataFrame:
+    """Any table with ``run_id`` beside its run's cell: items with an alpha block, and ``cell_status``.
 
-    Every plan row comes out once. A run should have one cell: with ``no cell`` the items are NULL,
-    with ``several cells`` they are those of the first file.
+    Every row comes out once. A run should have one cell: with ``no cell`` the items are NULL, with
+    ``several cells`` they are those of the first file.
     """
     of_run = cells.groupBy("run_id").agg(
         F.min(F.struct(*[c for c in ("file", "items") if c in cells.columns]))["items"].alias("items"),
@@ -72,8 +77,26 @@ def planned_items(plan: DataFrame, cells: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("_cells").isNull(), F.lit("no cell")).when(F.col("_cells") > 1, F.lit("several cells")).otherwise(F.lit("ok"))
     )
-    joined = plan.join(of_run, "run_id", "left").withColumn("cell_status", status).drop("_cells")
-    return joined.withColumn("items", prepare_base(F.col("items"), F.col("u_value"), F.col("alpha_value")))
+    # with the items made here, an item is parsed and its alpha block derived once for a run
+    ready = of_run.withColumn("items", with_alpha(F.col("items")))
+    return runs.join(ready, "run_id", "left").withColumn("cell_status", status).drop("_cells")
+
+
+def planned_items(plan: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Plan rows (with set-points) beside their run's cell, items at the set-points, and ``cell_status``.
+
+    Every plan row comes out once, as :func:`with_cells` has it. A plan made of runs that went through
+    :func:`with_cells` needs no ``cells``: then the join moves a row per run and not one per job.
+    """
+    placed = plan if cells is None else with_cells(plan, cells)
+    at_setpoint = F.transform(
+        F.col("items"),
+        lambda i: i.withField(
+            "value",
+            F.when(i["block"] == "U", F.col("u_value").cast("double")).when(i["block"] == "ALPHA", F.col("alpha_value").cast("double")).otherwise(i["value"]),
+        ),
+    )
+    return placed.withColumn("items", at_setpoint)
 
 
 def items_without_cell(items: DataFrame) -> DataFrame:

@@ -96,3 +96,16 @@ def test_absent_settings_are_written_on_request(spark):
     rows = [(r.key, r.value) for r in before.filter("file = 'a'").orderBy("pos").collect()]
     assert rows == [("task", "SinglePoint"), ("comment", "x"), ("elec_energy_tol", "1e-5"), ("grid_scale", "1.750000000000000")]
     assert before.filter("file = 'b'").count() == 4
+
+
+def test_cells_join_runs_before_their_plan(spark):
+    runs = W.sweep_arguments(spark.createDataFrame([(r, "S", j) for r in ("one", "two", "none", None) for j in ("alpha", "u")], "run_id string, seed string, job string"))
+    of_run = cells(spark).withColumnRenamed("file", "run_id")
+    early = B.planned_items(W.sweep_plan(B.with_cells(runs, of_run)))
+    columns = ["run_id", "jobname", "items", "cell_status"]
+    late = B.planned_items(W.sweep_plan(runs), of_run).select(columns)
+    assert early.count() == late.count() == 8 * 7 * 6
+    assert early.select(columns).exceptAll(late).count() == 0
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    # the jobs are made above the join, so it moves a row per run
+    assert plan.index("Generate") < plan.index("Join") and "Generate explode" not in plan[plan.index("Join") :]
