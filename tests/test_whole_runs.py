@@ -136,3 +136,16 @@ def test_logs_of_a_seed_named_like_a_job_folder(spark):
     table = spark.createDataFrame([(f, 1, 1, 0.0, 0.0, 0.0, 2, True) for f in files], "file string, species int, spin int, before_scf double, first_scf double, last_scf double, n_obs long, converged boolean")
     rows = {(r.run_id, r.jobname) for r in logs.log_results(table).collect()}
     assert rows == {("U_u_0_2_12_0.05_0.05_0.25_STEPS_5", "./U_2_u/U"), ("U_u_0_2_12_0.05_0.05_0.25_STEPS_5", "./U_2_u/U_2_u_1/U")}
+
+
+def test_paired_means_scan_the_results_twice(spark, tmp_path):
+    from scfsweep.plans import catalog
+
+    keys = [(o, o % 9, o % 3, o % 7, "R" if o % 2 else "A") for o in range(400)]
+    row = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string"
+    lines = spark.createDataFrame(keys, row).selectExpr("*", "10.0d as l_quantity", "0.02d as l_tax", "l_linenumber / 50d as l_discount", "'F' as l_linestatus")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    means = catalog.queries()["paired_means"](spark, str(tmp_path))
+    plan = means._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("l_orderkey" in line for line in plan.splitlines() if "Relation [" in line) == 2
+    assert {r.run_id.split("_")[0] for r in means.collect()} == {"P0", "P1", "P2"}
