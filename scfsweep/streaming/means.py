@@ -1,6 +1,6 @@
 """Means kept up to date by differences: what changes is taken out and put back, nothing else is read again.
 
-A stateful operator holds the spin sums of every (run, job, channel). A micro-batch that adds rows to a job
+A stateful operator holds the spin sums of every (run, job, channel), those of a cell of jobs together. A micro-batch that adds rows to a job
 turns its old sums into new ones; the old response leaves the mean of its (run, channel, u) and the new one
 enters it. Both are whole numbers (:mod:`scfsweep.functions.exact`), so taking out is exact, and the means
 equal those of a batch run over all rows to the last bit. Infinite and NaN responses are counted beside them.
@@ -28,24 +28,43 @@ _VALUES = ("before_scf", "first_scf", "last_scf")
 _CHANGED = "run_id string, jobname string, channel_id int, known boolean, " + ", ".join(f"{when}_{s} double" for when in ("old", "new") for s in _SUMS)
 _BATCH = "batch_id"
 _UPTO = "upto"
+#: Cells of jobs, whose state is one value each
+CELLS = 1 << 11
 
 
 def _add(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The sums of one job before and after the batch; NULL counts as nothing."""
-    old = state.get if state.exists else (0.0, 0.0, 0.0)
-    new = list(old)
+    """The sums of a cell's jobs before and after the batch; NULL counts as nothing."""
+    known = {}
+    if state.exists:
+        *jobs, s0, s1, sf = state.get
+        known = dict(zip(zip(*jobs), zip(s0, s1, sf)))
+    added = {}
     for part in rows:
-        new = [total + float(part[c].sum()) for total, c in zip(new, _VALUES)]
-    known = state.exists
-    state.update(tuple(new))
+        names = [part[c].astype(object).where(part[c].notna(), None).tolist() for c in SUM_KEYS]
+        # a channel beside a NULL comes as a double
+        names[2] = [None if c is None else int(c) for c in names[2]]
+        for job, values in zip(zip(*names), zip(*(part[c].fillna(0.0).tolist() for c in _VALUES))):
+            sums = added.setdefault(job, [0.0, 0.0, 0.0])
+            for i, value in enumerate(values):
+                sums[i] += value
+    nothing = (0.0, 0.0, 0.0)
+    changed = [(*job, job in known, *known.get(job, nothing), *(t + s for t, s in zip(known.get(job, nothing), sums))) for job, sums in added.items()]
+    known.update((row[:3], row[-3:]) for row in changed)
+    state.update((*map(list, zip(*known)), *map(list, zip(*known.values()))))
     names = [f"{when}_{s}" for when in ("old", "new") for s in _SUMS]
-    yield pd.DataFrame([[*key, known, *old, *new]], columns=["run_id", "jobname", "channel_id", "known", *names])
+    yield pd.DataFrame(changed, columns=[*SUM_KEYS, "known", *names]).astype({"channel_id": "Int32"})
 
 
-def changed_sums(selected: DataFrame) -> DataFrame:
-    """Stream of (run_id, jobname, channel_id, known, old and new sums), one row per job a batch adds rows to."""
-    state = ", ".join(f"{s} double" for s in _SUMS)
-    return selected.groupBy(*SUM_KEYS).applyInPandasWithState(_add, _CHANGED, state, "update", GroupStateTimeout.NoTimeout)
+def changed_sums(selected: DataFrame, cells: int = CELLS) -> DataFrame:
+    """Stream of (run_id, jobname, channel_id, known, old and new sums), one row per job a batch adds rows to.
+
+    Jobs are dealt to ``cells`` cells by their hash, and a cell's jobs share a state: a batch calls Python
+    once for a cell it changes and not for each job. A cell's state grows with the number of jobs. The
+    number of cells belongs to the checkpoint.
+    """
+    state = "run_id array<string>, jobname array<string>, channel_id array<int>, " + ", ".join(f"{s} array<double>" for s in _SUMS)
+    dealt = selected.withColumn("_cell", F.pmod(F.xxhash64(*SUM_KEYS), F.lit(cells)))
+    return dealt.groupBy("_cell").applyInPandasWithState(_add, _CHANGED, state, "update", GroupStateTimeout.NoTimeout)
 
 
 def _differences(changed: DataFrame, job: str, step: float | DataFrame, **options) -> DataFrame:

@@ -197,3 +197,29 @@ def test_responses_under_two_names_are_listed(spark):
     found = R.response_rows(spark.createDataFrame(rows, SCHEMA), "u", 0.05)
     listed = merge.repeated_responses(found).collect()
     assert sorted((r.jobname, round(r.n1_nf, 9), r.spellings) for r in listed) == [("./U_2_u/U_2_u_1/S", 0.025, 2), ("old/U_2_u/U_2_u_1/S", 0.075, 2)]
+
+
+def test_jobs_of_a_cell_share_a_call_and_a_state():
+    import pandas as pd
+
+    from scfsweep.streaming.means import _add
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def batch(*rows):
+        return pd.DataFrame(rows, columns=["run_id", "jobname", "channel_id", "before_scf", "first_scf", "last_scf"])
+
+    state = State()
+    first = next(_add((0,), iter([batch(("r", "a", 1, 1.0, 2.0, None), ("r", "a", 1, 1.0, 2.0, 3.0)), batch(("r", None, None, 5.0, 5.0, 5.0))]), state))
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in first.itertuples(index=False)]
+    assert rows == [("r", "a", 1, False, 0.0, 0.0, 0.0, 2.0, 4.0, 3.0), ("r", None, None, False, 0.0, 0.0, 0.0, 5.0, 5.0, 5.0)]
+    second = next(_add((0,), iter([batch(("r", "a", 1, 0.5, 0.0, 0.0), ("s", "a", 1, 7.0, 7.0, 7.0))]), state))
+    assert [tuple(r) for r in second.itertuples(index=False)] == [
+        ("r", "a", 1, True, 2.0, 4.0, 3.0, 2.5, 4.0, 3.0),
+        ("s", "a", 1, False, 0.0, 0.0, 0.0, 7.0, 7.0, 7.0),
+    ]
+    assert len(state.get[0]) == 3
