@@ -35,6 +35,7 @@ def read_results(
     keep_order: bool = False,
     by_name: bool | None = None,
     modified_after: str | None = None,
+    any_depth: bool = False,
 ) -> DataFrame:
     """Result CSVs as rows with ``run_id``, the folder ``run_level`` above each file.
 
@@ -43,11 +44,14 @@ def read_results(
     A header is checked against the expected names. Blanks after commas are accepted. A value that
     is no number fails the read unless ``on_bad`` is ``null`` or ``drop``. ``keep_order`` adds the
     orderable column ``seen``, which follows the line order of each file. ``modified_after`` (a time such as
-    2024-05-01T12:00:00) leaves out older files without opening them.
+    2024-05-01T12:00:00) leaves out older files without opening them. ``any_depth`` also reads the folders
+    below the paths, which tasks list; a pattern of many folders is listed by the driver alone.
     """
     reader = spark.read.schema(RESULT_FILE_SCHEMA).options(**csv_options(header, on_bad))
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
+    if any_depth:
+        reader = reader.option("recursiveFileLookup", True)
     raw = reader.csv(paths)
     by_name = named_apart(paths) if by_name is None else by_name
     columns = [run_key(by_name, run_level).alias("run_id")]

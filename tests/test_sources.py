@@ -192,3 +192,17 @@ def test_param_settings(spark, tmp_path):
         (7, "elec_energy_tol", "5.000000000000000e-007", 5e-7),
         (8, "empty", "", None),
     ]
+
+
+def test_results_at_any_depth(spark, tmp_path):
+    from scfsweep.sources import read_results
+
+    for run, part in (("r1", "U_0_u"), ("r1", "U_2_u"), ("r2", "U_0_u")):
+        folder = tmp_path / run / part
+        folder.mkdir(parents=True)
+        (folder / "result_u.csv").write_text("./U_0_u/S, 1, 2, 1.0, 2.0, 3.0, true\n")
+    options = {"header": False, "run_level": 2, "by_name": True}
+    deep = read_results(spark, str(tmp_path), any_depth=True, **options)
+    by_pattern = read_results(spark, f"{tmp_path}/*/*", **options)
+    assert sorted(map(tuple, deep.collect())) == sorted(map(tuple, by_pattern.collect()))
+    assert sorted(r.run_id for r in deep.collect()) == ["r1", "r1", "r2"]
