@@ -62,11 +62,21 @@ SLOTS = 1 << 22
 MAX_KEYS = 1 << 20
 
 
-def rows_of(spark: SparkSession, docs: DataFrame, keys: DataFrame, key: str, max_keys: int = MAX_KEYS) -> DataFrame:
+def rows_of(
+    spark: SparkSession,
+    docs: DataFrame,
+    keys: DataFrame,
+    key: str,
+    max_keys: int = MAX_KEYS,
+    then: tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], str] | None = None,
+) -> DataFrame:
     """The rows of docs whose ``key`` (a long, not null) is in ``keys``; docs' columns only.
 
     Up to max_keys different keys go to every task, and docs stay where they are. More of them are joined
     by a shuffle; a bitmap of SLOTS bits, whatever the number of keys, thins docs before it.
+
+    ``then``, a function of batches and its schema, makes other rows of these. Where docs stay it runs in the
+    process that picks them: a mapInArrow of its own would keep a second Python process for every task.
     """
     wanted = keys.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key)).distinct()
     few = wanted.limit(max_keys + 1).toArrow()
@@ -93,8 +103,12 @@ def rows_of(spark: SparkSession, docs: DataFrame, keys: DataFrame, key: str, max
             yield batch.filter(pa.array(stay)).select(schema.names)
 
     some = docs.filter(F.col(key).isNotNull()).withColumn("__at", F.col(key).cast("long") if known else F.expr(slot))
+    if known and then:
+        made, schema_made = then
+        return some.mapInArrow(lambda batches: made(run(batches)), schema_made)
     thinned = some.mapInArrow(run, schema)
-    return thinned if known else thinned.join(wanted, key, "left_semi")
+    found = thinned if known else thinned.join(wanted, key, "left_semi")
+    return found.mapInArrow(*then) if then else found
 
 
 def extended(

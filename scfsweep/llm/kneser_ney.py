@@ -39,6 +39,8 @@ from scfsweep.llm.words import Texts, mix, text_chunks
 
 ORDER = 5
 CACHED = 1 << 20
+#: Bytes of text whose windows a task makes at a time; each takes about 100 bytes meanwhile
+CHUNK = 1 << 18
 PRIOR_BYTES = 200
 QUANTILE = 0.99
 SPREAD = 3.0
@@ -72,26 +74,34 @@ def _sum(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(counts, first)
 
 
-def count_windows(trusted: DataFrame) -> DataFrame:
-    """(key, n): how often each window occurs in the texts."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n): every window of the batches' texts once."""
+    keys, counts, held, settled = [], [], 0, 0
+    for batch in batches:
+        for texts in text_chunks(batch.column("text"), CHUNK):
+            k, c = np.unique(windows(texts)[0], return_counts=True)
+            keys.append(k)
+            counts.append(c.astype(np.int64))
+            held += len(k)
+            if held > max(2 * settled, 1 << 20):
+                k, c = _sum(np.concatenate(keys), np.concatenate(counts))
+                keys, counts, held, settled = [k], [c], len(k), len(k)
+    if held:
+        k, c = _sum(np.concatenate(keys), np.concatenate(counts))
+        for at in range(0, len(k), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(k[at : at + (1 << 16)].astype(np.int64)), pa.array(c[at : at + (1 << 16)])], ["key", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held, settled = [], [], 0, 0
-        for batch in batches:
-            for texts in text_chunks(batch.column("text")):
-                k, c = np.unique(windows(texts)[0], return_counts=True)
-                keys.append(k)
-                counts.append(c.astype(np.int64))
-                held += len(k)
-                if held > max(2 * settled, 1 << 20):
-                    k, c = _sum(np.concatenate(keys), np.concatenate(counts))
-                    keys, counts, held, settled = [k], [c], len(k), len(k)
-        if held:
-            k, c = _sum(np.concatenate(keys), np.concatenate(counts))
-            for at in range(0, len(k), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(k[at : at + (1 << 16)].astype(np.int64)), pa.array(c[at : at + (1 << 16)])], ["key", "n"])
-
-    return trusted.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+_COUNTED = "key long, n long"
+
+
+def count_windows(trusted: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """(key, n): how often each window occurs in the texts; with ids(doc_id), in those of these documents."""
+    if ids is None:
+        counted = trusted.select("text").mapInArrow(_counted, _COUNTED)
+    else:
+        counted = rows_of(trusted.sparkSession, trusted.select("doc_id", "text"), ids, "doc_id", then=(_counted, _COUNTED))
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -214,7 +224,7 @@ def with_bits(spark: SparkSession, docs: DataFrame, tables: Model, cached: int =
         cache, context = Cache(*shared.value), TaskContext.get()
         first = (context.partitionId() if context else 0) << 40
         for batch in batches:
-            for texts in text_chunks(batch.column("text")):
+            for texts in text_chunks(batch.column("text"), CHUNK):
                 n = len(texts)
                 keys, bounds = windows(texts)
                 held, log_p = cache(keys)
@@ -244,7 +254,7 @@ def with_bits(spark: SparkSession, docs: DataFrame, tables: Model, cached: int =
 def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, cached: int = CACHED, keep: tuple[str, ...] = ()) -> DataFrame:
     """docs(doc_id, text, lang) and labels(doc_id, quality; 1 is trusted) -> doc_id, lang, bytes, score, perplexity, threshold, kept, and docs' columns keep."""
     ids = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    tables = model(spark, count_windows(rows_of(spark, docs.select("doc_id", "text").filter("text is not null"), ids, "doc_id")))
+    tables = model(spark, count_windows(docs.filter("text is not null"), ids))
     lang = "coalesce(concat('=', lang), '') as named"
     scored = staged(spark, with_bits(spark, docs.select("doc_id", "text", "lang", *keep), tables, cached).selectExpr("*", lang), "bits")
     # a row per language: written, so that their size is known and documents aren't shuffled by language

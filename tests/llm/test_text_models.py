@@ -150,6 +150,15 @@ def test_scores_do_not_depend_on_what_is_cached(spark, odd, odd_rows):
         assert abs(some[key] - score) < 1e-9 and abs(no[key] - score) < 1e-9
 
 
+def test_counting_takes_one_python_process_a_task(spark, odd):
+    ids = spark.createDataFrame([(1,), (5,), (9,), (77,)], "doc_id long")
+    got = kneser_ney.count_windows(odd, ids)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = kneser_ney.count_windows(odd.filter("doc_id in (1, 5, 9)"))
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert kneser_ney.count_windows(odd, ids.filter("false")).count() == 0
+
+
 def test_quality_of_odd_rows(spark, odd, odd_rows, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (7, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     rows = kneser_ney.judge(spark, odd, labels).collect()

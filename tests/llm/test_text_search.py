@@ -138,6 +138,19 @@ def test_rows_of_few_and_many_keys(spark, odd):
     assert rows_of(spark, odd, keys.filter("false"), "doc_id").count() == 0
 
 
+def test_rows_of_some_keys_and_what_is_made_of_them(spark, odd):
+    from scfsweep.llm.common import rows_of
+
+    def ids(batches):
+        for batch in batches:
+            yield batch.select(["doc_id"])
+
+    keys = spark.createDataFrame([(1,), (9,), (None,), (9,), (77,)], "doc_id long")
+    for most in (10, 2):
+        got = rows_of(spark, odd, keys, "doc_id", most, then=(ids, "doc_id long"))
+        assert Counter(tuple(r) for r in got.collect()) == Counter([(1,), (9,), (9,)])
+
+
 def test_repeated_words_and_shared_passages_cost_no_squares(spark):
     """A word 20,000 times on both sides, and a passage that many items and documents share."""
     import time
