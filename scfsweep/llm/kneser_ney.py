@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -146,15 +147,43 @@ def model(spark: SparkSession, counts: DataFrame) -> Model:
     return out
 
 
+def lowest(tables: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Of every two bytes: their probability by the orders 1 and 2, and their backoff as a context."""
+    parts = [(tables.grams[0], "p"), (tables.contexts[0], "backoff"), (tables.grams[1], "p"), (tables.contexts[1], "backoff"), (tables.contexts[2], "backoff")]
+    every = [df.select(F.lit(k).alias("k"), F.col(df.columns[0]).alias("key"), F.col(value).alias("value")) for k, (df, value) in enumerate(parts)]
+    got = reduce(DataFrame.union, every).toArrow()  # 131,585 rows at most: 256 * 256 keys, 256, and 1
+    kind, key, value = (got[c].to_numpy() for c in ("k", "key", "value"))
+
+    def filled(k: int, out: np.ndarray) -> np.ndarray:
+        out[key[kind == k]] = value[kind == k]
+        return out
+
+    p = filled(0, np.repeat(filled(1, np.ones(1)) / 256, 256))
+    p = filled(2, (filled(3, np.ones(256))[:, None] * p).ravel())
+    return p, filled(4, np.ones(1 << 16))
+
+
 def looked_up(keys: DataFrame, tables: Model) -> DataFrame:
-    """(key, log_p) for different windows, known or not, by joins with every order from 1."""
-    out = keys.select("key", F.lit(1 / 256).alias("p"))
-    for order, (grams, contexts) in enumerate(zip(tables.grams, tables.contexts), 1):
-        grams, contexts = grams.select(F.col("key").alias("part"), F.col("p").alias("own")), contexts.withColumnRenamed("context", "before")
-        # 65,536 rows at most
-        grams, contexts = F.broadcast(grams) if order <= 2 else grams, F.broadcast(contexts) if order <= 3 else contexts
-        out = out.withColumn("part", F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1))).withColumn("before", F.expr("shiftright(part, 8)"))
-        out = out.join(grams, "part", "left").join(contexts, "before", "left")
+    """(key, log_p) for different windows, known or not: the orders 1 and 2 from arrays, every other by joins.
+
+    The joins shuffle whatever the size: tables broadcast for them at once, ten and more, all pass the driver.
+    """
+    shared = keys.sparkSession.sparkContext.broadcast(lowest(tables))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, backoff = shared.value
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(low[key & 0xFFFF]), pa.array(backoff[(key >> 8) & 0xFFFF])], ["key", "p", "backoff"])
+
+    out = keys.select("key").mapInArrow(run, "key long, p double, backoff double")
+    for order in range(3, ORDER + 1):
+        grams = tables.grams[order - 1].select(F.col("key").alias("part"), F.col("p").alias("own"))
+        out = out.withColumn("part", F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1)))
+        if order > 3:
+            contexts = tables.contexts[order - 1].withColumnRenamed("context", "before")
+            out = out.withColumn("before", F.expr("shiftright(part, 8)")).join(contexts.hint("merge"), "before", "left")
+        out = out.join(grams.hint("merge"), "part", "left")
         out = out.select("key", F.coalesce("own", F.coalesce("backoff", F.lit(1.0)) * F.col("p")).alias("p"))
     return out.select("key", F.log2("p").alias("log_p"))
 
@@ -246,7 +275,7 @@ def with_bits(spark: SparkSession, docs: DataFrame, tables: Model, cached: int =
     coded = staged(spark, docs.mapInArrow(run, schema), "coded")
     rest = coded.select(ROW, F.explode("rest").alias("w")).select(ROW, "w.key", "w.n")
     found = staged(spark, looked_up(rest.select("key").distinct(), tables), "found")
-    sums = rest.join(found, "key").groupBy(ROW).agg(F.sum(F.col("n") * F.col("log_p")).alias("looked_up"))
+    sums = rest.join(found.hint("merge"), "key").groupBy(ROW).agg(F.sum(F.col("n") * F.col("log_p")).alias("looked_up"))
     joined = coded.drop("rest").join(sums, ROW, "left")
     return joined.withColumn("bits", -F.col("held") - F.coalesce("looked_up", F.lit(0.0))).drop(ROW, "held", "looked_up")
 

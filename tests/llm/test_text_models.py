@@ -159,6 +159,20 @@ def test_counting_takes_one_python_process_a_task(spark, odd):
     assert kneser_ney.count_windows(odd, ids.filter("false")).count() == 0
 
 
+def test_windows_are_looked_up_without_tables_on_the_driver(spark, odd):
+    tables = kneser_ney.model(spark, kneser_ney.count_windows(odd))
+    keys = spark.createDataFrame([(int.from_bytes(w, "big"),) for w in (b"quick", b"zzzzz", b"\0\0\0\0z", b"\xff" * 5)], "key long")
+    got = kneser_ney.looked_up(keys, tables)
+    assert len(got.collect()) == 4
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_trusted_text_gives_every_byte_its_share(spark, none):
+    keys = spark.createDataFrame([(0,), ((1 << 40) - 1,)], "key long")
+    got = kneser_ney.looked_up(keys, kneser_ney.model(spark, kneser_ney.count_windows(none)))
+    assert [r.log_p for r in got.collect()] == [-8.0, -8.0]
+
+
 def test_quality_of_odd_rows(spark, odd, odd_rows, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (7, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     rows = kneser_ney.judge(spark, odd, labels).collect()
