@@ -128,10 +128,13 @@ def model(spark: SparkSession, counts: DataFrame) -> Model:
         tail = F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1))
         lower = tables[0].groupBy(tail.alias("key")).agg(F.count("*").alias("n"))
         tables.insert(0, staged(spark, lower, f"order{order}"))
+    # one row of twenty numbers: no shuffle by count, and one job for all orders
+    rare = reduce(DataFrame.union, [grams.filter("n <= 4").select(F.lit(order).alias("order"), "n") for order, grams in enumerate(tables, 1)])
+    times = [F.count_if((F.col("order") == order) & (F.col("n") == k)) for order in range(1, ORDER + 1) for k in (1, 2, 3, 4)]
+    found = rare.agg(F.array(*times).alias("times")).first().times
     out = Model([], [])
     for order, grams in enumerate(tables, 1):
-        found = {r.n: r.rows for r in grams.filter("n <= 4").groupBy("n").agg(F.count("*").alias("rows")).collect()}
-        d = discounts(*[found.get(k, 0) for k in (1, 2, 3, 4)])
+        d = discounts(*found[4 * order - 4 : 4 * order])
         off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         grams = grams.withColumn("context", F.expr("shiftright(key, 8)")).withColumn("off", off)
         contexts = grams.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("backoff"))
@@ -204,9 +207,9 @@ class Scorer:
 def commonest(tables: Model, most: int = CACHED) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys and log2 probabilities of up to ``most`` windows: as many whole classes of counts as fit, from the top."""
     level = F.expr("if(n < 4096, n, 4096 + length(bin(n)))")
-    levels = tables.grams[-1].groupBy(level.alias("level")).agg(F.count("*").alias("rows")).orderBy(F.desc("level")).collect()  # 4,159 rows at most
+    levels = tables.grams[-1].groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect()  # 4,159 rows at most
     least, rows = None, 0
-    for r in levels:
+    for r in sorted(levels, key=lambda r: -r.level):
         rows += r.rows
         if rows > most:
             break

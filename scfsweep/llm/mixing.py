@@ -116,7 +116,8 @@ def planned(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights:
     alike = described.groupBy(*described.columns).agg(F.count("*").alias("n"))
     sized = staged(spark, alike.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")), "sizes")
     parts = staged(spark, sized.groupBy("source", "size", "salt").agg(F.sum("n").alias("n")), "parts")
-    histogram = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
+    # read for sizes, means and rates: written, or each of these plans would hold the whole of those before it
+    histogram = staged(spark, parts.groupBy("source", "size").agg(F.sum("n").alias("n")), "histogram")
     sources = histogram.groupBy("source").agg(F.sum(F.expr("size * n")).alias("source_size"))
     goals = staged(spark, targets(sources, share, weights, cap), "targets")
     found = balance(spark, histogram, goals, cap)
@@ -126,7 +127,7 @@ def planned(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights:
     rated = rated.withColumn("rate", F.expr(f"case when size = 0 or target <= 0 then 0D when target >= {cap} * source_size then {cap}D else {_rate('t', cap)} end"))
     rated = rated.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.floor("rate"))
     along = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    rated = rated.withColumn("before", F.coalesce(F.sum(F.expr("part * n")).over(along), F.lit(0.0)))
+    rated = staged(spark, rated.withColumn("before", F.coalesce(F.sum(F.expr("part * n")).over(along), F.lit(0.0))), "rated")
     # where the carries begin is free: of OFFSETS starts take the one that comes nearest to the target
     off = [
         F.struct(
@@ -136,7 +137,7 @@ def planned(spark: SparkSession, docs: DataFrame, share: float = SHARE, weights:
         for k in range(OFFSETS)
     ]
     offsets = rated.groupBy("source").agg(F.least(*off)["offset"].alias("offset"))
-    rated = rated.join(offsets, "source").withColumn("before", F.col("before") + F.col("offset")).drop("x", "t", "n", "offset")
+    rated = staged(spark, rated.join(offsets, "source").withColumn("before", F.col("before") + F.col("offset")).drop("x", "t", "n", "offset"), "rates")
     within = Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.withColumn("start", F.coalesce(F.sum("n").over(within), F.lit(0)))
     plan = starts.join(rated, ["source", "size"]).select(
