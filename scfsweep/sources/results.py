@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER, RESULT_SCHEMA, check_job
+from scfsweep.schema import RESULT_COLUMNS, RESULT_FILE_SCHEMA, RESULT_HEADER, RESULT_SCHEMA, SHARED_FILE_SCHEMA, check_job
 from scfsweep.sources.paths import named_apart, one_folder, roots_of, run_key
 
 _BAD_ROWS = {"fail": "FAILFAST", "null": "PERMISSIVE", "drop": "DROPMALFORMED"}
@@ -36,6 +36,7 @@ def read_results(
     by_name: bool | None = None,
     modified_after: str | None = None,
     any_depth: bool = False,
+    shared: bool = False,
 ) -> DataFrame:
     """Result CSVs as rows with ``run_id``, the folder ``run_level`` above each file.
 
@@ -45,16 +46,18 @@ def read_results(
     is no number fails the read unless ``on_bad`` is ``null`` or ``drop``. ``keep_order`` adds the
     orderable column ``seen``, which follows the line order of each file. ``modified_after`` (a time such as
     2024-05-01T12:00:00) leaves out older files without opening them. ``any_depth`` also reads the folders
-    below the paths, which tasks list; a pattern of many folders is listed by the driver alone.
+    below the paths, which tasks list; a pattern of many folders is listed by the driver alone. ``shared`` reads
+    files of many runs, whose first column names each row's run: ``run_id`` is that name, ``folder`` the folder's.
     """
-    reader = spark.read.schema(RESULT_FILE_SCHEMA).options(**csv_options(header, on_bad))
+    reader = spark.read.schema(SHARED_FILE_SCHEMA if shared else RESULT_FILE_SCHEMA).options(**csv_options(header, on_bad))
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
     if any_depth:
         reader = reader.option("recursiveFileLookup", True)
     raw = reader.csv(paths)
     by_name = named_apart(paths) if by_name is None else by_name
-    columns = [run_key(by_name, run_level).alias("run_id")]
+    folder = run_key(by_name, run_level)
+    columns = [folder.alias("folder"), F.col("run_id")] if shared else [folder.alias("run_id")]
     columns += [F.col(f"`{old}`").alias(new) for old, new in zip(RESULT_HEADER, RESULT_COLUMNS)]
     if keep_order:
         # Row ids only order lines of one split; the split's offset orders splits of a file.
